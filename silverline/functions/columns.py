@@ -93,3 +93,10 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """Zero rows with the given schema, without touching any data."""
     nulls = [typed_null(f.dataType).alias(f.name, metadata=f.metadata or {}) for f in schema.fields]
     return spark.range(0).select(*nulls)
+
+
+def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> DataFrame:
+    """A single row of literals in a single partition."""
+    pairs = zip(schema.fields, values, strict=True)
+    literals = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in pairs]
+    return spark.range(0, 1, 1, 1).select(*literals)

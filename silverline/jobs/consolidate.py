@@ -16,7 +16,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--silver-partitions", help="partition columns of the table")
     parser.add_argument("--recreate-silver", action="store_true")
     parser.add_argument("--buckets", type=int, help="buckets of a new snapshot table")
-    parser.add_argument("--guard-col", help="ignore source rows older than the table's row")
+    parser.add_argument("--guard", help="columns; a row older on them than the table's row is ignored")
     parser.add_argument("--fill-missing", action="store_true", help="NULL for columns the feed lacks")
     parser.add_argument("--count-input", action="store_true", help="print schema and rows read")
     args = parser.parse_args(argv)
@@ -39,7 +39,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             partitions=args.silver_partitions,
             buckets=args.buckets,
             recreate=args.recreate_silver,
-            guard_col=args.guard_col,
+            guard=args.guard or (),
             fill_missing=args.fill_missing,
         )
     finally:

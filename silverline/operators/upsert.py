@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from silverline.functions.columns import (
     require_keys,
     resolve,
     same_keys,
+    split_names,
     typed_null,
     unused_name,
 )
@@ -61,15 +62,15 @@ def upsert(
     source: DataFrame,
     keys: str | Sequence[str],
     *,
-    guard_col: str | None = None,
+    guard: str | Sequence[str] = (),
     fill_missing: bool = False,
     source_unique: bool = False,
 ) -> DataFrame:
     """The target after merging `source` into it.
 
     Keys match null-safely. A source row replaces the target row with its key even
-    when it is older; target rows without a match stay. With `guard_col` a source
-    row older than its target row (NULL is oldest) is ignored.
+    when it is older; target rows without a match stay. With `guard` columns a
+    source row that sorts before its target row on them is ignored (NULL is oldest).
 
     Source keys must be unique. Pass `source_unique=True` when the source comes
     from a per-key operator on the same keys, which saves the check.
@@ -78,11 +79,10 @@ def upsert(
     incoming = align(source, target.schema, fill_missing=fill_missing)
     if not source_unique:
         incoming = require_unique_keys(incoming, names)
-    if guard_col:
-        guard = resolve(target.sparkSession, target.columns, [guard_col], "guard column")[0]
-        held, new = col(guard, "t"), col(guard, "s")
-        stale = held.isNotNull() & (new.isNull() | (new < held))
-        newest = target.select(*cols({*names, guard}))
+    ages = resolve(target.sparkSession, target.columns, split_names(guard), "guard columns")
+    if ages:
+        stale = F.struct(*cols(ages, "s")) < F.struct(*cols(ages, "t"))
+        newest = target.select(*cols(dict.fromkeys([*names, *ages])))
         incoming = incoming.alias("s").join(
             newest.alias("t"), same_keys(names, "s", "t") & stale, "left_anti"
         )
@@ -125,14 +125,14 @@ def has_null_key(keys: Sequence[str]):
 
 
 def newest_side(
-    rows: DataFrame, partition: Sequence[str], side: str, guard_col: str | None = None
+    rows: DataFrame, partition: Iterable[str], side: str, guard: Sequence[str] = ()
 ) -> DataFrame:
-    """Per key keep the row of the highest `side`, or by `guard_col` first when given.
+    """Per key keep the row of the highest `side`, or by `guard` first when given.
 
     For rows that hold each key at most once per side. One exchange on (a prefix
     of) `partition` serves both the merge and a write clustered by it.
     """
-    order = [col(guard_col).desc_nulls_last()] if guard_col else []
-    window = Window.partitionBy(*cols(partition)).orderBy(*order, col(side).desc())
+    order = [col(c).desc_nulls_last() for c in [*guard, side]]
+    window = Window.partitionBy(*cols(partition)).orderBy(*order)
     rank = unused_name("rank", rows.columns)
     return rows.withColumn(rank, F.row_number().over(window)).where(col(rank) == 1).drop(rank)

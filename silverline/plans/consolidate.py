@@ -23,7 +23,7 @@ def consolidate(
     partitions: str | Sequence[str] | None = None,
     buckets: int | None = None,
     recreate: bool = False,
-    guard_col: str | None = None,
+    guard: str | Sequence[str] = (),
     fill_missing: bool = False,
 ) -> SnapshotTable | CatalogTable:
     """Merge the latest row per key of the chosen feed partitions into `table`.
@@ -34,5 +34,5 @@ def consolidate(
     changes = feed.read(spark)
     table.ensure(changes, keys, partitions=partitions, buckets=buckets, recreate=recreate)
     latest = latest_per_key(changes, keys, order_col, tiebreak=tiebreak, strategy=strategy)
-    table.merge(latest, keys, guard_col=guard_col, fill_missing=fill_missing, source_unique=True)
+    table.merge(latest, keys, guard=guard, fill_missing=fill_missing, source_unique=True)
     return table

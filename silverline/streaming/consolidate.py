@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from silverline.functions.columns import split_names
 from silverline.operators.dedup import latest_per_key
 from silverline.tables import CatalogTable, SnapshotTable
 
@@ -27,9 +28,9 @@ def consolidate_stream(
 ) -> StreamingQuery:
     """Merge every file not yet seen, then stop; returns the started query.
 
-    Files may arrive in any order, so merges are guarded by `order_col`: an older
-    record never replaces a newer one. That also makes a batch repeated after a
-    failure harmless.
+    Files may arrive in any order, so merges are guarded by the order and tie-break
+    columns: an older record never replaces a newer one. That also makes a batch
+    repeated after a failure harmless.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_batch:
@@ -38,7 +39,7 @@ def consolidate_stream(
     def merge(batch: DataFrame, batch_id: int) -> None:
         table.ensure(batch, keys)
         latest = latest_per_key(batch, keys, order_col, tiebreak=tiebreak)
-        table.merge(latest, keys, guard_col=order_col, source_unique=True)
+        table.merge(latest, keys, guard=[order_col, *split_names(tiebreak)], source_unique=True)
 
     return (
         reader.load(feed_uri)

@@ -89,7 +89,7 @@ class CatalogTable:
         source: DataFrame,
         keys: str | Sequence[str],
         *,
-        guard_col: str | None = None,
+        guard: str | Sequence[str] = (),
         fill_missing: bool = False,
         source_unique: bool = False,
     ) -> None:
@@ -103,12 +103,10 @@ class CatalogTable:
         incoming = materialise(incoming, "merge-source").alias("source")
         match = all_of(col(k, self.name).eqNullSafe(col(k, "source")) for k in names)
         newer = None
-        if guard_col:
-            guard = resolve(self.spark, target.columns, [guard_col], "guard column")[0]
-            held, new = col(guard, self.name), col(guard, "source")
-            newer = held.isNull() | F.coalesce(new >= held, F.lit(False))
-        writer = incoming.mergeInto(self.name, match)
-        writer = (writer.whenMatched(newer) if newer is not None else writer.whenMatched()).updateAll()
+        ages = resolve(self.spark, target.columns, split_names(guard), "guard columns")
+        if ages:
+            newer = F.struct(*cols(ages, "source")) >= F.struct(*cols(ages, self.name))
+        writer = incoming.mergeInto(self.name, match).whenMatched(newer).updateAll()
         writer.whenNotMatched().insertAll().merge()
 
     def add_column(self, name: str, column_type: str, comment: str | None = None) -> None:

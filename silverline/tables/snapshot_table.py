@@ -6,8 +6,8 @@ touches; a snapshot is, for every bucket, the newest copy written up to then.
 
     <base>/definition/                            keys, partitions, buckets, first schema
     <base>/lineage=<k>/data/_snapshot_id=<n>/_key_bucket=<b>/[<partition>=..]/
-    <base>/lineage=<k>/parts/_snapshot_id=<n>/    buckets written by commit n, with row counts
-    <base>/lineage=<k>/commits/                   one row per snapshot, written last
+    <base>/lineage=<k>/commits/                   one row per snapshot, written last, with the
+                                                  buckets it wrote and their row counts
     <base>/lineage=<k>/schema_log/                columns added and dropped, in order
 
 Readers trust `commits` only, so files of an unfinished commit are never read and
@@ -30,6 +30,7 @@ from silverline.functions.columns import (
     col,
     cols,
     empty_frame,
+    one_row,
     require_keys,
     resolve,
     split_names,
@@ -43,12 +44,14 @@ from silverline.tables.schema_history import ADD, CHANGE, DROP, SchemaHistory
 SNAPSHOT, BUCKET = "_snapshot_id", "_key_bucket"
 HOLDING, INCOMING = 0, 1
 
+# a bucket with more rows is merged by several tasks
+ROWS_PER_TASK = 4_000_000
+
 DEFINITION = "lineage int, keys array<string>, partitions array<string>, buckets int, schema_json string"
 COMMITS = (
     "snapshot_id long, committed_at timestamp, operation string, schema_id int, "
-    "inserted long, updated long, total long, parts int"
+    "inserted long, updated long, total long, parts map<int, long>"
 )
-PARTS = f"{BUCKET} int, row_count long, {SNAPSHOT} long"
 DESCRIPTION = "col_name string, data_type string, comment string"
 
 
@@ -96,7 +99,7 @@ class SnapshotTable:
         definition = (lineage, names, parts, buckets, T.StructType(fields).json())
         self._append(f"{self.base}/definition", DEFINITION, definition)
         self._spec = None
-        self._commit(1, "create", schema_id=0, inserted=0, updated=0, total=0, parts=0)
+        self._commit_unchanged(1, "create", schema_id=0, total=0)
         return self
 
     # -- reading ------------------------------------------------------------
@@ -124,7 +127,7 @@ class SnapshotTable:
 
     def snapshots(self) -> DataFrame:
         """The commit log."""
-        return self._log(self._path("commits"), COMMITS)
+        return self._commits().drop("parts")
 
     def first_snapshot(self) -> DataFrame:
         """The earliest commit; no row if there is none."""
@@ -140,8 +143,12 @@ class SnapshotTable:
 
     def describe(self) -> DataFrame:
         """Name, type and comment of every column."""
-        rows = [(f.name, f.dataType.simpleString(), (f.metadata or {}).get("comment")) for f in self.schema]
-        return self.spark.createDataFrame(rows, DESCRIPTION)
+        shape = T.StructType.fromDDL(DESCRIPTION)
+        rows = [
+            one_row(self.spark, shape, (f.name, f.dataType.simpleString(), (f.metadata or {}).get("comment")))
+            for f in self.schema
+        ]
+        return reduce(DataFrame.unionByName, rows)
 
     # -- writing ------------------------------------------------------------
 
@@ -150,22 +157,22 @@ class SnapshotTable:
         source: DataFrame,
         keys: str | Sequence[str] | None = None,
         *,
-        guard_col: str | None = None,
+        guard: str | Sequence[str] = (),
         fill_missing: bool = False,
         source_unique: bool = False,
     ) -> int:
         """Merge `source` into the table as one commit; returns the snapshot id.
 
         Same rules as `operators.upsert`. The source is evaluated once. Only the
-        buckets holding its keys are read; old and new rows of a bucket meet in one
-        task, where the merge and the write share a single exchange.
+        buckets holding its keys are read. Old and new rows of a key meet in one task,
+        where the merge and the write share a single exchange; buckets that have
+        grown large are spread over several tasks by key.
         """
         spec, history, last = self._definition(), self._history(), self._last_id()
         schema, snapshot_id = history.latest, last + 1
         if keys:
             self._check_keys(split_names(keys))
-        if guard_col:
-            guard_col = resolve(self.spark, schema.names, [guard_col], "guard column")[0]
+        ages = resolve(self.spark, schema.names, split_names(guard), "guard columns")
         incoming = align(source, schema, fill_missing=fill_missing)
         if not source_unique:
             incoming = require_unique_keys(incoming, spec.keys)
@@ -176,22 +183,32 @@ class SnapshotTable:
         arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
         live = self._live_parts(last)
         before = sum(p.row_count for p in live)
-        numbers = {"inserted": 0, "updated": 0, "total": before, "parts": 0}
-        if arriving:
-            touched = [p for p in live if p[BUCKET] in arriving]
-            held = self._read(touched, history, history.latest_id)
-            folder = f"{self._path('data')}/{SNAPSHOT}={snapshot_id}"
-            accepted = self._write_merged(held, incoming, len(arriving), folder, guard_col)
-            after = self._log_parts(folder, schema, snapshot_id)
-            inserted = after - sum(p.row_count for p in touched)
-            accepted = sum(arriving.values()) if accepted is None else accepted
-            numbers = {
-                "inserted": inserted,
-                "updated": accepted - inserted,
-                "total": before + inserted,
-                "parts": len(arriving),
-            }
-        self._commit(snapshot_id, "merge", schema_id=history.latest_id, **numbers)
+        if not arriving:
+            self._commit_unchanged(snapshot_id, "merge", schema_id=history.latest_id, total=before)
+            return snapshot_id
+
+        touched = [p for p in live if p[BUCKET] in arriving]
+        held = self._read(touched, history, history.latest_id)
+        folder = f"{self._path('data')}/{SNAPSHOT}={snapshot_id}"
+        arrived, holding = sum(arriving.values()), sum(p.row_count for p in touched)
+        splits = -(-(arrived + holding) // (ROWS_PER_TASK * len(arriving)))
+        accepted = self._write_merged(held, incoming, len(arriving), splits, folder, ages)
+        accepted = arrived if accepted is None else accepted
+
+        sizes = self._scan([folder], schema).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("row_count"))
+        inserted = F.sum("row_count") - F.lit(holding)
+        # one entry per touched bucket
+        written = F.map_from_entries(F.collect_list(F.struct(BUCKET, "row_count")))
+        commit = sizes.agg(inserted.alias("inserted"), written.alias("parts")).select(
+            F.lit(snapshot_id).alias("snapshot_id"),
+            F.lit("merge").alias("operation"),
+            F.lit(history.latest_id).alias("schema_id"),
+            "inserted",
+            (F.lit(accepted) - col("inserted")).alias("updated"),
+            (F.lit(before) + col("inserted")).alias("total"),
+            "parts",
+        )
+        self._commit(commit)
         return snapshot_id
 
     def add_column(self, name: str, column_type: str, comment: str | None = None) -> None:
@@ -211,22 +228,35 @@ class SnapshotTable:
         self._log_change(DROP, name, None, None)
 
     def _write_merged(
-        self, held: DataFrame, incoming: DataFrame, touched: int, folder: str, guard_col: str | None
+        self,
+        held: DataFrame,
+        incoming: DataFrame,
+        touched: int,
+        splits: int,
+        folder: str,
+        guard: Sequence[str],
     ) -> int | None:
-        """Write the new copy of every touched bucket.
+        """Write the new copy of every touched bucket, each from `splits` tasks.
 
         Returns how many source rows were taken when a guard may refuse some.
         """
         spec = self._definition()
         side = unused_name("side", held.columns)
         rows = held.withColumn(side, F.lit(HOLDING)).unionByName(incoming.withColumn(side, F.lit(INCOMING)))
+        cell = BUCKET
+        if splits > 1:
+            cell = unused_name("cell", rows.columns)
+            share = F.pmod(F.hash(*cols(spec.keys)), F.lit(splits))
+            rows = rows.withColumn(cell, col(BUCKET) * splits + share)
         if touched == spec.buckets:
-            rows = rows.repartitionById(spec.buckets, col(BUCKET))
+            rows = rows.repartitionById(touched * splits, col(cell))
         else:
-            rows = rows.repartition(touched, col(BUCKET))
-        merged = newest_side(rows, [BUCKET, *spec.keys], side, guard_col)
+            rows = rows.repartition(touched * splits, col(cell))
+        merged = newest_side(rows, dict.fromkeys([BUCKET, cell, *spec.keys]), side, guard)
+        if splits > 1:
+            merged = merged.drop(cell)
         taken = Observation()
-        if guard_col:
+        if guard:
             merged = merged.observe(taken, F.count_if(col(side) == INCOMING).alias("rows"))
         for name in spec.partitions:
             # an empty text would read back as NULL from a directory name
@@ -234,7 +264,7 @@ class SnapshotTable:
                 refuse = F.raise_error(F.lit(f"empty text in partition column {name}")).cast("string")
                 merged = merged.withColumn(name, F.when(col(name) == "", refuse).otherwise(col(name)))
         merged.drop(side).write.mode("overwrite").partitionBy(BUCKET, *spec.partitions).parquet(folder)
-        return taken.get["rows"] if guard_col else None
+        return taken.get["rows"] if guard else None
 
     # -- logs ---------------------------------------------------------------
 
@@ -273,25 +303,23 @@ class SnapshotTable:
             return empty_frame(self.spark, T.StructType.fromDDL(schema))
 
     def _append(self, path: str, schema: str, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+        one_row(self.spark, T.StructType.fromDDL(schema), row).write.mode("append").parquet(path)
+
+    def _commits(self) -> DataFrame:
+        return self._log(self._path("commits"), COMMITS)
 
-    def _commit(self, snapshot_id: int, operation: str, **numbers: int) -> None:
-        order = ("schema_id", "inserted", "updated", "total", "parts")
-        row = (snapshot_id, None, operation, *[numbers[n] for n in order])
-        frame = self.spark.createDataFrame([row], COMMITS).withColumn("committed_at", F.current_timestamp())
-        frame.coalesce(1).write.mode("append").parquet(self._path("commits"))
+    def _commit(self, row: DataFrame) -> None:
+        row = row.withColumn("committed_at", F.current_timestamp())
+        align(row, T.StructType.fromDDL(COMMITS)).write.mode("append").parquet(self._path("commits"))
+
+    def _commit_unchanged(self, snapshot_id: int, operation: str, *, schema_id: int, total: int) -> None:
+        row = (snapshot_id, None, operation, schema_id, 0, 0, total, None)
+        self._commit(one_row(self.spark, T.StructType.fromDDL(COMMITS), row))
 
     def _log_change(self, op: str, name: str, column_type: str | None, comment: str | None) -> None:
         row = (self._history().latest_id + 1, op, name, column_type, comment)
         self._append(self._path("schema_log"), CHANGE, row)
 
-    def _log_parts(self, folder: str, schema: T.StructType, snapshot_id: int) -> int:
-        """Record the buckets found in `folder`; returns their number of rows."""
-        sizes = self._scan([folder], schema).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("row_count"))
-        path = f"{self._path('parts')}/{SNAPSHOT}={snapshot_id}"
-        sizes.coalesce(1).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(PARTS).parquet(path).agg(F.sum("row_count")).first()[0]
-
     def _last_id(self) -> int:
         return self.snapshots().agg(F.max("snapshot_id")).first()[0] or 0
 
@@ -299,11 +327,11 @@ class SnapshotTable:
 
     def _live_parts(self, upto: int) -> list[Row]:
         """For every bucket the newest committed copy; at most one row per bucket."""
-        commits = self.snapshots().where((col("snapshot_id") <= upto) & (col("parts") > 0))
-        parts = self._log(self._path("parts"), PARTS)
-        known = parts.join(commits, parts[SNAPSHOT] == commits.snapshot_id)
-        newest = F.max_by(F.struct(SNAPSHOT, "row_count", "schema_id", "parts"), SNAPSHOT)
-        return known.groupBy(BUCKET).agg(newest.alias("p")).select(BUCKET, "p.*").collect()
+        written = self._commits().where(col("snapshot_id") <= upto).select(
+            "snapshot_id", "schema_id", F.size("parts").alias("parts"), F.explode("parts").alias(BUCKET, "row_count")
+        )
+        newest = F.max_by(F.struct("snapshot_id", "schema_id", "parts", "row_count"), "snapshot_id")
+        return written.groupBy(BUCKET).agg(newest.alias("p")).select(BUCKET, "p.*").collect()
 
     def _state(self, upto: int, history: SchemaHistory, schema_id: int) -> DataFrame:
         rows = self._read(self._live_parts(upto), history, schema_id)
@@ -318,7 +346,7 @@ class SnapshotTable:
         """
         by_snapshot, by_schema = defaultdict(list), defaultdict(list)
         for part in parts:
-            by_snapshot[part[SNAPSHOT]].append(part)
+            by_snapshot[part.snapshot_id].append(part)
         for snapshot_id, members in by_snapshot.items():
             folder = f"{self._path('data')}/{SNAPSHOT}={snapshot_id}"
             whole = len(members) == members[0].parts
