@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import functions as F
+
+from silverline.operators import (
+    column_diffs,
+    comparable_columns,
+    counts,
+    key_coverage,
+    missing_keys,
+    report,
+)
+from silverline.plans import ReconciliationError, require_agreement
+from tests.conftest import rows
+
+SHAPE = "k int, a string, b int, dt date"
+
+
+@pytest.fixture
+def bronze(spark):
+    data = [(1, "x", 1, None), (2, None, 2, None), (3, "z", None, None), (None, "n", 4, None)]
+    return spark.createDataFrame(data, SHAPE)
+
+
+@pytest.fixture
+def silver(spark):
+    data = [(1, "y", 1, None), (2, "q", 2, None), (None, "m", 4, None), (9, "e", 9, None)]
+    return spark.createDataFrame(data, SHAPE)
+
+
+def test_counts_of_empty_frames_are_zero(bronze):
+    assert rows(counts(bronze, bronze.limit(0))) == [(4, 0)]
+    assert rows(counts(bronze.limit(0), bronze.limit(0))) == [(0, 0)]
+
+
+def test_null_keys_are_missing_unless_null_safe(bronze, silver):
+    assert rows(missing_keys(bronze, silver, "k")) == [(3,), (None,)]
+    assert rows(missing_keys(bronze, silver, "k", null_safe=True)) == [(3,)]
+    assert rows(key_coverage(bronze, silver, "k")) == [(2,)]
+
+
+def test_differences_ignore_nulls_unless_null_safe(bronze, silver):
+    assert column_diffs(bronze, silver, "k", exclude=["dt"]).first().asDict() == {"a": 1, "b": 0}
+    safe = column_diffs(bronze, silver, "k", exclude=["dt"], null_safe=True)
+    assert safe.first().asDict() == {"a": 3, "b": 0}
+
+
+def test_no_matching_rows_means_no_differences(bronze, silver):
+    assert column_diffs(bronze, silver.limit(0), "k", "a,b").first().asDict() == {"a": 0, "b": 0}
+
+
+def test_default_columns_skip_one_sided_and_map_columns(bronze, silver):
+    left = bronze.withColumn("m", F.create_map(F.lit(1), F.lit(2))).withColumn("only_left", F.lit(1))
+    right = silver.withColumn("m", F.create_map(F.lit(1), F.lit(2))).withColumn("only_right", F.lit(1))
+    assert comparable_columns(left, right, ["k"], ["dt"]) == (["a", "b"], ["only_left", "only_right", "m"])
+    assert column_diffs(left, right, "k", exclude=["dt"]).columns == ["a", "b"]
+
+
+def test_unknown_compare_column(bronze, silver):
+    with pytest.raises(ValueError):
+        column_diffs(bronze, silver.drop("a"), "k", "a")
+    with pytest.raises(ValueError):
+        column_diffs(bronze, silver, "k", exclude=["a", "b", "dt"])
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_report_agrees_with_the_single_checks(bronze, silver, null_safe):
+    found = {(r["check"], r["item"]): r for r in report(bronze, silver, "k", exclude=["dt"], null_safe=null_safe).collect()}
+    c = counts(bronze, silver).first()
+    assert found["counts", "rows"]["bronze_rows"] == c["bronze_count"]
+    assert found["counts", "rows"]["silver_rows"] == c["silver_count"]
+    missing = key_coverage(bronze, silver, "k", null_safe=null_safe).first()[0]
+    assert found["key_coverage", "missing"]["violations"] == missing
+    diffs = column_diffs(bronze, silver, "k", exclude=["dt"], null_safe=null_safe).first().asDict()
+    assert {i: r["violations"] for (k, i), r in found.items() if k == "column_values"} == diffs
+
+
+def test_repeated_silver_keys_are_counted_in_full(spark, bronze):
+    silver = bronze.unionByName(bronze.withColumn("a", F.lit("changed")))
+    found = {r["item"]: r for r in report(bronze, silver, "k", exclude=["dt"]).collect()}
+    assert (found["rows"]["bronze_rows"], found["rows"]["silver_rows"]) == (4, 8)
+    assert found["a"]["violations"] == 2
+
+
+def test_agreement_raises_in_order(bronze, silver):
+    same = bronze.where("k is not null")
+    require_agreement(report(same, same, "k", exclude=["dt"]))
+    with pytest.raises(ReconciliationError, match="counts"):
+        require_agreement(report(same, silver.limit(0), "k", exclude=["dt"]))
+    with pytest.raises(ReconciliationError, match="key_coverage"):
+        require_agreement(report(bronze, silver, "k", exclude=["dt"]))
+    with pytest.raises(AssertionError, match="column_values: {'a': 3}"):
+        changed = same.withColumn("a", F.lit("other"))
+        require_agreement(report(same.withColumn("a", F.lit("q")), changed, "k", exclude=["dt"]))
+
+
+def test_injected_differences_are_found_exactly(spark):
+    bronze = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    silver = bronze.withColumn("v", F.when(F.col("k") < 17, -F.col("v") - 1).otherwise(F.col("v")))
+    assert column_diffs(bronze, silver, "k").first()["v"] == 17
