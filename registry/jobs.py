@@ -97,7 +97,10 @@ def _consolidated_then_checked(spark, sf_dir, last):
     path, silver = _events_feed(spark, sf_dir), new_table(spark, "silver")
     plans.consolidate(spark, _days(path, "2024-01-01", last), silver, "user_id", "ts", tiebreak="event_id")
     everything = _days(path, "2024-01-01", "2024-01-30")
-    return plans.reconcile(spark, everything, silver.current(), "user_id", "ts", tiebreak="event_id")
+    return plans.reconcile(
+        spark, everything, silver.current(), "user_id", "ts", tiebreak="event_id",
+        silver_unique=silver.holds_keys_once,
+    )
 
 
 @query(_job_report(BRONZE))

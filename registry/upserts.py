@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from registry.base import events_latest, events_latest_sql, merged_sql, query, table
 from registry.dedup import LINE_KEY, LINE_TIES, NULL_KEYED, null_keyed
 from silverline.operators import latest_per_key, upsert, upsert_summary
+from silverline.session import materialise
 
 FIRST_HALF = events_latest_sql(last="2024-01-15")
 LATER = events_latest_sql(first="2024-01-10")
@@ -20,6 +21,14 @@ def upsert_forward(spark, sf_dir):
     return upsert(target, source, "user_id", source_unique=True)
 
 
+@query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
+def upsert_forward_anti_join(spark, sf_dir):
+    """The other strategy, on a stored source."""
+    target = events_latest(spark, sf_dir, last="2024-01-15")
+    source = materialise(events_latest(spark, sf_dir, first="2024-01-10"), "source")
+    return upsert(target, source, "user_id", source_unique=True, strategy="anti_join")
+
+
 @query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
 def upsert_checked(spark, sf_dir):
     """As above, with the plan itself checking that source keys are unique."""

@@ -20,16 +20,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     feed = feed_from(args)
     spark = session.build(f"reconcile-{args.database}.{args.table}")
     try:
+        table = table_from(spark, args)
         checks = plans.reconcile(
             spark,
             feed,
-            table_from(spark, args).current(),
+            table.current(),
             args.pk,
             args.dedup_col,
             tiebreak=args.tiebreak or (),
             strategy=args.strategy,
             columns=args.compare_columns,
             null_safe=args.null_safe,
+            silver_unique=table.holds_keys_once,
         )
         # a handful of rows: evaluate the checks once, then show and judge them
         checks = spark.createDataFrame(checks.collect(), checks.schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions.columns import (
@@ -22,6 +22,7 @@ from silverline.functions.columns import (
     resolve,
     same_keys,
     split_names,
+    unused_name,
 )
 from silverline.operators.upsert import has_null_key, key_presence
 
@@ -97,27 +98,9 @@ def column_diffs(
 ) -> DataFrame:
     """One row with, per compared column, the number of matched rows that differ."""
     names = require_keys(bronze, keys)
-    chosen = split_names(columns)
-    if chosen:
-        chosen = resolve(bronze.sparkSession, bronze.columns, chosen, "compared columns")
-    else:
-        chosen, _ = comparable_columns(bronze, silver, names, exclude)
-    if not chosen:
-        raise ValueError("no columns to compare")
-    resolve(bronze.sparkSession, silver.columns, chosen, "compared columns")
-    needed = list(dict.fromkeys([*names, *chosen]))
-    match = same_keys(names, "b", "s")
-    if not null_safe:
-        match = all_of(col(k, "b") == col(k, "s") for k in names)
-    pairs = (
-        bronze.select(*cols(needed)).alias("b").join(silver.select(*cols(needed)).alias("s"), match)
-    )
-
-    def differs(name):
-        left, right = col(name, "b"), col(name, "s")
-        return ~left.eqNullSafe(right) if null_safe else left != right
-
-    return pairs.agg(*[F.count_if(differs(c)).alias(c) for c in chosen])
+    chosen = _chosen(bronze, silver, names, columns, exclude)
+    pairs = _paired(bronze, silver, names, chosen, "inner", null_safe)
+    return pairs.agg(*[F.count_if(_differs(c, null_safe)).alias(c) for c in chosen])
 
 
 def report(
@@ -128,54 +111,114 @@ def report(
     *,
     exclude: Sequence[str] = (),
     null_safe: bool = False,
+    silver_unique: bool = False,
 ) -> DataFrame:
     """All checks, one row each: `check, item, bronze_rows, silver_rows, violations, passed`.
 
-    Counts and coverage share one grouping of the key columns, and values take one
-    join, so each side is read twice instead of once per check. Both steps stand a
-    silver table with repeated keys: the grouping aggregates before its shuffle and
-    adaptive execution may split the inner join. Pass a materialised `bronze`.
+    With `silver_unique` (a table that holds every key once by construction) all
+    checks come out of one full outer join. Otherwise counts and coverage share one
+    grouping of the key columns and values take an inner join: both stand a silver
+    table with repeated keys, because the grouping aggregates before its shuffle and
+    adaptive execution may split the join. Pass a materialised `bronze`.
     """
     names = require_keys(bronze, keys)
+    chosen = _chosen(bronze, silver, names, columns, exclude)
+    if silver_unique:
+        return _report_by_join(bronze, silver, names, chosen, null_safe)
+
     sides = key_presence(bronze, silver, names)
-    in_bronze, in_silver = sides.columns[-2:]
-    absent = col(in_silver) == 0
+    in_bronze, in_silver = cols(sides.columns[-2:])
+    absent = in_silver == 0
     if not null_safe:
         absent = absent | has_null_key(names)
-    zero = F.lit(0).cast("long")
     totals = sides.agg(
-        F.coalesce(F.sum(col(in_bronze)), zero).alias("bronze_rows"),
-        F.coalesce(F.sum(col(in_silver)), zero).alias("silver_rows"),
-        F.count_if((col(in_bronze) > 0) & absent).alias("missing"),
+        F.coalesce(F.sum(in_bronze), F.lit(0)).alias("bronze_rows"),
+        F.coalesce(F.sum(in_silver), F.lit(0)).alias("silver_rows"),
+        F.count_if((in_bronze > 0) & absent).alias("missing"),
     )
-    null_count = F.lit(None).cast("long")
-    key_checks = totals.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit(CHECK_COUNTS).alias("check"),
-                    F.lit("rows").alias("item"),
-                    col("bronze_rows"),
-                    col("silver_rows"),
-                    F.abs(col("bronze_rows") - col("silver_rows")).alias("violations"),
-                ),
-                F.struct(
-                    F.lit(CHECK_KEYS).alias("check"),
-                    F.lit("missing").alias("item"),
-                    null_count.alias("bronze_rows"),
-                    null_count.alias("silver_rows"),
-                    col("missing").alias("violations"),
-                ),
-            )
-        ).alias("r")
-    ).select("r.*")
-
-    diffs = column_diffs(bronze, silver, names, columns, exclude=exclude, null_safe=null_safe)
-    value_checks = diffs.unpivot([], cols(diffs.columns), "item", "violations").select(
-        F.lit(CHECK_VALUES).alias("check"),
-        col("item"),
-        null_count.alias("bronze_rows"),
-        null_count.alias("silver_rows"),
-        col("violations"),
+    diffs = column_diffs(bronze, silver, names, chosen, null_safe=null_safe)
+    value_rows = _as_rows(diffs, [_value_check(c, col(c)) for c in chosen])
+    return _as_rows(totals, _key_checks()).unionByName(value_rows)
+
+
+def _report_by_join(bronze, silver, keys, chosen, null_safe) -> DataFrame:
+    in_bronze = unused_name("in_bronze", [*keys, *chosen])
+    in_silver = unused_name("in_silver", [*keys, *chosen])
+    pairs = _paired(
+        bronze.withColumn(in_bronze, F.lit(1)),
+        silver.withColumn(in_silver, F.lit(1)),
+        keys,
+        chosen,
+        "full_outer",
+        null_safe,
+        markers=(in_bronze, in_silver),
+    )
+    both = col(in_bronze).isNotNull() & col(in_silver).isNotNull()
+    counted = [
+        F.count_if(both & _differs(c, null_safe)).alias(f"diff_{n}") for n, c in enumerate(chosen)
+    ]
+    totals = pairs.agg(
+        F.count(col(in_bronze)).alias("bronze_rows"),
+        F.count(col(in_silver)).alias("silver_rows"),
+        F.count_if(col(in_silver).isNull()).alias("missing"),
+        *counted,
+    )
+    values = [_value_check(c, col(f"diff_{n}")) for n, c in enumerate(chosen)]
+    return _as_rows(totals, [*_key_checks(), *values])
+
+
+def _chosen(bronze, silver, keys, columns, exclude) -> list[str]:
+    """The columns to compare, checked to exist on both sides."""
+    wanted = split_names(columns)
+    if wanted:
+        wanted = resolve(bronze.sparkSession, bronze.columns, wanted, "compared columns")
+        resolve(bronze.sparkSession, silver.columns, wanted, "compared columns")
+    else:
+        wanted, _ = comparable_columns(bronze, silver, keys, exclude)
+    if not wanted:
+        raise ValueError("no columns to compare")
+    return wanted
+
+
+def _paired(bronze, silver, keys, chosen, how, null_safe, markers=(None, None)) -> DataFrame:
+    """Bronze rows as `b` joined by key to silver rows as `s`, only the columns needed."""
+    needed = list(dict.fromkeys([*keys, *chosen]))
+    left, right = ([*needed, m] if m else needed for m in markers)
+    match = same_keys(keys, "b", "s")
+    if not null_safe:
+        match = all_of(col(k, "b") == col(k, "s") for k in keys)
+    return bronze.select(*cols(left)).alias("b").join(silver.select(*cols(right)).alias("s"), match, how)
+
+
+def _differs(name: str, null_safe: bool) -> Column:
+    left, right = col(name, "b"), col(name, "s")
+    return ~left.eqNullSafe(right) if null_safe else left != right
+
+
+def _check(kind: str, item: str, violations: Column, in_bronze=None, in_silver=None) -> Column:
+    unknown = F.lit(None).cast("long")
+    return F.struct(
+        F.lit(kind).alias("check"),
+        F.lit(item).alias("item"),
+        (unknown if in_bronze is None else in_bronze).alias("bronze_rows"),
+        (unknown if in_silver is None else in_silver).alias("silver_rows"),
+        violations.alias("violations"),
+        (violations == 0).alias("passed"),
     )
-    return key_checks.unionByName(value_checks).withColumn("passed", col("violations") == 0)
+
+
+def _key_checks() -> list[Column]:
+    held, kept = col("bronze_rows"), col("silver_rows")
+    return [
+        _check(CHECK_COUNTS, "rows", F.abs(held - kept), held, kept),
+        _check(CHECK_KEYS, "missing", col("missing")),
+    ]
+
+
+def _value_check(name: str, violations: Column) -> Column:
+    return _check(CHECK_VALUES, name, violations)
+
+
+def _as_rows(totals: DataFrame, checks: Sequence[Column]) -> DataFrame:
+    """One row per check out of a single row of totals."""
+    return totals.select(F.inline(F.array(*checks)))

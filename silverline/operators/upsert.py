@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,8 @@ from silverline.functions.columns import (
     unused_name,
 )
 
+STRATEGIES = ("full_outer", "anti_join")
+
 
 def align(source: DataFrame, target: T.StructType, *, fill_missing: bool = False) -> DataFrame:
     """`source` with the target's columns, in its order and types, matched by name.
@@ -65,6 +67,7 @@ def upsert(
     guard: str | Sequence[str] = (),
     fill_missing: bool = False,
     source_unique: bool = False,
+    strategy: str = "full_outer",
 ) -> DataFrame:
     """The target after merging `source` into it.
 
@@ -74,24 +77,51 @@ def upsert(
 
     Source keys must be unique. Pass `source_unique=True` when the source comes
     from a per-key operator on the same keys, which saves the check.
+
+    * `full_outer`: one join that evaluates each side once. For any source.
+    * `anti_join`: target rows without a match, followed by the source. Reads the
+      source twice, so it must be stored or cheap and always give the same rows. If
+      its keys are small enough to broadcast, the target is not shuffled at all.
     """
     names = require_keys(target, keys)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}; choose from {STRATEGIES}")
+    ages = resolve(target.sparkSession, target.columns, split_names(guard), "guard columns")
     incoming = align(source, target.schema, fill_missing=fill_missing)
     if not source_unique:
         incoming = require_unique_keys(incoming, names)
-    ages = resolve(target.sparkSession, target.columns, split_names(guard), "guard columns")
+    merge = _by_full_outer if strategy == "full_outer" else _by_anti_join
+    return merge(target, incoming, names, ages)
+
+
+def _by_full_outer(target, incoming, keys, ages) -> DataFrame:
+    arrived = unused_name("arrived", target.columns)
+    both = target.alias("t").join(
+        incoming.withColumn(arrived, F.lit(True)).alias("s"), same_keys(keys, "t", "s"), "full_outer"
+    )
+    take = col(arrived, "s").isNotNull()
     if ages:
-        stale = F.struct(*cols(ages, "s")) < F.struct(*cols(ages, "t"))
-        newest = target.select(*cols(dict.fromkeys([*names, *ages])))
-        incoming = incoming.alias("s").join(
-            newest.alias("t"), same_keys(names, "s", "t") & stale, "left_anti"
-        )
-    kept = target.alias("t").join(
-        incoming.select(*cols(names)).alias("s"), same_keys(names, "t", "s"), "left_anti"
+        take = take & ~_older(ages)
+    return both.select(
+        *[F.when(take, col(c, "s")).otherwise(col(c, "t")).alias(c) for c in target.columns]
     )
+
+
+def _by_anti_join(target, incoming, keys, ages) -> DataFrame:
+    if ages:
+        held = target.select(*cols(dict.fromkeys([*keys, *ages])))
+        stale = same_keys(keys, "s", "t") & _older(ages)
+        incoming = incoming.alias("s").join(held.alias("t"), stale, "left_anti")
+    arriving = incoming.select(*cols(keys))
+    kept = target.alias("t").join(arriving.alias("s"), same_keys(keys, "t", "s"), "left_anti")
     return kept.unionByName(incoming)
 
 
+def _older(ages: Sequence[str]) -> Column:
+    """Source row `s` sorts before target row `t`; NULL sorts before everything."""
+    return F.struct(*cols(ages, "s")) < F.struct(*cols(ages, "t"))
+
+
 def upsert_summary(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One row counting the keys a merge would insert, update and keep.
 

@@ -30,17 +30,26 @@ def reconcile(
     strategy: str = "window",
     columns: str | Sequence[str] | None = None,
     null_safe: bool = False,
+    silver_unique: bool = False,
 ) -> DataFrame:
     """The report of all checks, one row per check.
 
     Counts compare the chosen partitions with the whole table, so they agree only
     when the range covers every key. Without `columns`, all columns found on both
-    sides are compared except keys and the feed's partition column.
+    sides are compared except keys and the feed's partition column. Say
+    `silver_unique` for a table that cannot hold a key twice; the checks then take a
+    single join.
     """
     bronze = latest_per_key(feed.read(spark), keys, order_col, tiebreak=tiebreak, strategy=strategy)
     bronze = materialise(bronze, "bronze-latest")
     return report(
-        bronze, silver, keys, columns, exclude=[feed.partition_col], null_safe=null_safe
+        bronze,
+        silver,
+        keys,
+        columns,
+        exclude=[feed.partition_col],
+        null_safe=null_safe,
+        silver_unique=silver_unique,
     )
 
 

@@ -25,6 +25,9 @@ from silverline.session import materialise
 
 
 class CatalogTable:
+    # others may write to the table too
+    holds_keys_once = False
+
     def __init__(self, spark: SparkSession, name: Sequence[str], provider: str | None = "iceberg"):
         self.spark = spark
         self.name = ".".join(_quote(part) for part in name)

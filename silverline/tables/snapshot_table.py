@@ -56,6 +56,9 @@ DESCRIPTION = "col_name string, data_type string, comment string"
 
 
 class SnapshotTable:
+    # merges are the only way in, and they keep one row per key
+    holds_keys_once = True
+
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")

@@ -62,9 +62,13 @@ def test_unknown_compare_column(bronze, silver):
         column_diffs(bronze, silver, "k", exclude=["a", "b", "dt"])
 
 
+@pytest.mark.parametrize("silver_unique", [False, True])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_report_agrees_with_the_single_checks(bronze, silver, null_safe):
-    found = {(r["check"], r["item"]): r for r in report(bronze, silver, "k", exclude=["dt"], null_safe=null_safe).collect()}
+@pytest.mark.parametrize("empty", [False, True])
+def test_report_agrees_with_the_single_checks(bronze, silver, null_safe, silver_unique, empty):
+    silver = silver.limit(0) if empty else silver
+    checks = report(bronze, silver, "k", exclude=["dt"], null_safe=null_safe, silver_unique=silver_unique)
+    found = {(r["check"], r["item"]): r for r in checks.collect()}
     c = counts(bronze, silver).first()
     assert found["counts", "rows"]["bronze_rows"] == c["bronze_count"]
     assert found["counts", "rows"]["silver_rows"] == c["silver_count"]

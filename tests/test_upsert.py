@@ -16,9 +16,15 @@ def target(spark):
     )
 
 
-def test_matches_replace_rest_stays_and_new_rows_arrive(spark, target):
+
+
+both = pytest.mark.parametrize("strategy", ["full_outer", "anti_join"])
+
+
+@both
+def test_matches_replace_rest_stays_and_new_rows_arrive(spark, target, strategy):
     source = spark.createDataFrame([(1, "x", 1, "s1"), (3, "x", 9, "s2"), (None, None, 0, "s3")], SHAPE)
-    merged = upsert(target, source, "k,j")
+    merged = upsert(target, source, "k,j", strategy=strategy)
     assert merged.columns == target.columns
     assert rows(merged) == sorted(
         [(1, "x", 1, "s1"), (2, "x", 5, "t2"), (None, "x", None, "t3"), (None, None, 0, "s3"), (3, "x", 9, "s2")],
@@ -26,11 +32,12 @@ def test_matches_replace_rest_stays_and_new_rows_arrive(spark, target):
     )
 
 
-def test_guard_refuses_older_rows_and_null_is_oldest(spark, target):
+@both
+def test_guard_refuses_older_rows_and_null_is_oldest(spark, target, strategy):
     source = spark.createDataFrame(
         [(1, "x", 4, "old"), (2, "x", 5, "same"), (None, "x", None, "both null"), (None, None, None, "null")], SHAPE
     )
-    merged = {r["v"] for r in upsert(target, source, ["k", "j"], guard="g").collect()}
+    merged = {r["v"] for r in upsert(target, source, ["k", "j"], guard="g", strategy=strategy).collect()}
     assert merged == {"t1", "same", "both null", "t4"}
 
 
@@ -48,9 +55,10 @@ def test_missing_source_column(spark, target):
     assert (7, "x", None, None) in rows(upsert(target, source, ["k", "j"], fill_missing=True))
 
 
-def test_repeated_source_keys_fail_when_run(spark, target):
+@both
+def test_repeated_source_keys_fail_when_run(spark, target, strategy):
     source = spark.createDataFrame([(9, "x", 1, "a"), (9, "x", 2, "b")], SHAPE)
-    plan = upsert(target, source, ["k", "j"])
+    plan = upsert(target, source, ["k", "j"], strategy=strategy)
     with pytest.raises(PySparkException, match="several rows for one key"):
         plan.collect()
     with pytest.raises(PySparkException, match="several rows for one key"):
@@ -66,14 +74,26 @@ def test_summary_counts_by_marker_not_by_null_key(spark, target):
     assert rows(upsert_summary(target, source, "k,j")) == [(1, 2, 2)]
 
 
-def test_plan_is_a_null_safe_equi_join(spark, target, plan_of):
+@both
+def test_plan_is_a_null_safe_equi_join(spark, target, plan_of, strategy):
     source = spark.createDataFrame([(1, "x", 1, "s1")], SHAPE)
-    text = plan_of(upsert(target, source, ["k", "j"], source_unique=True))
-    assert "LeftAnti" in text
+    text = plan_of(upsert(target, source, ["k", "j"], guard="g", source_unique=True, strategy=strategy))
+    assert {"full_outer": "FullOuter", "anti_join": "LeftAnti"}[strategy] in text
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert bad not in text
 
 
+def test_full_outer_evaluates_the_source_once(spark, target, plan_of):
+    source = spark.range(10).selectExpr("int(id) k", "'x' j", "1 g", "string(rand()) v")
+    text = plan_of(upsert(target, source, ["k", "j"], source_unique=True))
+    assert text.count("Range (0, 10") == 1
+
+
+def test_unknown_strategy(target):
+    with pytest.raises(ValueError):
+        upsert(target, target, ["k", "j"], strategy="guess")
+
+
 keyed = st.dictionaries(
     st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.sampled_from("ab"))),
     st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.text("xyz", max_size=2)),
@@ -82,12 +102,12 @@ keyed = st.dictionaries(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(held=keyed, new=keyed)
-def test_against_a_dictionary(spark, held, new):
+@given(held=keyed, new=keyed, strategy=st.sampled_from(["full_outer", "anti_join"]))
+def test_against_a_dictionary(spark, held, new, strategy):
     def frame(d):
         return spark.createDataFrame([(*k, *v) for k, v in d.items()], SHAPE)
 
-    once = upsert(frame(held), frame(new), "k,j")
+    once = upsert(frame(held), frame(new), "k,j", strategy=strategy)
     assert rows(once) == sorted(((*k, *v) for k, v in {**held, **new}.items()), key=repr)
     assert rows(upsert(once, frame(new), "k,j")) == rows(once)
 
@@ -96,6 +116,6 @@ def test_against_a_dictionary(spark, held, new):
         return k not in held or age(new[k]) >= age(held[k])
 
     guarded = {**held, **{k: v for k, v in new.items() if newer(k)}}
-    assert rows(upsert(frame(held), frame(new), "k,j", guard="g")) == sorted(
+    assert rows(upsert(frame(held), frame(new), "k,j", guard="g", strategy=strategy)) == sorted(
         ((*k, *v) for k, v in guarded.items()), key=repr
     )
