@@ -30,30 +30,30 @@ def days_sql(table_name: str, first: str, last: str) -> str:
     generate_series(timestamp '{first}', timestamp '{last}', interval 1 day) g(d))"""
 
 
-@query(records_sql("(select *, o_orderdate::date as day from orders)", "o_orderkey", "pedido", "1995-01-01"))
+@query(records_sql("(select *, o_orderdate::date as day from orders)", "o_orderkey", "purchase", "1995-01-01"))
 def feed_records(spark, sf_dir):
     return change_feed(
-        table(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate", "pedido", KEY_SPACE, "1995-01-01",
+        table(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate", "purchase", KEY_SPACE, "1995-01-01",
         timestamp_type="timestamp_ntz",
     )
 
 
-@query(records_sql(days_sql("customer", "2026-01-01", "2026-01-20"), "c_custkey", "cliente", "2026-01-01"))
+@query(records_sql(days_sql("customer", "2026-01-01", "2026-01-20"), "c_custkey", "customer", "2026-01-01"))
 def feed_daily_versions(spark, sf_dir):
     """Every customer changes on each of twenty days; the days are generated."""
     days = daily_versions(table(spark, sf_dir, "customer"), "2026-01-01", "2026-01-20")
     return change_feed(
-        days, "c_custkey", "dt_ref", "cliente", KEY_SPACE, "2026-01-01", timestamp_type="timestamp_ntz"
+        days, "c_custkey", "dt_ref", "customer", KEY_SPACE, "2026-01-01", timestamp_type="timestamp_ntz"
     )
 
 
-@query(records_sql(days_sql("part", "2026-01-01", "2026-01-05"), "p_partkey", "produto", "2026-01-01"))
+@query(records_sql(days_sql("part", "2026-01-01", "2026-01-05"), "p_partkey", "product", "2026-01-01"))
 def feed_union_days(spark, sf_dir):
     """One frame per day, put together by name."""
     rows, start = table(spark, sf_dir, "part").select("p_partkey"), date(2026, 1, 1)
     frames = [
         change_feed(
-            rows.withColumn("day", F.lit(start + timedelta(days=n))), "p_partkey", "day", "produto",
+            rows.withColumn("day", F.lit(start + timedelta(days=n))), "p_partkey", "day", "product",
             KEY_SPACE, start, timestamp_type="timestamp_ntz",
         )
         for n in range(5)
@@ -63,19 +63,19 @@ def feed_union_days(spark, sf_dir):
 
 @query(
     """select entity, dt_ref, count(*)::bigint as n, count(distinct key)::bigint as keys, sum(on_flag)::bigint as active
-    from (select 'cliente' as entity, c_custkey % 300 as key, (c_custkey % 2 = 0)::int as on_flag, c_custkey from customer
-    union all select 'fatura', s_suppkey % 300, (s_suppkey % 2 = 0)::int, s_suppkey from supplier),
+    from (select 'customer' as entity, c_custkey % 300 as key, (c_custkey % 2 = 0)::int as on_flag, c_custkey from customer
+    union all select 'invoice', s_suppkey % 300, (s_suppkey % 2 = 0)::int, s_suppkey from supplier),
     (select d::date as dt_ref from generate_series(timestamp '2026-01-01', timestamp '2026-01-20', interval 1 day) g(d))
     group by all"""
 )
 def feed_entities(spark, sf_dir):
     """Two entities written through one function, each read back from its own path."""
     entities = {
-        "cliente": (table(spark, sf_dir, "customer"), "c_custkey"),
-        "fatura": (table(spark, sf_dir, "supplier"), "s_suppkey"),
+        "customer": (table(spark, sf_dir, "customer"), "c_custkey"),
+        "invoice": (table(spark, sf_dir, "supplier"), "s_suppkey"),
     }
     root = scratch_path(spark, "bronze")
-    paths = plans.write_entities(entities, root, "schema_teste", "2026-01-01", "2026-01-20", 300)
+    paths = plans.write_entities(entities, root, "sales", "2026-01-01", "2026-01-20", 300)
     sums = [
         spark.read.parquet(path)
         .groupBy(F.lit(name).alias("entity"), "dt_ref")

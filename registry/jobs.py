@@ -61,18 +61,18 @@ def consolidate_composite_key(spark, sf_dir):
     return silver.current()
 
 
-PART_FEED = records_sql(days_sql("part", "2026-01-01", "2026-01-10"), "p_partkey", "produto", "2026-01-01", 1000)
+PART_FEED = records_sql(days_sql("part", "2026-01-01", "2026-01-10"), "p_partkey", "product", "2026-01-01", 1000)
 
 
-@query(f"select * from ({PART_FEED}) qualify row_number() over (partition by id_produto order by dat_kafka desc) = 1")
+@query(f"select * from ({PART_FEED}) qualify row_number() over (partition by id_product order by dat_kafka desc) = 1")
 def consolidate_change_feed(spark, sf_dir):
     """A generated ten-day feed: the kept row always comes from the last day."""
     days = daily_versions(table(spark, sf_dir, "part"), "2026-01-01", "2026-01-10")
     records = change_feed(
-        days, "p_partkey", "dt_ref", "produto", 1000, "2026-01-01", timestamp_type="timestamp_ntz"
+        days, "p_partkey", "dt_ref", "product", 1000, "2026-01-01", timestamp_type="timestamp_ntz"
     )
     path, silver = write_partitioned(records, scratch_path(spark, "feed"), ["dt_ref"]), new_table(spark, "silver")
-    plans.consolidate(spark, _days(path, "2026-01-01", "2026-01-10"), silver, "id_produto", "dat_kafka")
+    plans.consolidate(spark, _days(path, "2026-01-01", "2026-01-10"), silver, "id_product", "dat_kafka")
     return silver.current()
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from silverline.operators.dedup import latest_per_key
 from silverline.plans.feeds import Feed
 from silverline.tables import CatalogTable, SnapshotTable
+from silverline.tables.snapshot_table import DEFAULT_BUCKETS
 
 
 def consolidate(
@@ -21,7 +22,7 @@ def consolidate(
     tiebreak: str | Sequence[str] = (),
     strategy: str = "window",
     partitions: str | Sequence[str] | None = None,
-    buckets: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
     recreate: bool = False,
     guard: str | Sequence[str] = (),
     fill_missing: bool = False,

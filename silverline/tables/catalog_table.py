@@ -47,7 +47,10 @@ class CatalogTable:
         buckets: int | None = None,
         recreate: bool = False,
     ) -> CatalogTable:
-        """Create the table empty with the columns of `like`, unless it exists."""
+        """Create the table empty with the columns of `like`, unless it exists.
+
+        `buckets` has no meaning here; the connector lays out its own files.
+        """
         require_keys(like, keys)
         parts = resolve(self.spark, like.columns, split_names(partitions), "partition columns")
         if recreate:

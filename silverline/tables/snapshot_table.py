@@ -44,6 +44,7 @@ from silverline.tables.schema_history import ADD, CHANGE, DROP, SchemaHistory
 SNAPSHOT, BUCKET = "_snapshot_id", "_key_bucket"
 HOLDING, INCOMING = 0, 1
 
+DEFAULT_BUCKETS = 16
 # a bucket with more rows is merged by several tasks
 ROWS_PER_TASK = 4_000_000
 
@@ -75,15 +76,16 @@ class SnapshotTable:
         keys: str | Sequence[str],
         *,
         partitions: str | Sequence[str] | None = None,
-        buckets: int | None = None,
+        buckets: int = DEFAULT_BUCKETS,
         recreate: bool = False,
     ) -> SnapshotTable:
         """Create the table empty with the columns of `like`, unless it exists.
 
         Partition columns must be columns of `like`. An existing table keeps its
         columns; other keys or partitions than its own are an error. `recreate`
-        starts over with an empty table and no history. `buckets` defaults to the
-        session's shuffle partitions; aim for a bucket that one task can sort.
+        starts over with an empty table and no history. `buckets` sets how finely a
+        merge can choose what to rewrite, not how parallel it runs: raise it for large
+        tables that receive few changes at a time.
         """
         names = require_keys(like, keys)
         parts = resolve(self.spark, like.columns, split_names(partitions), "partition columns")
@@ -97,7 +99,6 @@ class SnapshotTable:
         if reserved:
             raise ValueError(f"reserved column names: {reserved}")
         fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in like.schema.fields]
-        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         lineage = current.lineage + 1 if current else 1
         definition = (lineage, names, parts, buckets, T.StructType(fields).json())
         self._append(f"{self.base}/definition", DEFINITION, definition)
@@ -119,7 +120,7 @@ class SnapshotTable:
     def current(self) -> DataFrame:
         """Latest committed state, in the current schema."""
         history = self._history()
-        return self._state(self._last_id(), history, history.latest_id)
+        return self._state(None, history, history.latest_id)
 
     def as_of(self, snapshot_id: int) -> DataFrame:
         """State after the given commit, in the schema of that time."""
@@ -138,8 +139,8 @@ class SnapshotTable:
 
     def previous_snapshot(self) -> DataFrame:
         """The commit before the latest; no row if there is none."""
-        earlier = self.snapshots().where(col("snapshot_id") < self._last_id())
-        return earlier.orderBy(col("committed_at").desc(), col("snapshot_id").desc()).limit(1)
+        latest = (col("committed_at").desc(), col("snapshot_id").desc())
+        return self.snapshots().orderBy(*latest).limit(2).offset(1)
 
     def preview(self, n: int = 10) -> DataFrame:
         return self.current().limit(n)
@@ -171,8 +172,8 @@ class SnapshotTable:
         where the merge and the write share a single exchange; buckets that have
         grown large are spread over several tasks by key.
         """
-        spec, history, last = self._definition(), self._history(), self._last_id()
-        schema, snapshot_id = history.latest, last + 1
+        spec, history = self._definition(), self._history()
+        schema = history.latest
         if keys:
             self._check_keys(split_names(keys))
         ages = resolve(self.spark, schema.names, split_names(guard), "guard columns")
@@ -184,7 +185,8 @@ class SnapshotTable:
 
         # one row per touched bucket: bounded by the bucket count fixed at creation
         arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
-        live = self._live_parts(last)
+        last, live = self._live_parts()
+        snapshot_id = last + 1
         before = sum(p.row_count for p in live)
         if not arriving:
             self._commit_unchanged(snapshot_id, "merge", schema_id=history.latest_id, total=before)
@@ -273,8 +275,8 @@ class SnapshotTable:
 
     def _find_definition(self) -> Row | None:
         if self._spec is None:
-            log = self._log(f"{self.base}/definition", DEFINITION)
-            self._spec = log.orderBy(col("lineage").desc()).first()
+            log = self._find_log(f"{self.base}/definition", DEFINITION)
+            self._spec = log.orderBy(col("lineage").desc()).first() if log is not None else None
         return self._spec
 
     def _definition(self) -> Row:
@@ -291,25 +293,27 @@ class SnapshotTable:
     def _history(self) -> SchemaHistory:
         first = T.StructType.fromJson(json.loads(self._definition().schema_json))
         # one row per ALTER ever issued
-        changes = self._log(self._path("schema_log"), CHANGE).collect()
-        return SchemaHistory(first, sorted(changes, key=lambda c: c.schema_id))
+        log = self._find_log(self._path("schema_log"), CHANGE)
+        changes = sorted(log.collect(), key=lambda c: c.schema_id) if log is not None else []
+        return SchemaHistory(first, changes)
 
     def _path(self, part: str) -> str:
         return f"{self.base}/lineage={self._definition().lineage}/{part}"
 
-    def _log(self, path: str, schema: str) -> DataFrame:
+    def _find_log(self, path: str, schema: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return empty_frame(self.spark, T.StructType.fromDDL(schema))
+            return None
 
     def _append(self, path: str, schema: str, row: tuple) -> None:
         one_row(self.spark, T.StructType.fromDDL(schema), row).write.mode("append").parquet(path)
 
     def _commits(self) -> DataFrame:
-        return self._log(self._path("commits"), COMMITS)
+        log = self._find_log(self._path("commits"), COMMITS)
+        return empty_frame(self.spark, T.StructType.fromDDL(COMMITS)) if log is None else log
 
     def _commit(self, row: DataFrame) -> None:
         row = row.withColumn("committed_at", F.current_timestamp())
@@ -323,21 +327,29 @@ class SnapshotTable:
         row = (self._history().latest_id + 1, op, name, column_type, comment)
         self._append(self._path("schema_log"), CHANGE, row)
 
-    def _last_id(self) -> int:
-        return self.snapshots().agg(F.max("snapshot_id")).first()[0] or 0
-
     # -- state --------------------------------------------------------------
 
-    def _live_parts(self, upto: int) -> list[Row]:
-        """For every bucket the newest committed copy; at most one row per bucket."""
-        written = self._commits().where(col("snapshot_id") <= upto).select(
-            "snapshot_id", "schema_id", F.size("parts").alias("parts"), F.explode("parts").alias(BUCKET, "row_count")
+    def _live_parts(self, upto: int | None = None) -> tuple[int, list[Row]]:
+        """The newest commit, and for every bucket its newest committed copy.
+
+        Collects at most one row per bucket, and one for commits that wrote none.
+        """
+        commits = self._commits()
+        if upto is not None:
+            commits = commits.where(col("snapshot_id") <= upto)
+        written = commits.select(
+            "snapshot_id",
+            "schema_id",
+            F.size("parts").alias("parts"),
+            F.explode_outer("parts").alias(BUCKET, "row_count"),
         )
         newest = F.max_by(F.struct("snapshot_id", "schema_id", "parts", "row_count"), "snapshot_id")
-        return written.groupBy(BUCKET).agg(newest.alias("p")).select(BUCKET, "p.*").collect()
+        found = written.groupBy(BUCKET).agg(newest.alias("p")).select(BUCKET, "p.*").collect()
+        last = max((r.snapshot_id for r in found), default=0)
+        return last, [r for r in found if r[BUCKET] is not None]
 
-    def _state(self, upto: int, history: SchemaHistory, schema_id: int) -> DataFrame:
-        rows = self._read(self._live_parts(upto), history, schema_id)
+    def _state(self, upto: int | None, history: SchemaHistory, schema_id: int) -> DataFrame:
+        rows = self._read(self._live_parts(upto)[1], history, schema_id)
         fields = history.at(schema_id).fields
         return rows.select(*[col(f.name).alias(f.name, metadata=f.metadata or {}) for f in fields])
 

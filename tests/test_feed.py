@@ -10,12 +10,12 @@ from tests.conftest import rows
 
 def test_record_of_one_row(spark):
     df = spark.createDataFrame([(90_001, date(2026, 1, 3))], "id long, day date")
-    row = change_feed(df, "id", "day", "cliente", 5000, "2026-01-01").first().asDict()
+    row = change_feed(df, "id", "day", "customer", 5000, "2026-01-01").first().asDict()
     assert row == {
-        "id_cliente": "1",
+        "id_customer": "1",
         "dat_update": datetime(2026, 1, 3, 2),
         "ind_status": "I",
-        "des_cliente": "cliente_1_v2",
+        "des_customer": "customer_1_v2",
         "flg_ativo": "N",
         "dat_kafka": datetime(2026, 1, 4, 1, 0, 1),
         "dt_ref": date(2026, 1, 3),
@@ -54,10 +54,10 @@ def test_empty_ranges_are_errors(spark):
 
 def test_latest_record_of_every_key_is_from_the_last_day(spark, tmp_path):
     paths = write_entities(
-        {"cliente": (spark.range(700), "id"), "produto": (spark.range(90), "id")},
+        {"customer": (spark.range(700), "id"), "product": (spark.range(90), "id")},
         str(tmp_path), "s", "2026-01-01", "2026-01-05", key_space=300,
     )
-    for name, keys in (("cliente", 300), ("produto", 90)):
+    for name, keys in (("customer", 300), ("product", 90)):
         feed = spark.read.parquet(paths[name])
         kept = latest_per_key(feed, f"id_{name}", "dat_kafka").collect()
         assert len(kept) == keys

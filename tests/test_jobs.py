@@ -22,13 +22,13 @@ def run(tmp_path, job, *args):
 def test_feed_consolidate_reconcile_evolve_inspect(tmp_path):
     bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
     made = run(
-        tmp_path, "make_feed", "--entity", "cliente=/root/testdata/sf0.001/customer.parquet:c_custkey",
+        tmp_path, "make_feed", "--entity", "customer=/root/testdata/sf0.001/customer.parquet:c_custkey",
         "--output-root", bronze, "--schema", "s", "--start-date", "2026-01-01", "--end-date", "2026-01-04",
         "--key-space", "50",
     )
     assert made.returncode == 0, made.stderr
-    table = ["--database", "d", "--table", "cliente", "--warehouse", silver]
-    feed = ["--bronze-uri", f"{bronze}/s/cliente", "--pk", "id_cliente", "--dedup-col", "dat_kafka",
+    table = ["--database", "d", "--table", "customer", "--warehouse", silver]
+    feed = ["--bronze-uri", f"{bronze}/s/customer", "--pk", "id_customer", "--dedup-col", "dat_kafka",
             "--partition-col", "dt_ref"]
 
     merged = run(tmp_path, "consolidate", *table, *feed, "--partition-range", "2026-01-01,2026-01-03", "--count-input")
@@ -40,12 +40,12 @@ def test_feed_consolidate_reconcile_evolve_inspect(tmp_path):
     stale = run(tmp_path, "reconcile", *table, *feed, "--partition-values", "2026-01-04")
     assert stale.returncode != 0 and "column_values" in stale.stderr
 
-    added = run(tmp_path, "evolve", "add", *table, "--column-name", "nota", "--column-type", "string")
-    assert added.returncode == 0 and "nota" in added.stdout
+    added = run(tmp_path, "evolve", "add", *table, "--column-name", "note", "--column-type", "string")
+    assert added.returncode == 0 and "note" in added.stdout
     seen = run(tmp_path, "inspect_table", *table, "--limit", "3")
-    assert seen.returncode == 0 and "nota" in seen.stdout
-    dropped = run(tmp_path, "evolve", "drop", *table, "--column-name", "nota")
-    assert dropped.returncode == 0 and "nota" not in dropped.stdout
+    assert seen.returncode == 0 and "note" in seen.stdout
+    dropped = run(tmp_path, "evolve", "drop", *table, "--column-name", "note")
+    assert dropped.returncode == 0 and "note" not in dropped.stdout
 
 
 @pytest.mark.parametrize("extra", [[], ["--partition-values", "a", "--partition-range", "a,b"]])
