@@ -32,7 +32,5 @@ def write_partitioned(
     if rebalance:
         df = df.hint("rebalance", *names)
     writer = df.write.format(fmt).mode(mode).options(**(options or {})).partitionBy(*names)
-    if touched_only:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    writer.option("partitionOverwriteMode", "dynamic" if touched_only else "static").save(path)
     return path

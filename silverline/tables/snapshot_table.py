@@ -170,7 +170,8 @@ class SnapshotTable:
         Same rules as `operators.upsert`. The source is evaluated once. Only the
         buckets holding its keys are read. Old and new rows of a key meet in one task,
         where the merge and the write share a single exchange; buckets that have
-        grown large are spread over several tasks by key.
+        grown large are spread over several tasks by key. Into an empty table the
+        source is written straight away.
         """
         spec, history = self._definition(), self._history()
         schema = history.latest
@@ -181,40 +182,35 @@ class SnapshotTable:
         if not source_unique:
             incoming = require_unique_keys(incoming, spec.keys)
         bucket = F.pmod(F.xxhash64(*cols(spec.keys)), F.lit(spec.buckets)).cast("int")
-        incoming = materialise(incoming.withColumn(BUCKET, bucket), "merge-source")
+        incoming = incoming.withColumn(BUCKET, bucket)
 
-        # one row per touched bucket: bounded by the bucket count fixed at creation
-        arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
         last, live = self._live_parts()
-        snapshot_id = last + 1
         before = sum(p.row_count for p in live)
+        folder = f"{self._path('data')}/{SNAPSHOT}={last + 1}"
+        if not live:
+            # adaptive execution sizes the files of each bucket
+            self._save(incoming.hint("rebalance", BUCKET), folder)
+            self._commit_folder(folder, last + 1, history, before=0, replaced=0, accepted=None)
+            return last + 1
+
+        incoming = materialise(incoming, "merge-source")
+        # one row per touched bucket: bounded by the bucket count fixed at creation
+        arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
         if not arriving:
-            self._commit_unchanged(snapshot_id, "merge", schema_id=history.latest_id, total=before)
-            return snapshot_id
-
+            self._commit_unchanged(last + 1, "merge", schema_id=history.latest_id, total=before)
+            return last + 1
         touched = [p for p in live if p[BUCKET] in arriving]
         held = self._read(touched, history, history.latest_id)
-        folder = f"{self._path('data')}/{SNAPSHOT}={snapshot_id}"
-        arrived, holding = sum(arriving.values()), sum(p.row_count for p in touched)
-        splits = -(-(arrived + holding) // (ROWS_PER_TASK * len(arriving)))
-        accepted = self._write_merged(held, incoming, len(arriving), splits, folder, ages)
-        accepted = arrived if accepted is None else accepted
-
-        sizes = self._scan([folder], schema).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("row_count"))
-        inserted = F.sum("row_count") - F.lit(holding)
-        # one entry per touched bucket
-        written = F.map_from_entries(F.collect_list(F.struct(BUCKET, "row_count")))
-        commit = sizes.agg(inserted.alias("inserted"), written.alias("parts")).select(
-            F.lit(snapshot_id).alias("snapshot_id"),
-            F.lit("merge").alias("operation"),
-            F.lit(history.latest_id).alias("schema_id"),
-            "inserted",
-            (F.lit(accepted) - col("inserted")).alias("updated"),
-            (F.lit(before) + col("inserted")).alias("total"),
-            "parts",
-        )
-        self._commit(commit)
-        return snapshot_id
+        arrived, replaced = sum(arriving.values()), sum(p.row_count for p in touched)
+        splits = -(-(arrived + replaced) // (ROWS_PER_TASK * len(arriving)))
+        merged, side = self._merged(held, incoming, len(arriving), splits, ages)
+        if ages:
+            taken = Observation()
+            merged = merged.observe(taken, F.count_if(col(side) == INCOMING).alias("rows"))
+        self._save(merged.drop(side), folder)
+        accepted = taken.get["rows"] if ages else arrived
+        self._commit_folder(folder, last + 1, history, before=before, replaced=replaced, accepted=accepted)
+        return last + 1
 
     def add_column(self, name: str, column_type: str, comment: str | None = None) -> None:
         """Add a column at the end; existing rows read NULL. Makes no snapshot."""
@@ -232,19 +228,11 @@ class SnapshotTable:
             raise ValueError(f"{name!r} is a key or partition column")
         self._log_change(DROP, name, None, None)
 
-    def _write_merged(
-        self,
-        held: DataFrame,
-        incoming: DataFrame,
-        touched: int,
-        splits: int,
-        folder: str,
-        guard: Sequence[str],
-    ) -> int | None:
-        """Write the new copy of every touched bucket, each from `splits` tasks.
-
-        Returns how many source rows were taken when a guard may refuse some.
-        """
+    def _merged(
+        self, held: DataFrame, incoming: DataFrame, touched: int, splits: int, guard: Sequence[str]
+    ) -> tuple[DataFrame, str]:
+        """New rows of the touched buckets, each bucket in `splits` tasks, and the name
+        of the column telling which side a row came from."""
         spec = self._definition()
         side = unused_name("side", held.columns)
         rows = held.withColumn(side, F.lit(HOLDING)).unionByName(incoming.withColumn(side, F.lit(INCOMING)))
@@ -258,18 +246,45 @@ class SnapshotTable:
         else:
             rows = rows.repartition(touched * splits, col(cell))
         merged = newest_side(rows, dict.fromkeys([BUCKET, cell, *spec.keys]), side, guard)
-        if splits > 1:
-            merged = merged.drop(cell)
-        taken = Observation()
-        if guard:
-            merged = merged.observe(taken, F.count_if(col(side) == INCOMING).alias("rows"))
+        return (merged.drop(cell) if splits > 1 else merged), side
+
+    def _save(self, rows: DataFrame, folder: str) -> None:
+        """Write rows by bucket, replacing whatever an unfinished commit left there."""
+        spec = self._definition()
         for name in spec.partitions:
             # an empty text would read back as NULL from a directory name
-            if isinstance(merged.schema[name].dataType, T.StringType):
+            if isinstance(rows.schema[name].dataType, T.StringType):
                 refuse = F.raise_error(F.lit(f"empty text in partition column {name}")).cast("string")
-                merged = merged.withColumn(name, F.when(col(name) == "", refuse).otherwise(col(name)))
-        merged.drop(side).write.mode("overwrite").partitionBy(BUCKET, *spec.partitions).parquet(folder)
-        return taken.get["rows"] if guard else None
+                rows = rows.withColumn(name, F.when(col(name) == "", refuse).otherwise(col(name)))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(BUCKET, *spec.partitions).parquet(folder)
+
+    def _commit_folder(
+        self,
+        folder: str,
+        snapshot_id: int,
+        history: SchemaHistory,
+        *,
+        before: int,
+        replaced: int,
+        accepted: int | None,
+    ) -> None:
+        """Commit the buckets found in `folder`; row counts come from the file footers."""
+        sizes = self._scan([folder], history.latest).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("row_count"))
+        inserted = F.coalesce(F.sum("row_count"), F.lit(0)) - F.lit(replaced)
+        # one entry per touched bucket
+        written = F.map_from_entries(F.collect_list(F.struct(BUCKET, "row_count")))
+        taken = col("inserted") if accepted is None else F.lit(accepted)
+        commit = sizes.agg(inserted.alias("inserted"), written.alias("parts")).select(
+            F.lit(snapshot_id).alias("snapshot_id"),
+            F.lit("merge").alias("operation"),
+            F.lit(history.latest_id).alias("schema_id"),
+            "inserted",
+            (taken - col("inserted")).alias("updated"),
+            (F.lit(before) + col("inserted")).alias("total"),
+            "parts",
+        )
+        self._commit(commit)
 
     # -- logs ---------------------------------------------------------------
 

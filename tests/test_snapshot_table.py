@@ -86,15 +86,26 @@ def test_unfinished_commit_is_ignored_and_overwritten(spark, table, base, monkey
     def lost(*_):
         raise RuntimeError("driver lost")
 
+    # a session that keeps untouched partitions on overwrite must not keep leftovers
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     with monkeypatch.context() as patch:
         patch.setattr(SnapshotTable, "_commit", lost)
         with pytest.raises(RuntimeError):
             table.merge(frame(spark, [(i, 9, "half") for i in range(50)]))
     assert rows(SnapshotTable(spark, base).current()) == [(1, 1, "a")]
     table.merge(frame(spark, [(2, 1, "b")]))
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert rows(SnapshotTable(spark, base).current()) == [(1, 1, "a"), (2, 1, "b")]
 
 
+def test_first_merge_of_nothing(spark, table):
+    table.merge(frame(spark, []))
+    table.merge(frame(spark, [(1, 1, "a")]))
+    assert rows(table.current()) == [(1, 1, "a")]
+    log = table.snapshots().orderBy("snapshot_id").select("inserted", "updated", "total").collect()
+    assert [tuple(r) for r in log] == [(0, 0, 0), (0, 0, 0), (1, 0, 1)]
+
+
 def test_repeated_source_keys_leave_the_table_alone(spark, table):
     with pytest.raises(PySparkException, match="several rows for one key"):
         table.merge(frame(spark, [(1, 1, "a"), (1, 2, "b")]))
