@@ -27,13 +27,18 @@ def split_names(text: str | Sequence[str] | None) -> list[str]:
     return [p.strip() for p in parts if p and p.strip()]
 
 
+def name_folder(spark: SparkSession):
+    """How this session compares column names: as written, or in lower case."""
+    exact = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+    return (lambda name: name) if exact else str.lower
+
+
 def resolve(spark: SparkSession, available: Sequence[str], wanted: Iterable[str], what: str) -> list[str]:
     """Spell `wanted` as in `available`, following the session's case rule.
 
     Raises ValueError naming every column that does not exist.
     """
-    exact = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
-    fold = (lambda s: s) if exact else str.lower
+    fold = name_folder(spark)
     known = {fold(a): a for a in available}
     wanted = list(wanted)
     missing = [w for w in wanted if fold(w) not in known]

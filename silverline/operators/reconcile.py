@@ -18,6 +18,7 @@ from silverline.functions.columns import (
     col,
     cols,
     contains_map,
+    name_folder,
     require_keys,
     resolve,
     same_keys,
@@ -74,17 +75,20 @@ def comparable_columns(
     The second list names columns found on one side only and columns holding maps,
     which Spark cannot compare.
     """
-    skip = {*keys, *exclude}
-    shared = [c for c in bronze.columns if c in silver.columns and c not in skip]
-    maps = [
-        c
-        for c in shared
-        if contains_map(bronze.schema[c].dataType) or contains_map(silver.schema[c].dataType)
-    ]
-    one_sided = [c for c in bronze.columns if c not in silver.columns]
-    one_sided += [c for c in silver.columns if c not in bronze.columns]
-    skipped = [c for c in one_sided if c not in skip] + maps
-    return [c for c in shared if c not in maps], skipped
+    fold = name_folder(bronze.sparkSession)
+    skip = {fold(c) for c in (*keys, *exclude)}
+    ours = {fold(c): c for c in bronze.columns if fold(c) not in skip}
+    theirs = {fold(c): c for c in silver.columns if fold(c) not in skip}
+    shared = [n for n in ours if n in theirs]
+    maps = {
+        n
+        for n in shared
+        if contains_map(bronze.schema[ours[n]].dataType) or contains_map(silver.schema[theirs[n]].dataType)
+    }
+    skipped = [c for n, c in ours.items() if n not in theirs]
+    skipped += [c for n, c in theirs.items() if n not in ours]
+    skipped += [ours[n] for n in shared if n in maps]
+    return [ours[n] for n in shared if n not in maps], skipped
 
 
 def column_diffs(

@@ -10,22 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-DEFAULTS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
-}
-
 
 def build(
     app_name: str, *, master: str | None = None, conf: Mapping[str, str] | None = None
 ) -> SparkSession:
-    """Get or create a session. Catalogs and extensions come from submit flags or `conf`."""
+    """Get or create a session. Catalogs, extensions and sizes come from submit flags or `conf`;
+    adaptive execution is on by default in Spark."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

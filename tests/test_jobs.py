@@ -13,7 +13,7 @@ ROOT = Path(__file__).resolve().parents[1]
 def run(tmp_path, job, *args):
     code = f"import sys; from silverline.jobs.{job} import main; main(sys.argv[1:])"
     env = {**os.environ, "PYTHONPATH": str(ROOT), "PYSPARK_SUBMIT_ARGS": "--master local[4] "
-           "--conf spark.sql.shuffle.partitions=4 --conf spark.sql.session.timeZone=UTC pyspark-shell"}
+           "--conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4 --conf spark.sql.session.timeZone=UTC pyspark-shell"}
     return subprocess.run(
         [sys.executable, "-c", code, *args], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
     )

@@ -55,6 +55,11 @@ def test_default_columns_skip_one_sided_and_map_columns(bronze, silver):
     assert column_diffs(left, right, "k", exclude=["dt"]).columns == ["a", "b"]
 
 
+def test_names_differ_in_case_only(bronze, silver):
+    upper = silver.withColumnsRenamed({"a": "A", "k": "K"})
+    assert column_diffs(bronze, upper, "k", exclude=["DT"]).first().asDict() == {"a": 1, "b": 0}
+
+
 def test_unknown_compare_column(bronze, silver):
     with pytest.raises(ValueError):
         column_diffs(bronze, silver.drop("a"), "k", "a")
