@@ -53,7 +53,6 @@ COMMITS = (
     "snapshot_id long, committed_at timestamp, operation string, schema_id int, "
     "inserted long, updated long, total long, parts map<int, long>"
 )
-DESCRIPTION = "col_name string, data_type string, comment string"
 
 
 class SnapshotTable:
@@ -147,12 +146,15 @@ class SnapshotTable:
 
     def describe(self) -> DataFrame:
         """Name, type and comment of every column."""
-        shape = T.StructType.fromDDL(DESCRIPTION)
-        rows = [
-            one_row(self.spark, shape, (f.name, f.dataType.simpleString(), (f.metadata or {}).get("comment")))
+        described = [
+            F.struct(
+                F.lit(f.name).alias("col_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.lit((f.metadata or {}).get("comment")).cast("string").alias("comment"),
+            )
             for f in self.schema
         ]
-        return reduce(DataFrame.unionByName, rows)
+        return self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*described)))
 
     # -- writing ------------------------------------------------------------
 
