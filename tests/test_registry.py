@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+import registry
 from tests.oracle import duck_tables, spark_rows, sql_rows
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= driver.queries().items()
+    assert SQL.items() <= driver.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
