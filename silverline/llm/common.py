@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverline.session import materialise
+from silverline.session import scratch_path
 
 __all__ = ["LAST_ID", "SPACES", "WORD", "materialise", "partitions", "running_total", "table", "words"]
 
@@ -17,6 +17,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 LAST_ID = 2**63 - 1
 
 
+def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Evaluate `df` once into Parquet in the shared folder and return a scan of it: what later steps read again
+    after an executor is lost."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverline.llm.common import materialise
-from silverline.llm.tokens import ALNUM, LOWER, Grams, hash_words, text_chunks
+from silverline.llm.tokens import ALNUM, LOWER, Grams, hash_words, small, text_chunks
 
 #: Words of a window, words of a shingle, and the windows that tasks hold at once.
 WINDOW, SHINGLE, BLOCK = 13, 5, 200_000
@@ -130,14 +130,14 @@ def _count(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         )
 
 
-def _find_windows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _find_windows(batches: Iterator[pa.RecordBatch], text_col: str, shared) -> Iterator[pa.RecordBatch]:
     """Per document its number of words, and the spans and items of the windows that occur in it, added to those
     that it has already."""
     index: Shingles = pickle.loads(shared.value)
     span = pa.struct([("word", pa.int64()), ("end", pa.int64())])
-    for batch in batches:
+    for batch in small(batches):
         n_words, spans, items = [], batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-        for texts in text_chunks(batch.column("text"), ALNUM, LOWER):
+        for texts in text_chunks(batch.column("whole").field(text_col), ALNUM, LOWER):
             first = texts.first.tolist()
             found: dict[int, list] = defaultdict(list)
             for size in index.keys:
@@ -170,12 +170,11 @@ def _find_windows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("whole"),
-                batch.column("text"),
                 pa.array(n_words, pa.int64()),
                 pa.array(spans, pa.list_(span)),
                 pa.array(items, pa.list_(pa.string())),
             ],
-            ["whole", "text", "n_words", "spans", "items"],
+            ["whole", "n_words", "spans", "items"],
         )
 
 
@@ -217,7 +216,6 @@ def find_contamination(
     text = F.col(text_col)
     found = docs.select(
         F.struct(*docs.columns).alias("whole"),
-        text.alias("text"),
         F.expr(f"cast(array() as {SPANS})").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
@@ -234,8 +232,8 @@ def find_contamination(
             index.only_rarest({(size, i): n for size, i, n in counts})
         shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))
         found = found.mapInArrow(
-            lambda batches, shared=shared: _find_windows(batches, shared),
-            f"whole {whole}, text string, n_words long, spans {SPANS}, items array<string>",
+            lambda batches, shared=shared: _find_windows(batches, text_col, shared),
+            f"whole {whole}, n_words long, spans {SPANS}, items array<string>",
         )
         if i + 1 < blocks:
             found = materialise(found, "block")

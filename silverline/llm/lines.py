@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.llm.common import LAST_ID, materialise
+from silverline.llm.tokens import small
 from silverline.session import scratch_path
 
 #: Hashes that a task returns at once.
@@ -109,10 +110,10 @@ def _id(id_col: str):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(-LAST_ID - 1))
 
 
-def _keep_lines(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _keep_lines(batches: Iterator[pa.RecordBatch], text_col: str, min_chars: int) -> Iterator[pa.RecordBatch]:
+    for batch in small(batches):
         lines, dropped, texts = [], [], []
-        for text, drop in zip(batch.column("text"), batch.column("drop")):
+        for text, drop in zip(batch.column("whole").field(text_col), batch.column("drop")):
             all_lines = (text.as_py() or "").encode().split(b"\n")
             kept = all_lines
             if drop.is_valid:
@@ -127,7 +128,7 @@ def _keep_lines(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[p
                 batch.column("whole"),
                 pa.array(lines, pa.int64()),
                 pa.array(dropped, pa.int64()),
-                pa.array(texts, pa.binary()).cast(pa.string()),
+                pa.array(texts, pa.string()),
             ],
             ["whole", "n_lines", "n_dropped", "kept"],
         )
@@ -173,16 +174,12 @@ def dedup_lines(
         .groupBy("id", "row")
         .agg(F.collect_set("h").alias("drop"))
     )
-    text = F.col(text_col)
     rows = docs.select(
-        F.struct(*docs.columns).alias("whole"),
-        _id(id_col).alias("id"),
-        F.xxhash64(text).alias("row"),
-        text.alias("text"),
+        F.struct(*docs.columns).alias("whole"), _id(id_col).alias("id"), F.xxhash64(text_col).alias("row")
     )
-    joined = rows.join(drops, ["id", "row"], "left").select("whole", "text", "drop")
+    joined = rows.join(drops, ["id", "row"], "left").select("whole", "drop")
     whole = joined.schema["whole"].dataType.simpleString()
     return joined.mapInArrow(
-        lambda batches: _keep_lines(batches, min_chars),
+        lambda batches: _keep_lines(batches, text_col, min_chars),
         f"whole {whole}, n_lines long, n_dropped long, kept string",
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline.llm.common import WORD, materialise, running_total
-from silverline.llm.tokens import hash_words
+from silverline.llm.tokens import hash_words, small
 
 #: Rounds of the permutation network, and the constants that mix each round.
 ROUNDS, MIX = 6, (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
@@ -276,10 +276,10 @@ def _spread(targets: DataFrame) -> DataFrame:
     return rows.repartition("source_id", "first")
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_texts(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
     """Keep the words of each text that its spans name."""
-    for batch in batches:
-        spans, texts = batch.column("spans").to_pylist(), batch.column("text")
+    for batch in small(batches):
+        spans, texts = batch.column("spans").to_pylist(), batch.column("whole").field(text_col)
         out = []
         for text, wanted in zip(texts, spans):
             data = text.as_py().encode()
@@ -316,13 +316,12 @@ def mixed_documents(
         F.col(id_col).alias("_id"),
         F.xxhash64(text).alias("_row"),
         F.col(source_col).alias("_source"),
-        text.alias("text"),
     )
-    rows = rows.where("text is not null").withColumn(
+    rows = rows.withColumn(
         "_copy", F.row_number().over(Window.partitionBy("_id", "_row", "_source").orderBy("_id")) - 1
     )
     same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key))
-    taken = rows.join(spans, same).select("whole", "text", "spans")
+    taken = rows.join(spans, same).select("whole", "spans")
     whole = taken.schema["whole"].dataType.simpleString()
-    cut = taken.mapInArrow(_cut_texts, f"whole {whole}, cut string")
+    cut = taken.mapInArrow(lambda batches: _cut_texts(batches, text_col), f"whole {whole}, cut string")
     return cut.select(*(F.col("cut").alias(c) if c == text_col else F.col("whole")[c].alias(c) for c in docs.columns))

@@ -13,6 +13,7 @@ from xxhash import xxh64_intdigest
 
 from silverline.llm.common import LAST_ID, materialise
 from silverline.llm.components import connected_components
+from silverline.llm.tokens import small
 
 BITS = 64
 #: Bytes of a text that are cut into words at once, and shingles that are counted at once.
@@ -52,7 +53,7 @@ def fingerprint(text: bytes, n: int) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         prints = [fingerprint((t.as_py() or "").encode(), n) for t in batch.column("text")]
         prints = np.array(prints, np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(prints)], ["id", "row", "fp"])

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from silverline.llm.common import LAST_ID, materialise
 from silverline.llm.fm_index import FMIndex
-from silverline.llm.tokens import Grams, hash_words, text_chunks
+from silverline.llm.tokens import Grams, hash_words, small, text_chunks
 
 #: Words of an anchor; words in an index shard; segments of an anchor that may share a shard.
 ANCHOR, SHARD_WORDS, HOT = 10, 250_000, 2_000
 #: Segments that a task returns at once.
-ROWS_OUT = 1 << 13
+ROWS_OUT = 1 << 12
 
 
 def anchors(hashes: np.ndarray, row_of: np.ndarray, window: int, size: int) -> tuple[np.ndarray, ...]:
@@ -70,31 +70,32 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], window: int, size: int) ->
 def _cut_segments(batches: Iterator[pa.RecordBatch], window: int, shards: int) -> Iterator[pa.RecordBatch]:
     """The words of the wanted segments, each with the shard that it goes to.
 
-    Segments go by anchor; those of a hot anchor are cut into windows that go by their own hash.
+    Segments go whole, by anchor; those of a hot anchor are cut into windows that go by their own hash.
     """
-    names = ["shard", "anchor", "segment", "at", "id", "words"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    names = ["shard", "anchor", "segment", "at", "piece", "hot", "id", "words"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.string()]
     out: list[tuple] = []
 
     def flush():
         columns = zip(*out) if out else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    for batch in batches:
+    for batch in small(batches):
         for doc, text, wanted in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("wanted")):
             data = text.as_py().encode()
             starts, ends, hashes = hash_words(data)
-            grams = Grams(hashes).all(window)
+            grams = Grams(hashes).all(window).view(np.int64)
             for w in wanted.as_py():
-                pieces = [(0, w["n"], w["anchor"])]
+                pieces = [(0, w["n"], w["segment"], w["anchor"])]
                 if w["hot"]:
-                    pieces = [(k, 1, int(grams[w["first"] + k])) for k in range(w["n"])]
-                for at, n, key in pieces:
+                    own = grams[w["first"] : w["first"] + w["n"]].tolist()
+                    pieces = [(k, 1, h, h) for k, h in enumerate(own)]
+                for at, n, piece, key in pieces:
                     a = w["first"] + at
                     words = b" ".join(
                         data[i:j] for i, j in zip(starts[a : a + n + window - 1], ends[a : a + n + window - 1])
                     )
-                    out.append((key % shards, w["anchor"], w["segment"], at, doc, words))
+                    out.append((key % shards, w["anchor"], w["segment"], at, piece, w["hot"], doc, words))
                 if len(out) >= ROWS_OUT:
                     yield flush()
                     out = []
@@ -128,14 +129,14 @@ def _search_shard(table: pa.Table, window: int) -> pa.Table:
     at = np.repeat(first, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     offsets = np.concatenate(([0], np.cumsum(windows))).astype(np.int32)
     found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(least[at]))
-    return table.select(["anchor", "segment", "at"]).append_column("least", found)
+    return table.select(["anchor", "piece"]).append_column("least", found)
 
 
-def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _remove(batches: Iterator[pa.RecordBatch], text_col: str, window: int) -> Iterator[pa.RecordBatch]:
     """Take out the words that repeated windows cover."""
-    for batch in batches:
+    for batch in small(batches):
         n_words, spans, kept = [], [], []
-        for text, found in zip(batch.column("text"), batch.column("starts")):
+        for text, found in zip(batch.column("whole").field(text_col), batch.column("starts")):
             data = (text.as_py() or "").encode()
             if not found.is_valid:
                 words = data.split()
@@ -160,7 +161,7 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
                 batch.column("whole"),
                 pa.array(n_words, pa.int64()),
                 pa.array(spans, pa.list_(span)),
-                pa.array(kept, pa.binary()).cast(pa.string()),
+                pa.array(kept, pa.string()),
             ],
             ["whole", "n_words", "removed", "kept"],
         )
@@ -192,16 +193,12 @@ def dedup_substrings(
     is reduced to distinct segments (the windows around one anchor): copies cost one row per task. A shard's
     FM-index gives the matching statistics of the segments streamed through it, capped at the window, and with each
     match the least id that has it. Shards have about `shard_words` words: their number follows from the data, and
-    an anchor with more than `hot` segments is dealt out by whole windows instead, of which a shard keeps one of each.
+    an anchor with more than `hot` segments is dealt out by single windows instead, equal ones reduced to one before.
     """
     text = F.col(text_col)
-    rows = docs.select(
-        F.struct(*docs.columns).alias("whole"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(text).alias("row"),
-        text.alias("text"),
-    )
-    found = rows.select("id", "row", "text").where("text is not null").mapInArrow(
+    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("row")]
+    rows = docs.select(*key, text.alias("text")).where("text is not null")
+    found = rows.mapInArrow(
         lambda batches: _find_anchors(batches, window, anchor),
         "anchor long, segment long, id long, row long, first int, n int",
     )
@@ -220,15 +217,24 @@ def dedup_substrings(
         .groupBy("id", "row")
         .agg(F.collect_list(F.struct("first", "n", "anchor", "segment", "hot")).alias("wanted"))
     )
-    cut = rows.select("id", "row", "text").join(wanted, ["id", "row"]).select("id", "text", "wanted")
+    cut = rows.join(wanted, ["id", "row"]).select("id", "text", "wanted")
     cut = cut.mapInArrow(
         lambda batches: _cut_segments(batches, window, shards),
-        "shard long, anchor long, segment long, at int, id long, words binary",
+        "shard long, anchor long, segment long, at int, piece long, hot boolean, id long, words string",
     )
-    least = cut.groupBy("shard").applyInArrow(
-        lambda table: _search_shard(table, window), "anchor long, segment long, at int, least array<long>"
+    cut = materialise(cut, "passages", compression="zstd")
+    passage = ["shard", "anchor", "piece"]
+    plain = cut.where("not hot").select(*passage, "id", "words")
+    split = cut.where("hot").groupBy(*passage).agg(F.min("id").alias("id"), F.min("words").alias("words"))
+    least = plain.union(split).groupBy("shard").applyInArrow(
+        lambda table: _search_shard(table, window), "anchor long, piece long, least array<long>"
     )
     least = materialise(least, "least")
+    pieces = cut.where("hot").select("anchor", "segment", "at", "piece").join(least, ["anchor", "piece"])
+    whole_ones = least.join(busy.select("anchor"), "anchor", "left_anti")
+    least = whole_ones.select("anchor", F.col("piece").alias("segment"), F.lit(0).alias("at"), "least").union(
+        pieces.select("anchor", "segment", "at", "least")
+    )
     runs = F.when(
         F.forall("least", lambda x: x < F.col("id")),
         F.array(F.struct((F.col("first") + F.col("at")).alias("first"), F.size("least").alias("n"))),
@@ -246,9 +252,10 @@ def dedup_substrings(
     )
     hits = places.join(least, ["anchor", "segment"]).select("id", "row", runs.alias("runs")).where("size(runs) > 0")
     hits = hits.groupBy("id", "row").agg(F.flatten(F.collect_list("runs")).alias("starts"))
-    joined = rows.join(hits, ["id", "row"], "left").select("whole", "text", "starts")
+    joined = docs.select(F.struct(*docs.columns).alias("whole"), *key)
+    joined = joined.join(hits, ["id", "row"], "left").select("whole", "starts")
     whole = joined.schema["whole"].dataType.simpleString()
     return joined.mapInArrow(
-        lambda batches: _remove(batches, window),
+        lambda batches: _remove(batches, text_col, window),
         f"whole {whole}, n_words long, removed array<struct<word: bigint, end: bigint>>, kept string",
     )

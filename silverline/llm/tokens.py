@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes that are hashed together; longer texts are cut between words.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 
@@ -101,6 +101,13 @@ class Grams:
         return mix((self.sums[n:] - self.sums[:-n]) * self.down[: len(self.sums) - n])
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task builds from them stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 class Texts:
     """Some consecutive rows of a batch: their texts joined by newlines, and the words of all."""
 
