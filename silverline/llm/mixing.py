@@ -209,6 +209,8 @@ def mix_sources(
         lambda batches: _draw(batches, block, seed),
         "source_id long, turn int, block long, took long, place long",
     )
+    # Stored, since the number of slots does not show in the size of the table they are drawn from.
+    drawn = materialise(drawn, "drawn")
     key = ["id", "row", "source_id", "copy"]
     low = F.col("block") * block
     parts = (
@@ -223,7 +225,7 @@ def mix_sources(
         )
     )
     pieces = (
-        parts.join(drawn, ["source_id", "block"])
+        parts.join(drawn.hint("merge"), ["source_id", "block"])
         .where(F.col("from") < F.col("took"))
         .select(
             *key,
