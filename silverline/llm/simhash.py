@@ -131,6 +131,8 @@ def fingerprint_links(prints: DataFrame, *, distance: int = 3, group: int = GROU
     while True:
         keyed = todo.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
         counts = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+        # Stored, so that the join shuffles both sides for itself and Spark can split a hot key.
+        counts = materialise(counts, "counts")
         keyed = materialise(keyed.join(counts, ["mask", "key"]), "keys")
         small = keyed.where(F.col("n") <= group).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
         found.append(small.select("fps").mapInArrow(lambda b: _group_links(b, distance), "u long, v long"))

@@ -204,10 +204,13 @@ def dedup_substrings(
     )
     found = materialise(found, "anchors")
     shared = found.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    places = materialise(found.join(shared.select("anchor"), "anchor"), "shared")
+    # Stored, so that the join shuffles both sides for itself and Spark can split a hot anchor.
+    shared = materialise(shared.select("anchor"), "shared")
+    places = materialise(found.join(shared, "anchor"), "places")
     segments = places.groupBy("anchor", "segment").agg(F.min(F.struct("id", "row", "first", "n")).alias("s"))
     segments = materialise(segments.select("anchor", "segment", "s.*"), "segments")
     busy = segments.groupBy("anchor").agg(F.count("*").alias("m"), F.sum("n").alias("k")).where(F.col("m") > hot)
+    busy = materialise(busy, "busy")
     words = segments.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
     words += (busy.agg(F.sum("k")).first()[0] or 0) * window
     shards = max(1, -(-words // shard_words))
