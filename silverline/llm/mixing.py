@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverline.llm.common import WORD, materialise, running_total
+from silverline.llm.common import WORD, materialise, partitions, running_total
 from silverline.llm.tokens import hash_words, small
 
 #: Rounds of the permutation network, and the constants that mix each round.
 ROUNDS, MIX = 6, (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 #: Slots that one row of the slot table stands for before it is spread out.
 SLOTS_PER_ROW = 1 << 13
+#: Slots that a task draws.
+SLOTS_PER_TASK = 1 << 20
 
 
 def _round(half: np.ndarray, seed: np.ndarray, i: int) -> np.ndarray:
@@ -275,7 +277,8 @@ def _spread(targets: DataFrame) -> DataFrame:
             F.lit(total).cast("long").alias("all_slots"),
         )
     )
-    return rows.repartition("source_id", "first")
+    # A number of tasks is given: the rows are few, but each stands for thousands.
+    return rows.repartition(partitions(rows, total, SLOTS_PER_TASK), "source_id", "first")
 
 
 def _cut_texts(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
