@@ -7,7 +7,7 @@ from itertools import combinations, islice, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -20,7 +20,7 @@ BITS = 64
 PIECE, SHINGLES = 1 << 22, 1 << 14
 #: Reference fingerprints that distances are precomputed to.
 PIVOTS = np.random.default_rng(64).integers(0, 2**64, 16, dtype=np.uint64)
-#: Fingerprints compared with each other in one task at most; larger groups are divided first.
+#: Fingerprints compared with each other in one task at most; larger groups are linked another way.
 GROUP = 2048
 
 
@@ -104,49 +104,55 @@ def _group_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[p
         yield pa.RecordBatch.from_pydict({"u": np.concatenate(us or none), "v": np.concatenate(vs or none)})
 
 
-def _blocks(mask: int, parts: int) -> list[int]:
-    """The bits outside a mask in `parts` blocks of near equal size."""
-    free = [i for i in range(BITS) if not mask >> i & 1]
-    cuts = [len(free) * k // parts for k in range(parts + 1)]
-    return [sum(1 << i for i in free[a:b]) for a, b in zip(cuts, cuts[1:])]
+def _blocks(parts: int) -> list[int]:
+    """All bits in `parts` blocks of near equal size."""
+    cuts = [BITS * k // parts for k in range(parts + 1)]
+    return [sum(1 << i for i in range(a, b)) for a, b in zip(cuts, cuts[1:])]
 
 
 def _signed(mask: int) -> int:
     return mask - 2**64 if mask >= 2**63 else mask
 
 
+def _ball(radius: int) -> Column:
+    """All ways to flip up to `radius` bits, as one constant array of masks."""
+    masks = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(BITS), r)]
+    return F.split(F.lit(",".join(str(_signed(m)) for m in masks)), ",").cast("array<bigint>")
+
+
+def _dense_links(prints: DataFrame, distance: int) -> DataFrame:
+    """Links of prints that stand so close that comparing them in groups would take too long.
+
+    Two prints differ in up to `distance` bits if, and only if, some value lies within half the distance of one
+    and the rest of it of the other. So all prints around such a value are linked to the least of those close to it. A value has a
+    bounded number of prints around it, and a print a bounded number of values: work grows with the prints, not with their pairs.
+    """
+    around = lambda r: prints.select("fp", F.explode(F.transform(_ball(r), lambda m: F.col("fp").bitwiseXOR(m))).alias("at"))
+    close = around(distance // 2).groupBy("at").agg(F.min("fp").alias("v"))
+    close = materialise(close, "close")
+    links = around(distance - distance // 2).join(close.hint("merge"), "at").where("fp <> v")
+    return links.select(F.col("fp").alias("u"), "v").distinct()
+
+
 def fingerprint_links(prints: DataFrame, *, distance: int = 3, group: int = GROUP) -> DataFrame:
     """Links (u, v) that hold together all fingerprints `fp` that are linked by `distance` or fewer differing bits.
 
     `prints` has each fingerprint once. Candidates: two prints that differ in `distance` bits agree on all of
     at least three of `distance` + 3 blocks of bits, so they meet under one of the keys that three blocks make
     (20 keys of some 32 bits for a distance of 3). Under a key, pivot distances discard pairs and the others
-    are verified; a group yields a forest, not all its pairs. A key with more than `group` prints is divided by the
-    same rule: its bits outside the key make `distance` + 1 blocks, and near prints agree on one of
-    them. That goes on until all groups are small enough, so no group is cut and no link is lost.
+    are verified; a group yields a forest, not all its pairs. Prints under a key that has more than `group` of
+    them are linked with each other by the values around them instead, so no group is cut and no link is lost.
     """
-    masks = [sum(c) for c in combinations(_blocks(0, distance + 3), 3)]
-    todo = prints.withColumn("mask", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))))
-    found = []
-    while True:
-        keyed = todo.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
-        counts = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-        # Stored, so that the join shuffles both sides for itself and Spark can split a hot key.
-        counts = materialise(counts, "counts")
-        keyed = materialise(keyed.join(counts, ["mask", "key"]), "keys")
-        small = keyed.where(F.col("n") <= group).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
-        found.append(small.select("fps").mapInArrow(lambda b: _group_links(b, distance), "u long, v long"))
-        large = keyed.where(F.col("n") > group)
-        masks = [r[0] for r in large.select("mask").distinct().collect()]
-        if not masks:
-            break
-        finer = {m: [_signed(m % 2**64 | b) for b in _blocks(m % 2**64, distance + 1)] for m in masks}
-        table = F.create_map(*(x for m, ms in finer.items() for x in (F.lit(m), F.array(*map(F.lit, ms)))))
-        todo = large.select("fp", F.explode(table[F.col("mask")]).alias("mask"))
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
-    return materialise(links.distinct(), "links")
+    masks = [_signed(sum(c)) for c in combinations(_blocks(distance + 3), 3)]
+    keyed = prints.withColumn("mask", F.explode(F.array(*map(F.lit, masks))))
+    keyed = keyed.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+    counts = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+    # Stored, so that the join shuffles both sides for itself and Spark can split a hot key.
+    keyed = materialise(keyed.join(materialise(counts, "counts"), ["mask", "key"]), "keys")
+    small = keyed.where(F.col("n") <= group).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
+    links = small.select("fps").mapInArrow(lambda batches: _group_links(batches, distance), "u long, v long")
+    dense = materialise(keyed.where(F.col("n") > group).select("fp").distinct(), "dense")
+    return materialise(links.union(_dense_links(dense, distance)).distinct(), "links")
 
 
 def near_duplicates(
