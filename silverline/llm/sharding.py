@@ -63,8 +63,8 @@ def kd_tree_shards(
     bits. Every node is cut along its widest coordinate where the bytes come nearest to the share of
     its left leaves; ties in a coordinate are cut by text hash, so no tie can unbalance a cut. The
     leaves are then shared by what each side really weighs. `leaves` gives their number,
-    otherwise they follow from `target_bytes`. A group heavier than a shard gets a shard of
-    its own. Null ids and metadata sort first; a table without rows gives none; equal rows stay
+    otherwise they follow from `target_bytes`. A group heavier than an even share gets a
+    shard of its own. Null ids and metadata sort first; a table without rows gives none; equal rows stay
     separate rows; other columns are ignored.
 
     Medians are found from sums over cells that shrink from round to round, all nodes of a level at a time,
@@ -111,14 +111,20 @@ def kd_tree_shards(
         ),
         "points",
     )
+    alone = _heavy(points, leaves, weight)
+    if alone:
+        lone = docs.sparkSession.createDataFrame([(*k, i) for i, (k, _) in enumerate(alone)], "h long, g long, shard int")
+        apart = lone.select("h", "g", (F.col("shard") + (leaves - len(alone))).alias("shard"))
+        points = materialise(points.join(lone, ["h", "g"], "left_anti"), "points")
+        weight, count, leaves = weight - sum(w for _, w in alone), count - len(alone), leaves - len(alone)
     nodes = [Node(leaves, weight, count, [0] * len(xs), [top] * len(xs))]
     frontier = [0] if leaves > 1 and count > 1 else []
     while frontier:
         frontier = _split(points, nodes, frontier)
-    shard_of, shards = {}, 0
-    for i in _leaves(nodes):
-        shard_of[i], shards = shards, shards + 1
+    shard_of = {i: k for k, i in enumerate(_leaves(nodes))}
     placed = points.select("h", "g", _node(nodes, shard_of).alias("shard"))
+    if alone:
+        placed = placed.union(apart)
     out = rows.select("id", "size", "crc", "h", "g").join(placed, ["h", "g"]).select("id", "size", "crc", "shard")
     out = materialise(out.select("*", F.xxhash64("id").alias("mixed"), F.lit(1).alias("one")), "placed")
     out = running_total(out, ["shard"], ["mixed", "id", "crc", "size"], "one", "slot")
@@ -127,6 +133,21 @@ def kd_tree_shards(
     )
 
 
+def _heavy(points: DataFrame, leaves: int, weight: int) -> list[tuple[tuple[int, int], int]]:
+    """Groups that weigh more than an even share of what lighter ones leave: fewer than there are leaves."""
+    found: dict[tuple[int, int], int] = {}
+    while leaves > 1:
+        more = points.where(F.col("weight") > weight / leaves).orderBy(F.desc("weight"), "h", "g").limit(leaves + len(found))
+        before = len(found)
+        for r in more.select("h", "g", "weight").collect():
+            if (r.h, r.g) not in found and leaves > 1 and r.weight > weight / leaves:
+                found[r.h, r.g] = r.weight
+                weight, leaves = weight - r.weight, leaves - 1
+        if len(found) == before:
+            break
+    return list(found.items())
+
+
 def _leaves(nodes: list[Node]) -> list[int]:
     """Indexes of the leaves from left to right."""
     out, stack = [], [0]
