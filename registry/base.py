@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,19 +39,29 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENTS = "(select *, ts::date as dt_ref from events)"
 
 
-def events_latest(spark, sf_dir, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Latest event per user over an inclusive range of days."""
+def last_day(spark, sf_dir):
+    """The latest day of the events, which query inputs are cut by."""
+    return events(spark, sf_dir).agg(F.max("dt_ref")).first()[0]
+
+
+def events_latest(spark, sf_dir, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Latest event per user over an inclusive range of days, counted back from the last day."""
     df = events(spark, sf_dir)
-    if first:
-        df = df.where(F.col("dt_ref") >= F.lit(first).cast("date"))
-    if last:
-        df = df.where(F.col("dt_ref") <= F.lit(last).cast("date"))
+    if first is not None:
+        df = df.where(F.col("dt_ref") >= F.lit(last_day(spark, sf_dir) - timedelta(days=first)))
+    if last is not None:
+        df = df.where(F.col("dt_ref") <= F.lit(last_day(spark, sf_dir) - timedelta(days=last)))
     return latest_per_key(df, "user_id", "ts", tiebreak="event_id")
 
 
-def events_latest_sql(first: str | None = None, last: str | None = None) -> str:
-    low = f"dt_ref >= date '{first}'" if first else "true"
-    high = f"dt_ref <= date '{last}'" if last else "true"
+def events_latest_sql(first: int | str | None = None, last: int | str | None = None) -> str:
+    """The same in SQL; a text is a day itself."""
+
+    def day(value) -> str:
+        return f"date '{value}'" if isinstance(value, str) else f"(select max(ts)::date - {value} from events)"
+
+    low = "true" if first is None else f"dt_ref >= {day(first)}"
+    high = "true" if last is None else f"dt_ref <= {day(last)}"
     return f"""(select * from {EVENTS} where {low} and {high}
         qualify row_number() over (partition by user_id order by ts desc nulls last, event_id desc) = 1)"""
 

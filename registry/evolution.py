@@ -6,19 +6,20 @@ from pyspark.sql import functions as F
 
 from registry.base import events, events_latest, events_latest_sql, merged_sql, new_table, query
 
-FIRST_HALF = events_latest_sql(last="2024-01-15")
-LATER = events_latest_sql(first="2024-01-20")
+WHOLE = events_latest_sql()
+FIRST_HALF = events_latest_sql(last=15)
+LATER = events_latest_sql(first=14)
 
 
-def _half(spark, sf_dir):
+def _filled(spark, sf_dir, last=None):
     silver = new_table(spark, "silver").ensure(events(spark, sf_dir), "user_id")
-    silver.merge(events_latest(spark, sf_dir, last="2024-01-15"), source_unique=True)
+    silver.merge(events_latest(spark, sf_dir, last=last), source_unique=True)
     return silver
 
 
-@query(f"select *, cast(null as decimal(10,2)) as score from {FIRST_HALF}")
+@query(f"select *, cast(null as decimal(10,2)) as score from {WHOLE}")
 def schema_add_column(spark, sf_dir):
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir)
     silver.add_column("score", "decimal(10,2)", "added later")
     return silver.current()
 
@@ -31,24 +32,24 @@ def schema_add_column(spark, sf_dir):
 )
 def schema_add_then_merge(spark, sf_dir):
     """Old rows read NULL, merged rows carry the new column."""
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir, last=15)
     silver.add_column("score", "double")
-    later = events_latest(spark, sf_dir, first="2024-01-20")
+    later = events_latest(spark, sf_dir, first=14)
     silver.merge(later.withColumn("score", F.col("value") * 2), source_unique=True)
     return silver.current()
 
 
-@query(f"select * exclude (props) from {FIRST_HALF}")
+@query(f"select * exclude (props) from {WHOLE}")
 def schema_drop_column(spark, sf_dir):
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir)
     silver.drop_column("props")
     return silver.current()
 
 
-@query(f"select * replace (null as props) from {FIRST_HALF}")
+@query(f"select * replace (null as props) from {WHOLE}")
 def schema_drop_readd(spark, sf_dir):
     """The old values stay gone."""
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir)
     silver.drop_column("props")
     silver.add_column("props", "string")
     return silver.current()
@@ -56,20 +57,20 @@ def schema_drop_readd(spark, sf_dir):
 
 @query("select * from " + merged_sql(f"(select * replace (null as props) from {FIRST_HALF})", LATER))
 def schema_drop_readd_merge(spark, sf_dir):
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir, last=15)
     silver.drop_column("props")
     silver.add_column("props", "string")
-    silver.merge(events_latest(spark, sf_dir, first="2024-01-20"), source_unique=True)
+    silver.merge(events_latest(spark, sf_dir, first=14), source_unique=True)
     return silver.current()
 
 
 @query(f"select * from {FIRST_HALF}")
 def schema_time_travel(spark, sf_dir):
     """An old snapshot reads with the columns it had."""
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir, last=15)
     silver.drop_column("props")
     silver.add_column("score", "int")
-    silver.merge(events_latest(spark, sf_dir, first="2024-01-20"), fill_missing=True, source_unique=True)
+    silver.merge(events_latest(spark, sf_dir, first=14), fill_missing=True, source_unique=True)
     return silver.as_of(2)
 
 
@@ -79,7 +80,7 @@ def schema_time_travel(spark, sf_dir):
     ('score', 'decimal(10,2)', 'it''s new')) t(col_name, data_type, comment)"""
 )
 def schema_describe(spark, sf_dir):
-    silver = _half(spark, sf_dir)
+    silver = _filled(spark, sf_dir)
     silver.add_column("score", "decimal(10,2)", "it's new")
     silver.drop_column("props")
     return silver.describe()

@@ -133,3 +133,16 @@ def reconcile_report_single_join(spark, sf_dir):
 def reconcile_report_single_join_null_safe(spark, sf_dir):
     bronze, silver = _bronze(spark, sf_dir), _silver(spark, sf_dir)
     return report(bronze, silver, "k", exclude=["o_orderdate"], null_safe=True, silver_unique=True)
+
+
+@query(
+    f"""select 'schema' as "check", unnest(['o_orderstatus', 'remark']) as item, 1::bigint as violations, false as passed
+    union all select 'counts', 'rows', abs(b - s)::bigint, b = s
+    from (select (select count(*) from {BRONZE}) as b, (select count(*) from {SILVER}) as s)"""
+)
+def reconcile_schema_differences(spark, sf_dir):
+    """Columns that one side lacks fail by name, next to the counts."""
+    bronze, silver = _stored(spark, sf_dir)
+    silver = silver.drop("o_orderstatus").withColumn("remark", F.lit("only here"))
+    found = report(bronze, silver, "k").where("check in ('schema', 'counts')")
+    return found.select("check", "item", "violations", "passed")

@@ -8,15 +8,15 @@ from registry.base import events, events_latest, events_latest_sql, merged_sql,
 from registry.dedup import LINE_KEY, LINE_TIES, LINES_LATEST
 from silverline.operators import latest_per_key
 
-FIRST_HALF = events_latest_sql(last="2024-01-15")
-LATE = events_latest_sql(first="2024-01-10", last="2024-01-11")
+FIRST_HALF = events_latest_sql(last=15)
+LATE = events_latest_sql(first=20)
 
 
 def three_commits(spark, sf_dir):
-    """Created empty, then the first half of the month, then two late days."""
+    """Created empty, then the first half of the month, then the second with some days of the first again."""
     silver = new_table(spark, "silver").ensure(events(spark, sf_dir), "user_id")
-    silver.merge(events_latest(spark, sf_dir, last="2024-01-15"), source_unique=True)
-    late = events_latest(spark, sf_dir, first="2024-01-10", last="2024-01-11")
+    silver.merge(events_latest(spark, sf_dir, last=15), source_unique=True)
+    late = events_latest(spark, sf_dir, first=20)
     silver.merge(late, source_unique=True)
     return silver
 
@@ -39,7 +39,7 @@ def table_recreate(spark, sf_dir):
     silver = new_table(spark, "silver").ensure(events(spark, sf_dir), "user_id")
     silver.merge(events_latest(spark, sf_dir), source_unique=True)
     silver.ensure(events(spark, sf_dir), "user_id", recreate=True)
-    late = events_latest(spark, sf_dir, first="2024-01-10", last="2024-01-11")
+    late = events_latest(spark, sf_dir, first=20)
     silver.merge(late, source_unique=True)
     return silver.current()
 
@@ -78,14 +78,14 @@ def snapshot_previous(spark, sf_dir):
 
 
 @query(
-    f"""select * from (select * from {FIRST_HALF} union all select * from {events_latest_sql(first="2024-01-12")})
+    f"""select * from (select * from {FIRST_HALF} union all select * from {events_latest_sql(first=18)})
     qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"""
 )
 def snapshot_guarded(spark, sf_dir):
     """Newer days first, older days second, with a guard."""
     silver = new_table(spark, "silver").ensure(events(spark, sf_dir), "user_id")
-    silver.merge(events_latest(spark, sf_dir, first="2024-01-12"), source_unique=True)
-    silver.merge(events_latest(spark, sf_dir, last="2024-01-15"), guard="ts,event_id", source_unique=True)
+    silver.merge(events_latest(spark, sf_dir, first=18), source_unique=True)
+    silver.merge(events_latest(spark, sf_dir, last=15), guard="ts,event_id", source_unique=True)
     return silver.current()
 
 
@@ -100,9 +100,11 @@ def snapshot_partitioned(spark, sf_dir):
     return silver.current()
 
 
-@query(f"select * from {events_latest_sql()} order by event_id limit 20")
+@query(f"select least(count(*), 20)::bigint as n, true as all_held from {events_latest_sql()}")
 def preview_limit(spark, sf_dir):
-    """The first rows by id; a bare preview returns any rows."""
+    """A preview returns any rows of the table, as many as asked for."""
     silver = new_table(spark, "silver").ensure(events(spark, sf_dir), "user_id")
     silver.merge(events_latest(spark, sf_dir), source_unique=True)
-    return silver.current().orderBy("event_id").limit(20)
+    shown, held = silver.preview(20), silver.current().select("event_id", F.lit(True).alias("held"))
+    found = shown.join(held, "event_id", "left")
+    return found.agg(F.count("*").alias("n"), F.every(F.coalesce("held", F.lit(False))).alias("all_held"))

@@ -9,49 +9,49 @@ from registry.dedup import LINE_KEY, LINE_TIES, NULL_KEYED, null_keyed
 from silverline.operators import latest_per_key, upsert, upsert_summary
 from silverline.session import materialise
 
-FIRST_HALF = events_latest_sql(last="2024-01-15")
-LATER = events_latest_sql(first="2024-01-10")
-LATE = events_latest_sql(first="2024-01-10", last="2024-01-11")
+FIRST_HALF = events_latest_sql(last=15)
+LATER = events_latest_sql(first=20)
+LATE = events_latest_sql(first=20, last=19)
 
 
 @query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
 def upsert_forward(spark, sf_dir):
-    target = events_latest(spark, sf_dir, last="2024-01-15")
-    source = events_latest(spark, sf_dir, first="2024-01-10")
+    target = events_latest(spark, sf_dir, last=15)
+    source = events_latest(spark, sf_dir, first=20)
     return upsert(target, source, "user_id", source_unique=True)
 
 
 @query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
 def upsert_forward_anti_join(spark, sf_dir):
     """The other strategy, on a stored source."""
-    target = events_latest(spark, sf_dir, last="2024-01-15")
-    source = materialise(events_latest(spark, sf_dir, first="2024-01-10"), "source")
+    target = events_latest(spark, sf_dir, last=15)
+    source = materialise(events_latest(spark, sf_dir, first=20), "source")
     return upsert(target, source, "user_id", source_unique=True, strategy="anti_join")
 
 
 @query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
 def upsert_checked(spark, sf_dir):
     """As above, with the plan itself checking that source keys are unique."""
-    target = events_latest(spark, sf_dir, last="2024-01-15")
-    source = events_latest(spark, sf_dir, first="2024-01-10")
+    target = events_latest(spark, sf_dir, last=15)
+    source = events_latest(spark, sf_dir, first=20)
     return upsert(target, source, "user_id")
 
 
 @query(f"select * from {merged_sql(events_latest_sql(), LATE)}")
 def upsert_late_overwrites(spark, sf_dir):
     """Merging an old range again puts its older rows back."""
-    source = events_latest(spark, sf_dir, first="2024-01-10", last="2024-01-11")
+    source = events_latest(spark, sf_dir, first=20, last=19)
     return upsert(events_latest(spark, sf_dir), source, "user_id", source_unique=True)
 
 
 @query(
-    f"""select * from (select * from {FIRST_HALF} union all select * from {LATE})
+    f"""select * from (select * from {FIRST_HALF} union all select * from {LATER})
     qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"""
 )
 def upsert_guarded(spark, sf_dir):
     """The same merge with a guard: older rows are refused."""
-    target = events_latest(spark, sf_dir, last="2024-01-15")
-    source = events_latest(spark, sf_dir, first="2024-01-10", last="2024-01-11")
+    target = events_latest(spark, sf_dir, last=15)
+    source = events_latest(spark, sf_dir, first=20)
     return upsert(target, source, "user_id", guard="ts", source_unique=True)
 
 
@@ -94,8 +94,8 @@ def upsert_composite_key(spark, sf_dir):
 )
 def upsert_by_name(spark, sf_dir):
     """Other column order, one column too many, one missing."""
-    target = events_latest(spark, sf_dir, last="2024-01-15")
-    source = events_latest(spark, sf_dir, first="2024-01-10").select(
+    target = events_latest(spark, sf_dir, last=15)
+    source = events_latest(spark, sf_dir, first=20).select(
         "value", "dt_ref", "event_type", "user_id", "ts", "event_id", F.lit(1).alias("unknown")
     )
     return upsert(target, source, "user_id", fill_missing=True, source_unique=True)
@@ -105,13 +105,13 @@ def upsert_by_name(spark, sf_dir):
     f"""select count(*) filter (where t.m is null) as inserted, count(*) filter (where t.m = 1 and s.m = 1) as updated,
     count(*) filter (where s.m is null) as kept
     from (select o_custkey as k, 1 as m from orders where o_orderdate < timestamp '1998-01-01' group by all) t
-    full join (select o_custkey as k, 1 as m from orders where o_orderdate >= timestamp '1999-06-01' group by all) s
+    full join (select o_custkey as k, 1 as m from orders where o_orderdate >= timestamp '1998-01-01' group by all) s
     on t.k is not distinct from s.k"""
 )
 def upsert_counts(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     before = orders.where("o_orderdate < timestamp_ntz '1998-01-01 00:00:00'")
-    since = orders.where("o_orderdate >= timestamp_ntz '1999-06-01 00:00:00'")
+    since = orders.where("o_orderdate >= timestamp_ntz '1998-01-01 00:00:00'")
     target = latest_per_key(before, "o_custkey", "o_orderdate", tiebreak="o_orderkey")
     source = latest_per_key(since, "o_custkey", "o_orderdate", tiebreak="o_orderkey")
     return upsert_summary(target, source, "o_custkey")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from silverline import plans, session
 from silverline.jobs.options import add_feed_options, add_table_options, feed_from, table_from
-from silverline.tables.snapshot_table import DEFAULT_BUCKETS
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -16,7 +15,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     add_feed_options(parser)
     parser.add_argument("--silver-partitions", help="partition columns of the table")
     parser.add_argument("--recreate-silver", action="store_true")
-    parser.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="buckets of a new snapshot table")
+    parser.add_argument("--buckets", type=int, default=None, help="buckets of a new snapshot table")
     parser.add_argument("--guard", help="columns; a row older on them than the table's row is ignored")
     parser.add_argument("--fill-missing", action="store_true", help="NULL for columns the feed lacks")
     parser.add_argument("--count-input", action="store_true", help="print schema and rows read")

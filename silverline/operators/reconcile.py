@@ -27,6 +27,7 @@ from silverline.functions.columns import (
 )
 from silverline.operators.upsert import has_null_key, key_presence
 
+CHECK_SCHEMA = "schema"
 CHECK_COUNTS = "counts"
 CHECK_KEYS = "key_coverage"
 CHECK_VALUES = "column_values"
@@ -102,7 +103,9 @@ def column_diffs(
 ) -> DataFrame:
     """One row with, per compared column, the number of matched rows that differ."""
     names = require_keys(bronze, keys)
-    chosen = _chosen(bronze, silver, names, columns, exclude)
+    chosen, _ = _chosen(bronze, silver, names, columns, exclude)
+    if not chosen:
+        raise ValueError("no columns to compare")
     pairs = _paired(bronze, silver, names, chosen, "inner", null_safe)
     return pairs.agg(*[F.count_if(_differs(c, null_safe)).alias(c) for c in chosen])
 
@@ -119,6 +122,9 @@ def report(
 ) -> DataFrame:
     """All checks, one row each: `check, item, bronze_rows, silver_rows, violations, passed`.
 
+    Without `columns`, every column that cannot be compared, because one side lacks it or because it
+    holds a map, is a failed check of its own. A feed of keys alone gets counts and coverage.
+
     With `silver_unique` (a table that holds every key once by construction) all
     checks come out of one full outer join. Otherwise counts and coverage share one
     grouping of the key columns and values take an inner join: both stand a silver
@@ -126,9 +132,9 @@ def report(
     adaptive execution may split the join. Pass a materialised `bronze`.
     """
     names = require_keys(bronze, keys)
-    chosen = _chosen(bronze, silver, names, columns, exclude)
+    chosen, skipped = _chosen(bronze, silver, names, columns, exclude)
     if silver_unique:
-        return _report_by_join(bronze, silver, names, chosen, null_safe)
+        return _report_by_join(bronze, silver, names, chosen, skipped, null_safe)
 
     sides = key_presence(bronze, silver, names)
     in_bronze, in_silver = cols(sides.columns[-2:])
@@ -140,12 +146,14 @@ def report(
         F.coalesce(F.sum(in_silver), F.lit(0)).alias("silver_rows"),
         F.count_if((in_bronze > 0) & absent).alias("missing"),
     )
+    checks = _as_rows(totals, [*_schema_checks(skipped), *_key_checks()])
+    if not chosen:
+        return checks
     diffs = column_diffs(bronze, silver, names, chosen, null_safe=null_safe)
-    value_rows = _as_rows(diffs, [_value_check(c, col(c)) for c in chosen])
-    return _as_rows(totals, _key_checks()).unionByName(value_rows)
+    return checks.unionByName(_as_rows(diffs, [_value_check(c, col(c)) for c in chosen]))
 
 
-def _report_by_join(bronze, silver, keys, chosen, null_safe) -> DataFrame:
+def _report_by_join(bronze, silver, keys, chosen, skipped, null_safe) -> DataFrame:
     in_bronze = unused_name("in_bronze", [*keys, *chosen])
     in_silver = unused_name("in_silver", [*keys, *chosen])
     pairs = _paired(
@@ -168,20 +176,17 @@ def _report_by_join(bronze, silver, keys, chosen, null_safe) -> DataFrame:
         *counted,
     )
     values = [_value_check(c, col(f"diff_{n}")) for n, c in enumerate(chosen)]
-    return _as_rows(totals, [*_key_checks(), *values])
+    return _as_rows(totals, [*_schema_checks(skipped), *_key_checks(), *values])
 
 
-def _chosen(bronze, silver, keys, columns, exclude) -> list[str]:
-    """The columns to compare, checked to exist on both sides."""
+def _chosen(bronze, silver, keys, columns, exclude) -> tuple[list[str], list[str]]:
+    """The columns to compare, checked to exist on both sides, and those left out unasked."""
     wanted = split_names(columns)
-    if wanted:
-        wanted = resolve(bronze.sparkSession, bronze.columns, wanted, "compared columns")
-        resolve(bronze.sparkSession, silver.columns, wanted, "compared columns")
-    else:
-        wanted, _ = comparable_columns(bronze, silver, keys, exclude)
     if not wanted:
-        raise ValueError("no columns to compare")
-    return wanted
+        return comparable_columns(bronze, silver, keys, exclude)
+    wanted = resolve(bronze.sparkSession, bronze.columns, wanted, "compared columns")
+    resolve(bronze.sparkSession, silver.columns, wanted, "compared columns")
+    return wanted, []
 
 
 def _paired(bronze, silver, keys, chosen, how, null_safe, markers=(None, None)) -> DataFrame:
@@ -219,6 +224,10 @@ def _key_checks() -> list[Column]:
     ]
 
 
+def _schema_checks(skipped: Sequence[str]) -> list[Column]:
+    return [_check(CHECK_SCHEMA, c, F.lit(1).cast("long")) for c in skipped]
+
+
 def _value_check(name: str, violations: Column) -> Column:
     return _check(CHECK_VALUES, name, violations)
 

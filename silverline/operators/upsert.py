@@ -19,17 +19,21 @@ from silverline.functions.columns import (
     typed_null,
     unused_name,
 )
+from silverline.session import materialise
 
 STRATEGIES = ("full_outer", "anti_join")
 
 
-def align(source: DataFrame, target: T.StructType, *, fill_missing: bool = False) -> DataFrame:
+def align(
+    source: DataFrame, target: T.StructType, *, fill_missing: bool = False, required: Sequence[str] = ()
+) -> DataFrame:
     """`source` with the target's columns, in its order and types, matched by name.
 
     Columns the target lacks are dropped. A column the source lacks is an error,
-    or NULL with `fill_missing`.
+    or NULL with `fill_missing`; one of `required` (keys and guards) is always an error.
     """
     spark = source.sparkSession
+    resolve(spark, source.columns, required, "source columns")
     picked = []
     for field in target.fields:
         try:
@@ -76,9 +80,10 @@ def upsert(
     source row that sorts before its target row on them is ignored (NULL is oldest).
 
     Source keys must be unique. Pass `source_unique=True` when the source comes
-    from a per-key operator on the same keys, which saves the check.
+    from a per-key operator on the same keys. Otherwise the source is evaluated once, when this is called,
+    and its stored keys are checked when the result is.
 
-    * `full_outer`: one join that evaluates each side once. For any source.
+    * `full_outer`: one join of the two sides. For any source.
     * `anti_join`: target rows without a match, followed by the source. Reads the
       source twice, so it must be stored or cheap and always give the same rows. If
       its keys are small enough to broadcast, the target is not shuffled at all.
@@ -87,9 +92,10 @@ def upsert(
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose from {STRATEGIES}")
     ages = resolve(target.sparkSession, target.columns, split_names(guard), "guard columns")
-    incoming = align(source, target.schema, fill_missing=fill_missing)
+    incoming = align(source, target.schema, fill_missing=fill_missing, required=[*names, *ages])
     if not source_unique:
-        incoming = require_unique_keys(incoming, names)
+        # stored first: the rows that are checked are the rows that are merged
+        incoming = require_unique_keys(materialise(incoming, "upsert-source"), names)
     merge = _by_full_outer if strategy == "full_outer" else _by_anti_join
     return merge(target, incoming, names, ages)
 
@@ -157,12 +163,15 @@ def has_null_key(keys: Sequence[str]):
 def newest_side(
     rows: DataFrame, partition: Iterable[str], side: str, guard: Sequence[str] = ()
 ) -> DataFrame:
-    """Per key keep the row of the highest `side`, or by `guard` first when given.
+    """Per key keep the row of the highest `side` (0 or 1), or by `guard` first when given.
 
-    For rows that hold each key at most once per side. One exchange on (a prefix
-    of) `partition` serves both the merge and a write clustered by it.
+    A key with several rows of side 1 fails the action. One exchange on (a prefix of) `partition`
+    serves the check, the merge and a write clustered by it.
     """
     order = [col(c).desc_nulls_last() for c in [*guard, side]]
-    window = Window.partitionBy(*cols(partition)).orderBy(*order)
-    rank = unused_name("rank", rows.columns)
-    return rows.withColumn(rank, F.row_number().over(window)).where(col(rank) == 1).drop(rank)
+    key = Window.partitionBy(*cols(partition))
+    taken = [*rows.columns]
+    rank, arrived = unused_name("rank", taken), unused_name("arrived", taken)
+    rows = rows.withColumns({rank: F.row_number().over(key.orderBy(*order)), arrived: F.sum(col(side)).over(key)})
+    repeated = F.raise_error(F.lit("source has several rows for one key")).cast("boolean")
+    return rows.where(F.when(col(arrived) > 1, repeated).otherwise(col(rank) == 1)).drop(rank, arrived)

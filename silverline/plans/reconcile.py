@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverline.functions.columns import col
 from silverline.operators.dedup import latest_per_key
-from silverline.operators.reconcile import CHECK_COUNTS, CHECK_KEYS, CHECK_VALUES, report
+from silverline.operators.reconcile import CHECK_COUNTS, CHECK_KEYS, CHECK_SCHEMA, CHECK_VALUES, report
 from silverline.plans.feeds import Feed
 from silverline.session import materialise
 
-ORDER = (CHECK_COUNTS, CHECK_KEYS, CHECK_VALUES)
+ORDER = (CHECK_COUNTS, CHECK_KEYS, CHECK_SCHEMA, CHECK_VALUES)
 
 
 class ReconciliationError(AssertionError):
@@ -36,7 +36,7 @@ def reconcile(
 
     Counts compare the chosen partitions with the whole table, so they agree only
     when the range covers every key. Without `columns`, all columns found on both
-    sides are compared except keys and the feed's partition column. Say
+    sides are compared except keys and the feed's partition column, and columns of one side only fail. Say
     `silver_unique` for a table that cannot hold a key twice; the checks then take a
     single join.
     """
@@ -54,7 +54,7 @@ def reconcile(
 
 
 def require_agreement(checks: DataFrame) -> None:
-    """Raise for the first kind of check that failed: counts, then keys, then values."""
+    """Raise for the first kind of check that failed: counts, then keys, columns, values."""
     # one row per compared column
     failed = checks.where(~col("passed")).collect()
     for kind in ORDER:

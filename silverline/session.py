@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def build(
@@ -34,7 +35,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="silverline-")
+        # one folder for the whole session
+        root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="silverline-")
+        _local[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/silverline/{label}-{uuid.uuid4().hex}"
 
 

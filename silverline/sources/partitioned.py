@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,23 +38,26 @@ def read_partitioned(
     `list_selected_only` lists just the named directories instead of the whole
     feed. Use it when directories are spelled exactly like the values.
     """
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", csv_header).option("inferSchema", infer_schema)
-    if options:
-        reader = reader.options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
+    reading = {"header": csv_header, "inferSchema": infer_schema} if fmt == "csv" else {}
+    reading |= options or {}
 
     if partitions is not None and not partitions:
         raise ValueError("the list of partitions is empty; pass None to read the whole feed")
+    if partitions is not None and partition_col is None:
+        raise ValueError("partitions need the column they are values of")
     filtering = partition_col is not None and partitions is not None
-    if filtering and list_selected_only:
-        names = ",".join(partitions)
-        path = f"{base_uri.rstrip('/')}/{partition_col}={{{names}}}"
-        df = reader.option("basePath", base_uri).load(path)
-    else:
-        df = reader.load(base_uri)
+    df = None
+    # values that a path pattern would read as something else are left to the filter
+    if filtering and list_selected_only and not any(set(v) & set("{},*?[]\\") for v in partitions):
+        path = f"{base_uri.rstrip('/')}/{partition_col}={{{','.join(partitions)}}}"
+        try:
+            df = spark.read.format(fmt).options(**reading).option("basePath", base_uri).load(path, schema=schema)
+        except AnalysisException as error:
+            # none of the directories is there: the whole feed tells the columns, the filter leaves no row
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if df is None:
+        df = spark.read.format(fmt).options(**reading).load(base_uri, schema=schema)
     if not filtering:
         return df
     name = resolve(spark, df.columns, [partition_col], "partition column")[0]

@@ -25,12 +25,13 @@ def consolidate_stream(
     tiebreak: str | Sequence[str] = (),
     fmt: str = "parquet",
     max_files_per_batch: int | None = None,
+    fill_missing: bool = False,
 ) -> StreamingQuery:
     """Merge every file not yet seen, then stop; returns the started query.
 
     Files may arrive in any order, so merges are guarded by the order and tie-break
     columns: an older record never replaces a newer one. That also makes a batch
-    repeated after a failure harmless.
+    repeated after a failure harmless. With `fill_missing`, columns the table got since read NULL until the feed has them.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_batch:
@@ -39,7 +40,7 @@ def consolidate_stream(
     def merge(batch: DataFrame, batch_id: int) -> None:
         table.ensure(batch, keys)
         latest = latest_per_key(batch, keys, order_col, tiebreak=tiebreak)
-        table.merge(latest, keys, guard=[order_col, *split_names(tiebreak)], source_unique=True)
+        table.merge(latest, keys, guard=[order_col, *split_names(tiebreak)], fill_missing=fill_missing)
 
     return (
         reader.load(feed_uri)

@@ -62,6 +62,10 @@ class CatalogTable:
             if parts:
                 writer = writer.partitionedBy(*cols(parts))
             writer.create()
+        elif parts:
+            own = [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
+            if own != parts:
+                raise ValueError(f"table is partitioned by {own}, not {parts}")
         return self
 
     # -- reading ------------------------------------------------------------
@@ -103,13 +107,14 @@ class CatalogTable:
         evaluate it more than once."""
         target = self.current()
         names = require_keys(target, keys)
-        incoming = align(source, target.schema, fill_missing=fill_missing)
+        ages = resolve(self.spark, target.columns, split_names(guard), "guard columns")
+        incoming = align(source, target.schema, fill_missing=fill_missing, required=[*names, *ages])
+        incoming = materialise(incoming, "merge-source")
         if not source_unique:
-            incoming = require_unique_keys(incoming, names)
-        incoming = materialise(incoming, "merge-source").alias("source")
+            require_unique_keys(incoming, names).select(*cols(names)).write.format("noop").mode("overwrite").save()
+        incoming = incoming.alias("source")
         match = all_of(col(k, self.name).eqNullSafe(col(k, "source")) for k in names)
         newer = None
-        ages = resolve(self.spark, target.columns, split_names(guard), "guard columns")
         if ages:
             newer = F.struct(*cols(ages, "source")) >= F.struct(*cols(ages, self.name))
         writer = incoming.mergeInto(self.name, match).whenMatched(newer).updateAll()

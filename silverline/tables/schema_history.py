@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,7 +46,7 @@ class SchemaHistory:
         """
         for change in self._between(written_with, read_as):
             if change.op == ADD:
-                df = df.withColumn(change.column_name, typed_null(change.column_type))
+                df = df.withColumn(change.column_name, typed_null(_type_of(change)))
             else:
                 df = df.drop(change.column_name)
         return df
@@ -54,7 +55,10 @@ class SchemaHistory:
         return [c for c in self.changes if after < c.schema_id <= upto]
 
 
+def _type_of(change: Row) -> T.DataType:
+    return T.StructType.fromJson(json.loads(change.column_type))["c"].dataType
+
+
 def _added(change: Row) -> T.StructField:
-    dtype = T.StructType.fromDDL(f"c {change.column_type}")["c"].dataType
     metadata = {"comment": change.column_comment} if change.column_comment else {}
-    return T.StructField(change.column_name, dtype, True, metadata)
+    return T.StructField(change.column_name, _type_of(change), True, metadata)

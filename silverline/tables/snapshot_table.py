@@ -37,7 +37,7 @@ from silverline.functions.columns import (
     typed_null,
     unused_name,
 )
-from silverline.operators.upsert import align, newest_side, require_unique_keys
+from silverline.operators.upsert import align, newest_side
 from silverline.session import materialise
 from silverline.tables.schema_history import ADD, CHANGE, DROP, SchemaHistory
 
@@ -45,7 +45,7 @@ SNAPSHOT, BUCKET = "_snapshot_id", "_key_bucket"
 HOLDING, INCOMING = 0, 1
 
 DEFAULT_BUCKETS = 16
-# a bucket with more rows is merged by several tasks
+# default number of rows from which on a bucket is merged by several tasks
 ROWS_PER_TASK = 4_000_000
 
 DEFINITION = "lineage int, keys array<string>, partitions array<string>, buckets int, schema_json string"
@@ -59,9 +59,12 @@ class SnapshotTable:
     # merges are the only way in, and they keep one row per key
     holds_keys_once = True
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, *, rows_per_task: int | None = None):
+        """`rows_per_task` bounds what one task of a merge holds, ROWS_PER_TASK if not given: lower it for wide
+        rows. It changes tasks and files, never rows."""
         self.spark = spark
         self.base = base.rstrip("/")
+        self.rows_per_task = rows_per_task or ROWS_PER_TASK
         self._spec: Row | None = None
 
     # -- life cycle ---------------------------------------------------------
@@ -75,16 +78,16 @@ class SnapshotTable:
         keys: str | Sequence[str],
         *,
         partitions: str | Sequence[str] | None = None,
-        buckets: int = DEFAULT_BUCKETS,
+        buckets: int | None = None,
         recreate: bool = False,
     ) -> SnapshotTable:
         """Create the table empty with the columns of `like`, unless it exists.
 
         Partition columns must be columns of `like`. An existing table keeps its
-        columns; other keys or partitions than its own are an error. `recreate`
-        starts over with an empty table and no history. `buckets` sets how finely a
-        merge can choose what to rewrite, not how parallel it runs: raise it for large
-        tables that receive few changes at a time.
+        columns; other keys, partitions or buckets than its own are an error. `recreate`
+        starts over with an empty table and no history. `buckets` (DEFAULT_BUCKETS if not given) sets how finely a
+        merge can choose what to rewrite, not how parallel it runs, and stays for good: choose many more
+        than a usual merge brings keys where a large table receives few changes at a time.
         """
         names = require_keys(like, keys)
         parts = resolve(self.spark, like.columns, split_names(partitions), "partition columns")
@@ -93,13 +96,15 @@ class SnapshotTable:
             self._check_keys(names)
             if parts and parts != list(current.partitions):
                 raise ValueError(f"table is partitioned by {list(current.partitions)}, not {parts}")
+            if buckets and buckets != current.buckets:
+                raise ValueError(f"table has {current.buckets} buckets, not {buckets}")
             return self
         reserved = [c for c in like.columns if c.lower() in (SNAPSHOT, BUCKET)]
         if reserved:
             raise ValueError(f"reserved column names: {reserved}")
         fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in like.schema.fields]
         lineage = current.lineage + 1 if current else 1
-        definition = (lineage, names, parts, buckets, T.StructType(fields).json())
+        definition = (lineage, names, parts, buckets or DEFAULT_BUCKETS, T.StructType(fields).json())
         self._append(f"{self.base}/definition", DEFINITION, definition)
         self._spec = None
         self._commit_unchanged(1, "create", schema_id=0, total=0)
@@ -169,32 +174,25 @@ class SnapshotTable:
     ) -> int:
         """Merge `source` into the table as one commit; returns the snapshot id.
 
-        Same rules as `operators.upsert`. The source is evaluated once. Only the
+        Same rules as `operators.upsert`, also on the first load. The source is evaluated once and stored. Only the
         buckets holding its keys are read. Old and new rows of a key meet in one task,
-        where the merge and the write share a single exchange; buckets that have
-        grown large are spread over several tasks by key. Into an empty table the
-        source is written straight away.
+        where the check for repeated source keys, the merge and the write share a single exchange, so the
+        check is always made and `source_unique` changes nothing here; buckets that have
+        grown large are spread over several tasks by key. One writer at a time: two would take the same
+        snapshot id. Use `CatalogTable` where several write.
         """
         spec, history = self._definition(), self._history()
         schema = history.latest
         if keys:
             self._check_keys(split_names(keys))
         ages = resolve(self.spark, schema.names, split_names(guard), "guard columns")
-        incoming = align(source, schema, fill_missing=fill_missing)
-        if not source_unique:
-            incoming = require_unique_keys(incoming, spec.keys)
+        incoming = align(source, schema, fill_missing=fill_missing, required=[*spec.keys, *ages])
         bucket = F.pmod(F.xxhash64(*cols(spec.keys)), F.lit(spec.buckets)).cast("int")
         incoming = incoming.withColumn(BUCKET, bucket)
 
         last, live = self._live_parts()
         before = sum(p.row_count for p in live)
         folder = f"{self._path('data')}/{SNAPSHOT}={last + 1}"
-        if not live:
-            # adaptive execution sizes the files of each bucket
-            self._save(incoming.hint("rebalance", BUCKET), folder)
-            self._commit_folder(folder, last + 1, history, before=0, replaced=0, accepted=None)
-            return last + 1
-
         incoming = materialise(incoming, "merge-source")
         # one row per touched bucket: bounded by the bucket count fixed at creation
         arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
@@ -204,12 +202,16 @@ class SnapshotTable:
         touched = [p for p in live if p[BUCKET] in arriving]
         held = self._read(touched, history, history.latest_id)
         arrived, replaced = sum(arriving.values()), sum(p.row_count for p in touched)
-        splits = -(-(arrived + replaced) // (ROWS_PER_TASK * len(arriving)))
-        merged, side = self._merged(held, incoming, len(arriving), splits, ages)
+        splits = -(-(arrived + replaced) // (self.rows_per_task * len(arriving)))
+        merged, side = self._merged(held, incoming, sorted(arriving), splits, ages)
         if ages:
             taken = Observation()
             merged = merged.observe(taken, F.count_if(col(side) == INCOMING).alias("rows"))
-        self._save(merged.drop(side), folder)
+        merged = merged.drop(side)
+        if spec.partitions:
+            # else every task would write a file into each of its partitions
+            merged = merged.hint("rebalance", BUCKET, *spec.partitions)
+        self._save(merged, folder)
         accepted = taken.get["rows"] if ages else arrived
         self._commit_folder(folder, last + 1, history, before=before, replaced=replaced, accepted=accepted)
         return last + 1
@@ -220,7 +222,7 @@ class SnapshotTable:
         taken = {n.lower() for n in [*self.schema.names, SNAPSHOT, BUCKET]}
         if name.lower() in taken:
             raise ValueError(f"column {name!r} already exists")
-        self._log_change(ADD, name, dtype.simpleString(), comment)
+        self._log_change(ADD, name, T.StructType([T.StructField("c", dtype)]).json(), comment)
 
     def drop_column(self, name: str) -> None:
         """Remove a column; adding the name again later reads NULL. Makes no snapshot."""
@@ -231,24 +233,20 @@ class SnapshotTable:
         self._log_change(DROP, name, None, None)
 
     def _merged(
-        self, held: DataFrame, incoming: DataFrame, touched: int, splits: int, guard: Sequence[str]
+        self, held: DataFrame, incoming: DataFrame, touched: Sequence[int], splits: int, guard: Sequence[str]
     ) -> tuple[DataFrame, str]:
         """New rows of the touched buckets, each bucket in `splits` tasks, and the name
         of the column telling which side a row came from."""
         spec = self._definition()
         side = unused_name("side", held.columns)
         rows = held.withColumn(side, F.lit(HOLDING)).unionByName(incoming.withColumn(side, F.lit(INCOMING)))
-        cell = BUCKET
-        if splits > 1:
-            cell = unused_name("cell", rows.columns)
-            share = F.pmod(F.hash(*cols(spec.keys)), F.lit(splits))
-            rows = rows.withColumn(cell, col(BUCKET) * splits + share)
-        if touched == spec.buckets:
-            rows = rows.repartitionById(touched * splits, col(cell))
-        else:
-            rows = rows.repartition(touched * splits, col(cell))
-        merged = newest_side(rows, dict.fromkeys([BUCKET, cell, *spec.keys]), side, guard)
-        return (merged.drop(cell) if splits > 1 else merged), side
+        # cells are numbered without gaps, so each gets a task of its own
+        cell = unused_name("cell", rows.columns)
+        number = F.array_position(F.array(*map(F.lit, touched)), col(BUCKET)).cast("int") - 1
+        share = F.pmod(F.hash(*cols(spec.keys)), F.lit(splits))
+        rows = rows.withColumn(cell, number * splits + share)
+        rows = rows.repartitionById(len(touched) * splits, col(cell))
+        return newest_side(rows, [cell, *spec.keys], side, guard).drop(cell), side
 
     def _save(self, rows: DataFrame, folder: str) -> None:
         """Write rows by bucket, replacing whatever an unfinished commit left there."""

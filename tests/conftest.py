@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.session.timeZone": "UTC",
             "spark.sql.warehouse.dir": str(home / "warehouse"),
+            "spark.checkpoint.dir": str(home / "checkpoints"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",

@@ -48,3 +48,14 @@ def test_bad_arguments(spark, table):
         table.ensure(table.current(), "nope")
     with pytest.raises(ValueError):
         table.merge(table.current().select(F.col("k")), "k")
+
+
+def test_keys_guards_and_partitions_are_checked(spark, table):
+    source = spark.createDataFrame([(1, "y", 3)], "k int, v string, g int")
+    for missing in ("k", "g"):
+        with pytest.raises(ValueError, match="not found"):
+            table.merge(source.drop(missing), "k", guard="g", fill_missing=True)
+    with pytest.raises(PySparkException, match="several rows for one key"):
+        table.merge(source.union(source), "k")
+    with pytest.raises(ValueError, match="partitioned by"):
+        table.ensure(source, "k", partitions="v")

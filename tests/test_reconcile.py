@@ -106,3 +106,22 @@ def test_injected_differences_are_found_exactly(spark):
     bronze = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     silver = bronze.withColumn("v", F.when(F.col("k") < 17, -F.col("v") - 1).otherwise(F.col("v")))
     assert column_diffs(bronze, silver, "k").first()["v"] == 17
+
+
+@pytest.mark.parametrize("silver_unique", [True, False])
+def test_columns_of_one_side_fail(spark, silver_unique):
+    bronze = spark.createDataFrame([(1, 1, 1)], "k int, a int, extra int")
+    silver = spark.createDataFrame([(1, 1, {})], "k int, a int, gone map<string,int>")
+    checks = report(bronze, silver, "k", silver_unique=silver_unique)
+    failed = [(r["check"], r["item"]) for r in checks.where("not passed").collect()]
+    assert sorted(failed) == [("schema", "extra"), ("schema", "gone")]
+    with pytest.raises(ReconciliationError, match="schema"):
+        require_agreement(checks)
+    assert report(bronze, silver, "k", "a", silver_unique=silver_unique).where("not passed").count() == 0
+
+
+@pytest.mark.parametrize("silver_unique", [True, False])
+def test_feeds_of_keys_alone_get_counts_and_coverage(spark, silver_unique):
+    bronze = spark.createDataFrame([(1,), (2,)], "k int")
+    checks = report(bronze, bronze.limit(1), "k", silver_unique=silver_unique).collect()
+    assert [(r["check"], r["violations"]) for r in checks] == [("counts", 1), ("key_coverage", 1)]

@@ -245,3 +245,50 @@ def test_open_table(spark, tmp_path):
         open_table(spark, "unknown", "d", "t")
     with pytest.raises(ValueError, match="no table"):
         open_table(spark, None, "d", "t", str(tmp_path)).current()
+
+
+def test_keys_and_guards_are_never_filled(spark, table):
+    table.merge(frame(spark, [(1, 1, "a")]))
+    for missing, guard in (("k", ()), ("g", "g")):
+        with pytest.raises(ValueError, match="not found"):
+            table.merge(frame(spark, [(2, 2, "b")]).drop(missing), guard=guard, fill_missing=True, source_unique=True)
+    assert rows(table.current()) == [(1, 1, "a")]
+
+
+def test_repeated_source_keys_fail_on_first_and_later_merges(spark, table):
+    twice = frame(spark, [(1, 1, "a"), (1, 2, "b"), (None, 0, "n")])
+    for _ in range(2):
+        with pytest.raises(PySparkException, match="several rows for one key"):
+            table.merge(twice, source_unique=True)
+        table.merge(frame(spark, [(1, 1, "kept")]))
+        assert rows(table.current()) == [(1, 1, "kept")]
+
+
+def test_other_buckets_than_the_tables_own_are_refused(spark, table):
+    with pytest.raises(ValueError, match="4 buckets"):
+        table.ensure(frame(spark, []), "k", buckets=8)
+    assert table.ensure(frame(spark, []), "k") is table
+
+
+def test_small_feeds_leave_most_files_alone(spark, base):
+    table = SnapshotTable(spark, base).ensure(frame(spark, []), "k", buckets=64)
+    table.merge(spark.range(5000).selectExpr("int(id) as k", "1 as g", "'a' as v"))
+    before = set(table.current().inputFiles())
+    table.merge(frame(spark, [(7, 2, "b"), (8, 2, "b")]))
+    assert len(before & set(table.current().inputFiles())) >= 62
+
+
+def test_partitioned_files_follow_buckets_and_partitions(spark, base):
+    table = SnapshotTable(spark, base, rows_per_task=100).ensure(frame(spark, []), "k", partitions="g", buckets=2)
+    many = spark.range(4000).selectExpr("int(id) as k", "int(id % 20) as g", "'a' as v")
+    for data in (many, many.withColumn("v", F.lit("b"))):
+        table.merge(data)
+        assert len(table.current().inputFiles()) <= 2 * 2 * 20
+    assert table.current().where("v = 'b'").count() == 4000
+
+
+def test_types_with_awkward_names_read_back(spark, table):
+    table.add_column("st", "struct<`a b`:int,c:array<string>>")
+    assert table.current().schema["st"].dataType.simpleString() == "struct<a b:int,c:array<string>>"
+    table.merge(frame(spark, [(1, 1, "a")]), fill_missing=True)
+    assert rows(table.current()) == [(1, 1, "a", None)]

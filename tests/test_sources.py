@@ -126,3 +126,15 @@ def test_csv_without_inference_is_text(spark, tmp_path):
     assert inferred.schema["_c0"].dataType == T.IntegerType()
     given = read_partitioned(spark, path, "p", ["x"], fmt="csv", schema="a long, b double, p string")
     assert rows(given) == [(1, 2.5, "x")]
+
+
+def test_partitions_without_their_column_are_refused(spark, feed):
+    with pytest.raises(ValueError, match="column"):
+        read_partitioned(spark, feed, None, ["2024-01-02"])
+
+
+@pytest.mark.parametrize("days", [["2030-01-01"], ["2030-01-01", "2024-01-02"]])
+def test_selected_directories_agree_with_the_filter(spark, feed, days):
+    plain = read_partitioned(spark, feed, "dt_ref", days)
+    selected = read_partitioned(spark, feed, "dt_ref", days, list_selected_only=True)
+    assert rows(selected) == rows(plain)

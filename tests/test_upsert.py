@@ -119,3 +119,24 @@ def test_against_a_dictionary(spark, held, new, strategy):
     assert rows(upsert(frame(held), frame(new), "k,j", guard="g", strategy=strategy)) == sorted(
         ((*k, *v) for k, v in guarded.items()), key=repr
     )
+
+
+def test_keys_and_guards_are_never_filled(spark):
+    target = spark.createDataFrame([(1, 1, "a")], "k int, g int, v string")
+    for missing in ("k", "g"):
+        with pytest.raises(ValueError, match="not found"):
+            upsert(target, target.drop(missing), "k", guard="g", fill_missing=True, source_unique=True)
+
+
+def test_checked_source_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string").mapInArrow(count, "k int, v string")
+    assert rows(upsert(target, source, "k")) == [(1, "b"), (2, "c")]
+    assert seen.value == 2
