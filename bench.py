@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 import registry
@@ -43,6 +44,8 @@ HEADLINE = [
     "consolidate_ranges",
     "consolidate_composite_key",
     "reconcile_fresh_table",
+    "reconcile_stale_table",
+    "stream_consolidate",
 ]
 
 
@@ -60,6 +63,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.sql.session.timeZone": "UTC",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
