@@ -72,8 +72,8 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], window: int, shards: int) -
 
     Segments go whole, by anchor; those of a hot anchor are cut into windows that go by their own hash.
     """
-    names = ["shard", "anchor", "segment", "at", "piece", "hot", "id", "words"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.string()]
+    names = ["shard", "anchor", "segment", "at", "piece", "hot", "again", "id", "words"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
     out: list[tuple] = []
 
     def flush():
@@ -81,7 +81,8 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], window: int, shards: int) -
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     for batch in small(batches):
-        for doc, text, wanted in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("wanted")):
+        docs = zip(*(batch.column(c).to_pylist() for c in ("id", "again")), batch.column("text"), batch.column("wanted"))
+        for doc, again, text, wanted in docs:
             data = text.as_py().encode()
             starts, ends, hashes = hash_words(data)
             grams = Grams(hashes).all(window).view(np.int64)
@@ -95,7 +96,7 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], window: int, shards: int) -
                     words = b" ".join(
                         data[i:j] for i, j in zip(starts[a : a + n + window - 1], ends[a : a + n + window - 1])
                     )
-                    out.append((key % shards, w["anchor"], w["segment"], at, piece, w["hot"], doc, words))
+                    out.append((key % shards, w["anchor"], w["segment"], at, piece, w["hot"], again, doc, words))
                 if len(out) >= ROWS_OUT:
                     yield flush()
                     out = []
@@ -194,6 +195,7 @@ def dedup_substrings(
     FM-index gives the matching statistics of the segments streamed through it, capped at the window, and with each
     match the least id that has it. Shards have about `shard_words` words: their number follows from the data, and
     an anchor with more than `hot` segments is dealt out by single windows instead, equal ones reduced to one before.
+    Rows that repeat id and text are cut like others, and their passages reduced to one in every task before they meet.
     """
     text = F.col(text_col)
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("row")]
@@ -220,20 +222,23 @@ def dedup_substrings(
         .groupBy("id", "row")
         .agg(F.collect_list(F.struct("first", "n", "anchor", "segment", "hot")).alias("wanted"))
     )
-    cut = rows.join(wanted, ["id", "row"]).select("id", "text", "wanted")
+    # Every text that has a window has one at its first word, so these rows count the copies under one id.
+    copies = found.where("first = 0").groupBy("id", "row").agg(F.count("*").alias("copies"))
+    wanted = wanted.join(copies, ["id", "row"]).withColumn("again", F.col("copies") > 1)
+    cut = rows.join(wanted, ["id", "row"]).select("id", "text", "wanted", "again")
     cut = cut.mapInArrow(
         lambda batches: _cut_segments(batches, window, shards),
-        "shard long, anchor long, segment long, at int, piece long, hot boolean, id long, words string",
+        "shard long, anchor long, segment long, at int, piece long, hot boolean, again boolean, id long, words string",
     )
     cut = materialise(cut, "passages", compression="zstd")
     passage = ["shard", "anchor", "piece"]
-    plain = cut.where("not hot").select(*passage, "id", "words")
-    split = cut.where("hot").groupBy(*passage).agg(F.min("id").alias("id"), F.min("words").alias("words"))
+    plain = cut.where("not hot and not again").select(*passage, "id", "words")
+    split = cut.where("hot or again").groupBy(*passage).agg(F.min("id").alias("id"), F.min("words").alias("words"))
     least = plain.union(split).groupBy("shard").applyInArrow(
         lambda table: _search_shard(table, window), "anchor long, piece long, least array<long>"
     )
     least = materialise(least, "least")
-    pieces = cut.where("hot").select("anchor", "segment", "at", "piece").join(least, ["anchor", "piece"])
+    pieces = cut.where("hot").select("anchor", "segment", "at", "piece").distinct().join(least, ["anchor", "piece"])
     whole_ones = least.join(busy.select("anchor"), "anchor", "left_anti")
     least = whole_ones.select("anchor", F.col("piece").alias("segment"), F.lit(0).alias("at"), "least").union(
         pieces.select("anchor", "segment", "at", "least")
@@ -254,7 +259,7 @@ def dedup_substrings(
         )
     )
     hits = places.join(least, ["anchor", "segment"]).select("id", "row", runs.alias("runs")).where("size(runs) > 0")
-    hits = hits.groupBy("id", "row").agg(F.flatten(F.collect_list("runs")).alias("starts"))
+    hits = hits.groupBy("id", "row").agg(F.flatten(F.collect_set("runs")).alias("starts"))
     joined = docs.select(F.struct(*docs.columns).alias("whole"), *key)
     joined = joined.join(hits, ["id", "row"], "left").select("whole", "starts")
     whole = joined.schema["whole"].dataType.simpleString()

@@ -49,6 +49,26 @@ def test_substrings(odd_docs, pairs, window, options):
     assert table(kept.select("whole.doc_id", "n_words", removed, "kept")) == by_repr(brute.substring_dedup(pairs, window))
 
 
+@pytest.mark.parametrize("hot", [0, 2000])
+def test_substrings_of_rows_that_repeat(spark, hot, monkeypatch):
+    """Copies without an id meet as one passage: no shard grows with their number."""
+    rng = random.Random(9)
+    copied, other = prose(rng, 120), prose(rng, 40)
+    pairs = [(None, copied)] * 300 + [(4, other + " " + copied), (4, other + " " + copied), (2, copied[: len(copied) // 2])]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    stored, keep = {}, substrings.materialise
+
+    def watched(df, label, **options):
+        stored[label] = keep(df, label, **options)
+        return stored[label]
+
+    monkeypatch.setattr(substrings, "materialise", watched)
+    kept = substrings.dedup_substrings(docs, window=50, hot=hot)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["word"])
+    assert table(kept.select("whole.doc_id", "n_words", removed, "kept")) == by_repr(brute.substring_dedup(pairs, 50))
+    assert stored["least"].count() == stored["least"].select("anchor", "piece").distinct().count()
+
+
 def test_substrings_of_no_documents(no_docs):
     assert substrings.dedup_substrings(no_docs).count() == 0
 
