@@ -29,6 +29,14 @@ def upsert_forward_anti_join(spark, sf_dir):
     return upsert(target, source, "user_id", source_unique=True, strategy="anti_join")
 
 
+@query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
+def upsert_forward_full_outer(spark, sf_dir):
+    """The same merge as a full outer join."""
+    target = events_latest(spark, sf_dir, last=15)
+    source = events_latest(spark, sf_dir, first=20)
+    return upsert(target, source, "user_id", source_unique=True, strategy="full_outer")
+
+
 @query(f"select * from {merged_sql(FIRST_HALF, LATER)}")
 def upsert_checked(spark, sf_dir):
     """As above, with the plan itself checking that source keys are unique."""

@@ -23,6 +23,7 @@ from silverline.functions.columns import (
     resolve,
     same_keys,
     split_names,
+    typed_null,
     unused_name,
 )
 from silverline.operators.upsert import has_null_key, key_presence
@@ -49,10 +50,13 @@ def missing_keys(
 ) -> DataFrame:
     """Distinct bronze keys that silver does not hold."""
     names = require_keys(bronze, keys)
+    if null_safe:
+        # grouping treats NULL keys as equal and, unlike a null-safe join, keeps the exchange on the plain keys
+        sides = key_presence(bronze, silver, names)
+        in_bronze, in_silver = cols(sides.columns[-2:])
+        return sides.where((in_bronze > 0) & (in_silver == 0)).select(*cols(names))
     have = bronze.select(*cols(names)).distinct()
     seen = silver.select(*cols(names)).distinct()
-    if null_safe:
-        return have.alias("b").join(seen.alias("s"), same_keys(names, "b", "s"), "left_anti")
     return have.join(seen, on=names, how="left_anti")
 
 
@@ -126,15 +130,18 @@ def report(
     holds a map, is a failed check of its own. A feed of keys alone gets counts and coverage.
 
     With `silver_unique` (a table that holds every key once by construction) all
-    checks come out of one full outer join. Otherwise counts and coverage share one
+    checks come out of one full outer join, or with `null_safe` out of one grouping by key, which uses the exchange
+    that a side may have already. Otherwise counts and coverage share one
     grouping of the key columns and values take an inner join: both stand a silver
     table with repeated keys, because the grouping aggregates before its shuffle and
     adaptive execution may split the join. Pass a materialised `bronze`.
     """
     names = require_keys(bronze, keys)
     chosen, skipped = _chosen(bronze, silver, names, columns, exclude)
+    if silver_unique and null_safe:
+        return _report_by_group(bronze, silver, names, chosen, skipped)
     if silver_unique:
-        return _report_by_join(bronze, silver, names, chosen, skipped, null_safe)
+        return _report_by_join(bronze, silver, names, chosen, skipped)
 
     sides = key_presence(bronze, silver, names)
     in_bronze, in_silver = cols(sides.columns[-2:])
@@ -153,7 +160,28 @@ def report(
     return checks.unionByName(_as_rows(diffs, [_value_check(c, col(c)) for c in chosen]))
 
 
-def _report_by_join(bronze, silver, keys, chosen, skipped, null_safe) -> DataFrame:
+def _report_by_group(bronze, silver, keys, chosen, skipped) -> DataFrame:
+    """All checks from at most one row per key and side, NULLs compared as values."""
+    ours, theirs = unused_name("ours", keys), unused_name("theirs", keys)
+    # each side keeps its own column types
+    packed = F.struct(F.lit(1).alias("there"), *[col(c).alias(f"c{n}") for n, c in enumerate(chosen)])
+    left = bronze.select(*cols(keys), packed.alias(ours))
+    right = silver.select(*cols(keys), packed.alias(theirs))
+    both = left.withColumn(theirs, typed_null(right.schema[theirs].dataType)).unionByName(
+        right.withColumn(ours, typed_null(left.schema[ours].dataType))
+    )
+    pairs = both.groupBy(*cols(keys)).agg(*[F.first(col(c), ignorenulls=True).alias(c) for c in (ours, theirs)])
+    held, kept = col(ours), col(theirs)
+    matched = held.isNotNull() & kept.isNotNull()
+    diffs = [
+        F.count_if(matched & ~held[f"c{n}"].eqNullSafe(kept[f"c{n}"])).alias(f"diff_{n}") for n in range(len(chosen))
+    ]
+    missing = F.count_if(held.isNotNull() & kept.isNull()).alias("missing")
+    totals = pairs.agg(F.count(held).alias("bronze_rows"), F.count(kept).alias("silver_rows"), missing, *diffs)
+    return _as_totals(totals, chosen, skipped)
+
+
+def _report_by_join(bronze, silver, keys, chosen, skipped) -> DataFrame:
     in_bronze = unused_name("in_bronze", [*keys, *chosen])
     in_silver = unused_name("in_silver", [*keys, *chosen])
     pairs = _paired(
@@ -162,12 +190,12 @@ def _report_by_join(bronze, silver, keys, chosen, skipped, null_safe) -> DataFra
         keys,
         chosen,
         "full_outer",
-        null_safe,
+        False,
         markers=(in_bronze, in_silver),
     )
     both = col(in_bronze).isNotNull() & col(in_silver).isNotNull()
     counted = [
-        F.count_if(both & _differs(c, null_safe)).alias(f"diff_{n}") for n, c in enumerate(chosen)
+        F.count_if(both & _differs(c, False)).alias(f"diff_{n}") for n, c in enumerate(chosen)
     ]
     totals = pairs.agg(
         F.count(col(in_bronze)).alias("bronze_rows"),
@@ -175,6 +203,11 @@ def _report_by_join(bronze, silver, keys, chosen, skipped, null_safe) -> DataFra
         F.count_if(col(in_silver).isNull()).alias("missing"),
         *counted,
     )
+    return _as_totals(totals, chosen, skipped)
+
+
+def _as_totals(totals: DataFrame, chosen: Sequence[str], skipped: Sequence[str]) -> DataFrame:
+    """Rows of checks out of row counts, missing keys and differences by column number."""
     values = [_value_check(c, col(f"diff_{n}")) for n, c in enumerate(chosen)]
     return _as_rows(totals, [*_schema_checks(skipped), *_key_checks(), *values])
 

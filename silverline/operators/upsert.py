@@ -21,7 +21,7 @@ from silverline.functions.columns import (
 )
 from silverline.session import materialise
 
-STRATEGIES = ("full_outer", "anti_join")
+STRATEGIES = ("window", "full_outer", "anti_join")
 
 
 def align(
@@ -71,7 +71,7 @@ def upsert(
     guard: str | Sequence[str] = (),
     fill_missing: bool = False,
     source_unique: bool = False,
-    strategy: str = "full_outer",
+    strategy: str = "window",
 ) -> DataFrame:
     """The target after merging `source` into it.
 
@@ -83,7 +83,10 @@ def upsert(
     from a per-key operator on the same keys. Otherwise the source is evaluated once, when this is called,
     and its stored keys are checked when the result is.
 
-    * `full_outer`: one join of the two sides. For any source.
+    * `window`: both sides in one relation, of which every key keeps the side that wins. Reads each side once and
+      takes over the exchange of a side that is already dealt out by key, for example by a per-key operator.
+      For any source.
+    * `full_outer`: one join of the two sides. Its null-safe keys need an exchange of their own on both sides.
     * `anti_join`: target rows without a match, followed by the source. Reads the
       source twice, so it must be stored or cheap and always give the same rows. If
       its keys are small enough to broadcast, the target is not shuffled at all.
@@ -96,10 +99,25 @@ def upsert(
     if not source_unique:
         # stored first: the rows that are checked are the rows that are merged
         incoming = require_unique_keys(materialise(incoming, "upsert-source"), names)
-    merge = _by_full_outer if strategy == "full_outer" else _by_anti_join
+    merge = {"window": _by_window, "full_outer": _by_full_outer, "anti_join": _by_anti_join}[strategy]
     return merge(target, incoming, names, ages)
 
 
+def _by_window(target, incoming, keys, ages) -> DataFrame:
+    """Per key all rows of the side that wins: target rows that repeat a key stay as long as no source row has it."""
+    side = unused_name("side", target.columns)
+    winner = unused_name("winner", [*target.columns, side])
+    rows = target.withColumn(side, F.lit(0)).unionByName(incoming.withColumn(side, F.lit(1)))
+    key = Window.partitionBy(*cols(keys))
+    wins = F.max(col(side)).over(key)
+    if ages:
+        age = F.struct(*cols(ages))
+        held, came = (F.max(F.when(col(side) == n, age)).over(key) for n in (0, 1))
+        # a side without a row has no age; within an age NULL sorts before everything
+        wins = (came.isNotNull() & F.coalesce(came >= held, F.lit(True))).cast("int")
+    return rows.withColumn(winner, wins).where(col(side) == col(winner)).drop(side, winner)
+
+
 def _by_full_outer(target, incoming, keys, ages) -> DataFrame:
     arrived = unused_name("arrived", target.columns)
     both = target.alias("t").join(

@@ -6,6 +6,7 @@ from silverline.operators import (
     comparable_columns,
     counts,
     key_coverage,
+    latest_per_key,
     missing_keys,
     report,
 )
@@ -125,3 +126,17 @@ def test_feeds_of_keys_alone_get_counts_and_coverage(spark, silver_unique):
     bronze = spark.createDataFrame([(1,), (2,)], "k int")
     checks = report(bronze, bronze.limit(1), "k", silver_unique=silver_unique).collect()
     assert [(r["check"], r["violations"]) for r in checks] == [("counts", 1), ("key_coverage", 1)]
+
+
+def test_null_safe_report_takes_over_the_exchanges_of_both_sides(spark, tmp_path, plan_of):
+    """Grouping by key adds no exchange to those of sides that are dealt out by key already."""
+    path = str(tmp_path / "feed")
+    spark.range(400).selectExpr("nullif(id % 70, 3) k", "id o", "nullif(id % 11, 0) a").write.parquet(path)
+    feed = spark.read.parquet(path)
+    bronze, silver = latest_per_key(feed, "k", "o"), latest_per_key(feed.where("o < 380"), "k", "o")
+    checks = report(bronze, silver, "k", null_safe=True, silver_unique=True)
+    assert plan_of(checks).count("Exchange hashpartitioning") == 2
+    assert plan_of(key_coverage(bronze, silver, "k", null_safe=True)).count("Exchange hashpartitioning") == 2
+    expected = report(bronze, silver, "k", null_safe=True)
+    assert rows(checks) == rows(expected)
+    assert expected.where("not passed").count() > 0

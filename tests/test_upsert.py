@@ -4,6 +4,8 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from silverline.operators import align, require_unique_keys, upsert, upsert_summary
+from silverline.operators import latest_per_key
+from silverline.operators.upsert import STRATEGIES
 from tests.conftest import rows
 
 SHAPE = "k int, j string, g int, v string"
@@ -19,9 +21,10 @@ def target(spark):
 
 
 both = pytest.mark.parametrize("strategy", ["full_outer", "anti_join"])
+every = pytest.mark.parametrize("strategy", STRATEGIES)
 
 
-@both
+@every
 def test_matches_replace_rest_stays_and_new_rows_arrive(spark, target, strategy):
     source = spark.createDataFrame([(1, "x", 1, "s1"), (3, "x", 9, "s2"), (None, None, 0, "s3")], SHAPE)
     merged = upsert(target, source, "k,j", strategy=strategy)
@@ -32,7 +35,7 @@ def test_matches_replace_rest_stays_and_new_rows_arrive(spark, target, strategy)
     )
 
 
-@both
+@every
 def test_guard_refuses_older_rows_and_null_is_oldest(spark, target, strategy):
     source = spark.createDataFrame(
         [(1, "x", 4, "old"), (2, "x", 5, "same"), (None, "x", None, "both null"), (None, None, None, "null")], SHAPE
@@ -55,7 +58,7 @@ def test_missing_source_column(spark, target):
     assert (7, "x", None, None) in rows(upsert(target, source, ["k", "j"], fill_missing=True))
 
 
-@both
+@every
 def test_repeated_source_keys_fail_when_run(spark, target, strategy):
     source = spark.createDataFrame([(9, "x", 1, "a"), (9, "x", 2, "b")], SHAPE)
     plan = upsert(target, source, ["k", "j"], strategy=strategy)
@@ -89,6 +92,27 @@ def test_full_outer_evaluates_the_source_once(spark, target, plan_of):
     assert text.count("Range (0, 10") == 1
 
 
+def test_window_takes_over_the_exchanges_of_deduplicated_sides(spark, tmp_path, plan_of):
+    """Two hash exchanges, those of the deduplication: the merge adds none."""
+    path = str(tmp_path / "feed")
+    spark.range(500).selectExpr("id % 90 k", "id o", "string(id) v").write.parquet(path)
+    feed = spark.read.parquet(path)
+    sides = [latest_per_key(feed.where(c), "k", "o") for c in ("o < 300", "o >= 300")]
+    merged = upsert(*sides, "k", source_unique=True)
+    assert plan_of(merged).count("Exchange hashpartitioning") == 2
+    assert rows(merged) == rows(upsert(*sides, "k", source_unique=True, strategy="full_outer"))
+
+
+@pytest.mark.parametrize("guard", [(), "g"])
+def test_repeated_target_keys_stay_until_they_are_replaced(spark, target, guard):
+    twice = target.union(target)
+    source = spark.createDataFrame([(1, "x", 9, "s1")], SHAPE)
+    merged = upsert(twice, source, ["k", "j"], guard=guard, strategy="window")
+    assert [r[3] for r in rows(merged)].count("s1") == 1
+    assert merged.count() == 7
+    assert rows(merged) == rows(upsert(twice, source, ["k", "j"], guard=guard, strategy="anti_join"))
+
+
 def test_unknown_strategy(target):
     with pytest.raises(ValueError):
         upsert(target, target, ["k", "j"], strategy="guess")
@@ -102,7 +126,7 @@ keyed = st.dictionaries(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(held=keyed, new=keyed, strategy=st.sampled_from(["full_outer", "anti_join"]))
+@given(held=keyed, new=keyed, strategy=st.sampled_from(STRATEGIES))
 def test_against_a_dictionary(spark, held, new, strategy):
     def frame(d):
         return spark.createDataFrame([(*k, *v) for k, v in d.items()], SHAPE)
