@@ -1,10 +1,10 @@
 """A keyed current-state table on plain Parquet directories, with history.
 
 For sessions without a catalog that can merge rows. State is hashed by key into a
-fixed number of buckets. A merge reads and rewrites only the buckets its source
+number of buckets that is given or follows from the size of the first load. A merge reads and rewrites only the buckets its source
 touches; a snapshot is, for every bucket, the newest copy written up to then.
 
-    <base>/definition/                            keys, partitions, buckets, first schema
+    <base>/definition/                            keys, partitions, buckets (0 before the first load), first schema
     <base>/lineage=<k>/data/_snapshot_id=<n>/_key_bucket=<b>/[<partition>=..]/
     <base>/lineage=<k>/commits/                   one row per snapshot, written last, with the
                                                   buckets it wrote and their row counts
@@ -17,6 +17,7 @@ are overwritten by the next one. One writer at a time.
 from __future__ import annotations
 
 import json
+import math
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -38,14 +39,17 @@ from silverline.functions.columns import (
     unused_name,
 )
 from silverline.operators.upsert import align, newest_side
-from silverline.session import materialise
+from silverline.session import scratch_path
 from silverline.tables.schema_history import ADD, CHANGE, DROP, SchemaHistory
 
 SNAPSHOT, BUCKET = "_snapshot_id", "_key_bucket"
 HOLDING, INCOMING = 0, 1
 
-DEFAULT_BUCKETS = 16
-# default number of rows from which on a bucket is merged by several tasks
+# buckets of a table whose first load is small, and the most that a load is given: bounds the commit log's entries
+DEFAULT_BUCKETS, MOST_BUCKETS = 16, 1 << 14
+# stored bytes of the first load that make a bucket, and those that one task of a merge holds
+BUCKET_BYTES, TASK_BYTES = 128 << 20, 256 << 20
+# most rows that one task of a merge holds, however narrow
 ROWS_PER_TASK = 4_000_000
 
 DEFINITION = "lineage int, keys array<string>, partitions array<string>, buckets int, schema_json string"
@@ -59,11 +63,21 @@ class SnapshotTable:
     # merges are the only way in, and they keep one row per key
     holds_keys_once = True
 
-    def __init__(self, spark: SparkSession, base: str, *, rows_per_task: int | None = None):
-        """`rows_per_task` bounds what one task of a merge holds, ROWS_PER_TASK if not given: lower it for wide
-        rows. It changes tasks and files, never rows."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        base: str,
+        *,
+        bucket_bytes: int = BUCKET_BYTES,
+        task_bytes: int = TASK_BYTES,
+        rows_per_task: int | None = None,
+    ):
+        """Sizes are bytes of compressed Parquet. `bucket_bytes` sets the number of buckets when a table without
+        a given number gets its first rows. `task_bytes` and `rows_per_task` (ROWS_PER_TASK if not given) are what
+        one task of a merge holds on average at most. They change tasks and files, never rows."""
         self.spark = spark
         self.base = base.rstrip("/")
+        self.bucket_bytes, self.task_bytes = bucket_bytes, task_bytes
         self.rows_per_task = rows_per_task or ROWS_PER_TASK
         self._spec: Row | None = None
 
@@ -85,9 +99,10 @@ class SnapshotTable:
 
         Partition columns must be columns of `like`. An existing table keeps its
         columns; other keys, partitions or buckets than its own are an error. `recreate`
-        starts over with an empty table and no history. `buckets` (DEFAULT_BUCKETS if not given) sets how finely a
-        merge can choose what to rewrite, not how parallel it runs, and stays for good: choose many more
-        than a usual merge brings keys where a large table receives few changes at a time.
+        starts over with an empty table and no history. `buckets` sets how finely a merge can choose what to
+        rewrite, not how parallel it runs, and stays for good: choose many more than a usual merge brings keys
+        where a large table receives few changes at a time. If not given, the first load decides by its size,
+        from DEFAULT_BUCKETS to MOST_BUCKETS.
         """
         names = require_keys(like, keys)
         parts = resolve(self.spark, like.columns, split_names(partitions), "partition columns")
@@ -97,14 +112,15 @@ class SnapshotTable:
             if parts and parts != list(current.partitions):
                 raise ValueError(f"table is partitioned by {list(current.partitions)}, not {parts}")
             if buckets and buckets != current.buckets:
-                raise ValueError(f"table has {current.buckets} buckets, not {buckets}")
+                own = current.buckets or "an undecided number of"
+                raise ValueError(f"table has {own} buckets, not {buckets}")
             return self
         reserved = [c for c in like.columns if c.lower() in (SNAPSHOT, BUCKET)]
         if reserved:
             raise ValueError(f"reserved column names: {reserved}")
         fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in like.schema.fields]
         lineage = current.lineage + 1 if current else 1
-        definition = (lineage, names, parts, buckets or DEFAULT_BUCKETS, T.StructType(fields).json())
+        definition = (lineage, names, parts, buckets or 0, T.StructType(fields).json())
         self._append(f"{self.base}/definition", DEFINITION, definition)
         self._spec = None
         self._commit_unchanged(1, "create", schema_id=0, total=0)
@@ -181,20 +197,25 @@ class SnapshotTable:
         grown large are spread over several tasks by key. One writer at a time: two would take the same
         snapshot id. Use `CatalogTable` where several write.
         """
-        spec, history = self._definition(), self._history()
+        history = self._history()
         schema = history.latest
+        spec = self._definition()
         if keys:
             self._check_keys(split_names(keys))
         ages = resolve(self.spark, schema.names, split_names(guard), "guard columns")
         incoming = align(source, schema, fill_missing=fill_missing, required=[*spec.keys, *ages])
-        bucket = F.pmod(F.xxhash64(*cols(spec.keys)), F.lit(spec.buckets)).cast("int")
-        incoming = incoming.withColumn(BUCKET, bucket)
 
         last, live = self._live_parts()
         before = sum(p.row_count for p in live)
         folder = f"{self._path('data')}/{SNAPSHOT}={last + 1}"
-        incoming = materialise(incoming, "merge-source")
-        # one row per touched bucket: bounded by the bucket count fixed at creation
+        stored = scratch_path(self.spark, "merge-source")
+        incoming.write.parquet(stored)
+        incoming = self.spark.read.schema(incoming.schema).parquet(stored)
+        if not spec.buckets:
+            spec = self._choose_buckets(stored, incoming)
+        bucket = F.pmod(F.xxhash64(*cols(spec.keys)), F.lit(spec.buckets or 1)).cast("int")
+        incoming = incoming.withColumn(BUCKET, bucket)
+        # one row per touched bucket: bounded by the bucket count
         arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
         if not arriving:
             self._commit_unchanged(last + 1, "merge", schema_id=history.latest_id, total=before)
@@ -202,7 +223,9 @@ class SnapshotTable:
         touched = [p for p in live if p[BUCKET] in arriving]
         held = self._read(touched, history, history.latest_id)
         arrived, replaced = sum(arriving.values()), sum(p.row_count for p in touched)
-        splits = -(-(arrived + replaced) // (self.rows_per_task * len(arriving)))
+        folders = [f for of in self._folders(touched).values() for f in of]
+        tasks = max((arrived + replaced) / self.rows_per_task, self._bytes(stored, *folders) / self.task_bytes)
+        splits = max(1, math.ceil(tasks / len(arriving)))
         merged, side = self._merged(held, incoming, sorted(arriving), splits, ages)
         if ages:
             taken = Observation()
@@ -216,6 +239,23 @@ class SnapshotTable:
         self._commit_folder(folder, last + 1, history, before=before, replaced=replaced, accepted=accepted)
         return last + 1
 
+    def _bytes(self, *folders: str) -> int:
+        """Stored bytes below some folders; only the listing is read."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(folders))
+        return files.agg(F.sum("length")).first()[0] or 0
+
+    def _choose_buckets(self, stored: str, rows: DataFrame) -> Row:
+        """Decide the number of buckets from the first rows that arrive; no rows decide nothing."""
+        self._spec = None
+        spec = self._definition()
+        if not spec.buckets and not rows.isEmpty():
+            chosen = min(MOST_BUCKETS, max(DEFAULT_BUCKETS, -(-self._bytes(stored) // self.bucket_bytes)))
+            decided = (spec.lineage, list(spec.keys), list(spec.partitions), chosen, spec.schema_json)
+            self._append(f"{self.base}/definition", DEFINITION, decided)
+            self._spec = None
+            spec = self._definition()
+        return spec
+
     def add_column(self, name: str, column_type: str, comment: str | None = None) -> None:
         """Add a column at the end; existing rows read NULL. Makes no snapshot."""
         dtype = self.spark.range(0).select(typed_null(column_type).alias("c")).schema["c"].dataType
@@ -242,7 +282,9 @@ class SnapshotTable:
         rows = held.withColumn(side, F.lit(HOLDING)).unionByName(incoming.withColumn(side, F.lit(INCOMING)))
         # cells are numbered without gaps, so each gets a task of its own
         cell = unused_name("cell", rows.columns)
-        number = F.array_position(F.array(*map(F.lit, touched)), col(BUCKET)).cast("int") - 1
+        place = {b: i for i, b in enumerate(touched)}
+        listed = ",".join(str(place.get(b, -1)) for b in range(spec.buckets))
+        number = F.get(F.split(F.lit(listed), ",").cast("array<int>"), col(BUCKET))
         share = F.pmod(F.hash(*cols(spec.keys)), F.lit(splits))
         rows = rows.withColumn(cell, number * splits + share)
         rows = rows.repartitionById(len(touched) * splits, col(cell))
@@ -291,7 +333,7 @@ class SnapshotTable:
     def _find_definition(self) -> Row | None:
         if self._spec is None:
             log = self._find_log(f"{self.base}/definition", DEFINITION)
-            self._spec = log.orderBy(col("lineage").desc()).first() if log is not None else None
+            self._spec = log.orderBy(col("lineage").desc(), col("buckets").desc()).first() if log is not None else None
         return self._spec
 
     def _definition(self) -> Row:
@@ -368,12 +410,9 @@ class SnapshotTable:
         fields = history.at(schema_id).fields
         return rows.select(*[col(f.name).alias(f.name, metadata=f.metadata or {}) for f in fields])
 
-    def _read(self, parts: Iterable[Row], history: SchemaHistory, schema_id: int) -> DataFrame:
-        """Rows of the given bucket copies, with their bucket, in one schema.
-
-        Copies are scanned together per schema they were written with: the number
-        of scans follows the schema changes, not the commits.
-        """
+    def _folders(self, parts: Iterable[Row]) -> dict[int, list[str]]:
+        """Folders of the given bucket copies by the schema they were written with; a snapshot all of
+        whose buckets are wanted is one folder."""
         by_snapshot, by_schema = defaultdict(list), defaultdict(list)
         for part in parts:
             by_snapshot[part.snapshot_id].append(part)
@@ -382,10 +421,18 @@ class SnapshotTable:
             whole = len(members) == members[0].parts
             paths = [folder] if whole else [f"{folder}/{BUCKET}={m[BUCKET]}" for m in members]
             by_schema[members[0].schema_id] += paths
+        return by_schema
+
+    def _read(self, parts: Iterable[Row], history: SchemaHistory, schema_id: int) -> DataFrame:
+        """Rows of the given bucket copies, with their bucket, in one schema.
+
+        Copies are scanned together per schema they were written with: the number
+        of scans follows the schema changes, not the commits.
+        """
         wanted = T.StructType([*history.at(schema_id).fields, T.StructField(BUCKET, T.IntegerType())])
         frames = [
             history.replay(self._scan(paths, history.at(written_with)), written_with, schema_id)
-            for written_with, paths in sorted(by_schema.items())
+            for written_with, paths in sorted(self._folders(parts).items())
         ]
         if not frames:
             return empty_frame(self.spark, wanted)

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -292,3 +293,32 @@ def test_types_with_awkward_names_read_back(spark, table):
     assert table.current().schema["st"].dataType.simpleString() == "struct<a b:int,c:array<string>>"
     table.merge(frame(spark, [(1, 1, "a")]), fill_missing=True)
     assert rows(table.current()) == [(1, 1, "a", None)]
+
+
+def test_buckets_follow_the_first_load(spark, base):
+    """Far above the bucket size a feed of few keys leaves most files as they are."""
+    table = SnapshotTable(spark, base, bucket_bytes=10_000).ensure(frame(spark, []), "k")
+    table.merge(frame(spark, []))
+    assert table._definition().buckets == 0
+    many = spark.range(20_000).select(F.col("id").alias("k"), F.lit(0).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    many = many.select(*[F.col(f.name).cast(f.dataType) for f in table.schema])
+    table.merge(many)
+    buckets = table._definition().buckets
+    assert buckets > 64
+    with pytest.raises(ValueError, match=f"{buckets} buckets"):
+        table.ensure(frame(spark, []), "k", buckets=16)
+    table.merge(many.where("k in (5, 7, 11)"))
+    first, last = (len(list(Path(table._path("data")).glob(f"_snapshot_id={n}/_key_bucket=*"))) for n in (3, 4))
+    assert first == buckets and last <= 3
+    assert rows(table.current()) == rows(many)
+    again = SnapshotTable(spark, base)
+    assert again._definition().buckets == buckets and again.current().count() == 20_000
+
+
+def test_wide_rows_are_merged_by_more_tasks(spark, base):
+    table = SnapshotTable(spark, base, task_bytes=2000).ensure(frame(spark, []), "k", buckets=2)
+    many = spark.range(500).select(F.col("id").alias("k"), F.lit(0).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    many = many.select(*[F.col(f.name).cast(f.dataType) for f in table.schema])
+    table.merge(many)
+    assert len(list(Path(table._path("data")).glob("**/*.parquet"))) > 8
+    assert rows(table.current()) == rows(many)
