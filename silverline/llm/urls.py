@@ -22,6 +22,8 @@ CELLS = int(_FIRST[-1]) * 256
 #: One URL in HELD is held out to set the threshold; thresholds are tried in steps of 1 / STEPS nats a byte.
 HELD, STEPS = 5, 64
 START, END = b"\x02", b"\x03"
+#: Bytes that are predicted at once, however many or long the URLs of a batch are.
+PLACES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -57,13 +59,16 @@ def rule_of(rules: Sequence[Rule], host: Column, path: Column) -> Column:
     return found
 
 
-def _bytes(urls) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All URLs after one another: the bytes, the places that are predicted, and the URL of each of these."""
+def _bytes(urls) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All URLs after one another, in pieces: the bytes, some places that are predicted, and the URL of each of these."""
     data = [(u or "").encode().lower() + END for u in urls]
-    buf = np.frombuffer(b"".join(START * ORDER + d for d in data), np.uint8).astype(np.int64)
-    sizes = np.array([len(d) for d in data], np.int64)
-    owner = np.repeat(np.arange(len(data)), sizes)
-    return buf, np.arange(len(owner)) + ORDER * (owner + 1), owner
+    buf = np.frombuffer(b"".join(START * ORDER + d for d in data), np.uint8)
+    ends = np.cumsum([len(d) for d in data], dtype=np.int64)
+    total = int(ends[-1]) if data else 0
+    for first in range(0, total, PLACES):
+        place = np.arange(first, min(first + PLACES, total))
+        owner = np.searchsorted(ends, place, side="right")
+        yield buf, place + ORDER * (owner + 1), owner
 
 
 def _cells(buf: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
@@ -71,9 +76,9 @@ def _cells(buf: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
     context = np.zeros(len(at), np.uint64)
     for k in range(ORDER + 1):
         if k:
-            context = context * np.uint64(0x100000001B3) + (buf[at - k] + 1).astype(np.uint64)
+            context = context * np.uint64(0x100000001B3) + buf[at - k].astype(np.uint64) + np.uint64(1)
         if k < 2:
-            row = buf[at - 1] if k else np.zeros(len(at), np.int64)
+            row = buf[at - 1].astype(np.int64) if k else np.zeros(len(at), np.int64)
         else:
             mixed = context * np.uint64(0x9E3779B97F4A7C15)
             row = ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(CONTEXTS)).astype(np.int64)
@@ -84,12 +89,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each cell occurs in accepted and in rejected URLs."""
     counts = np.zeros((2, CELLS), np.int64)
     for batch in batches:
-        buf, at, owner = _bytes(batch.column("url").to_pylist())
-        good = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)[owner]
-        for cell in _cells(buf, at):
-            for k in (0, 1):
-                where, n = np.unique(cell[good == bool(k)], return_counts=True)
-                counts[k, where] += n
+        kinds = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)
+        for buf, at, owner in _bytes(batch.column("url").to_pylist()):
+            good = kinds[owner]
+            for cell in _cells(buf, at):
+                for k in (0, 1):
+                    where, n = np.unique(cell[good == bool(k)], return_counts=True)
+                    counts[k, where] += n
     for k in (0, 1):
         cell = np.flatnonzero(counts[k])
         yield pa.RecordBatch.from_pydict(
@@ -111,16 +117,16 @@ class UrlModel:
         The probability after a context backs off to that after the shorter one in proportion to how many
         different bytes have followed it (Witten and Bell's smoothing), down to all bytes alike.
         """
-        buf, at, owner = _bytes(urls)
-        p = np.full((2, len(at)), 1 / 256)
-        for cell in _cells(buf, at):
-            n, row = self.counts[:, cell], cell // 256
-            total, kinds = self.totals[:, row], self.kinds[:, row]
-            seen = total > 0
-            p = np.where(seen, (n + kinds * p) / np.maximum(total + kinds, 1), p)
-        ratio = np.log(p[1]) - np.log(p[0])
-        size = np.maximum(np.bincount(owner, minlength=len(urls)), 1)
-        return np.round(np.bincount(owner, weights=ratio, minlength=len(urls)) / size, 9)
+        sums, sizes = np.zeros(len(urls)), np.zeros(len(urls), np.int64)
+        for buf, at, owner in _bytes(urls):
+            p = np.full((2, len(at)), 1 / 256)
+            for cell in _cells(buf, at):
+                n, row = self.counts[:, cell], cell // 256
+                total, kinds = self.totals[:, row], self.kinds[:, row]
+                p = np.where(total > 0, (n + kinds * p) / np.maximum(total + kinds, 1), p)
+            sums += np.bincount(owner, weights=np.log(p[1]) - np.log(p[0]), minlength=len(urls))
+            sizes += np.bincount(owner, minlength=len(urls))
+        return np.round(sums / np.maximum(sizes, 1), 9)
 
 
 def fit(pages: DataFrame, rules: Sequence[Rule], *, url_col: str = "url") -> UrlModel:

@@ -110,7 +110,7 @@ def test_url_model(spark):
 
 def test_url_smoothing_is_a_distribution():
     counts = np.zeros((2, urls.CELLS), np.int64)
-    buf, at, _ = urls._bytes(["http://a.org/x", "http://b.org/yy"])
+    [(buf, at, _)] = urls._bytes(["http://a.org/x", "http://b.org/yy"])
     for cell in urls._cells(buf, at):
         np.add.at(counts[1], cell, 1)
     model = urls.UrlModel(counts)
@@ -125,6 +125,17 @@ def test_url_smoothing_is_a_distribution():
     assert p.sum(axis=1) == pytest.approx([1, 1])
 
 
+def test_urls_are_scored_alike_in_pieces(monkeypatch):
+    """Memory does not follow the length of URLs: pieces end anywhere, within a URL too."""
+    rng = np.random.default_rng(8)
+    model = urls.UrlModel(rng.integers(0, 3, (2, urls.CELLS)))
+    some = ["http://a.org/x", None, "", "é", "http://B.net/" + "long/" * 300, "x"]
+    whole = model.score(some)
+    monkeypatch.setattr(urls, "PLACES", 7)
+    assert model.score(some) == pytest.approx(whole, abs=1e-8)
+    assert model.score([]).tolist() == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
 def test_permutation(n):
     index, seed = np.arange(n), np.uint64(11)
