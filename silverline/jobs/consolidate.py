@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import Observation
+
 from silverline import plans, session
 from silverline.jobs.options import add_feed_options, add_table_options, feed_from, table_from
 
@@ -25,9 +27,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = session.build(f"consolidate-{args.database}.{args.table}")
     try:
         if args.count_input:
-            rows = feed.read(spark)
-            rows.printSchema()
-            print("rows read:", rows.count())
+            feed.read(spark).printSchema()
+        rows_read = Observation() if args.count_input else None
         plans.consolidate(
             spark,
             feed,
@@ -41,7 +42,10 @@ def main(argv: Sequence[str] | None = None) -> None:
             recreate=args.recreate_silver,
             guard=args.guard or (),
             fill_missing=args.fill_missing,
+            rows_read=rows_read,
         )
+        if rows_read:
+            print("rows read:", plans.rows_of(rows_read))
     finally:
         spark.stop()
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import Observation
+
 from silverline import plans, session
 from silverline.jobs.options import add_feed_options, add_table_options, feed_from, table_from
 
@@ -20,7 +22,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     feed = feed_from(args)
     spark = session.build(f"reconcile-{args.database}.{args.table}")
     try:
-        table = table_from(spark, args)
+        table, rows_read = table_from(spark, args), Observation()
         checks = plans.reconcile(
             spark,
             feed,
@@ -32,7 +34,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             columns=args.compare_columns,
             null_safe=args.null_safe,
             silver_unique=table.holds_keys_once,
+            rows_read=rows_read,
         )
+        print("rows read:", plans.rows_of(rows_read))
         # a handful of rows: evaluate the checks once, then show and judge them
         checks = spark.createDataFrame(checks.collect(), checks.schema)
         checks.show(checks.count(), truncate=False)

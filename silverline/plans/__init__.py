@@ -2,7 +2,7 @@
 
 from silverline.plans.consolidate import consolidate
 from silverline.plans.evolve import add_column, drop_column
-from silverline.plans.feeds import Feed, write_entities
+from silverline.plans.feeds import Feed, rows_of, write_entities
 from silverline.plans.inspect_table import TableInspection, inspect_table
 from silverline.plans.reconcile import ReconciliationError, reconcile, require_agreement
 
@@ -16,5 +16,6 @@ __all__ = [
     "inspect_table",
     "reconcile",
     "require_agreement",
+    "rows_of",
     "write_entities",
 ]

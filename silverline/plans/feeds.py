@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverline.operators.feed import change_feed, daily_versions
@@ -46,6 +47,15 @@ class Feed:
         )
 
 
+def counted(rows: DataFrame, rows_read: Observation | None) -> DataFrame:
+    """`rows`, whose number `rows_read` receives from the run that reads them: no pass of its own."""
+    return rows if rows_read is None else rows.observe(rows_read, F.count(F.lit(1)).alias("rows"))
+
+
+def rows_of(rows_read: Observation) -> int:
+    return rows_read.get.get("rows", 0)
+
+
 def write_entities(
     entities: Mapping[str, tuple[DataFrame, str]],
     output_root: str,

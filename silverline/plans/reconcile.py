@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from silverline.functions.columns import col
 from silverline.operators.dedup import latest_per_key
 from silverline.operators.reconcile import CHECK_COUNTS, CHECK_KEYS, CHECK_SCHEMA, CHECK_VALUES, report
-from silverline.plans.feeds import Feed
+from silverline.plans.feeds import Feed, counted
 from silverline.session import materialise
 
 ORDER = (CHECK_COUNTS, CHECK_KEYS, CHECK_SCHEMA, CHECK_VALUES)
@@ -31,6 +31,7 @@ def reconcile(
     columns: str | Sequence[str] | None = None,
     null_safe: bool = False,
     silver_unique: bool = False,
+    rows_read: Observation | None = None,
 ) -> DataFrame:
     """The report of all checks, one row per check.
 
@@ -38,9 +39,9 @@ def reconcile(
     when the range covers every key. Without `columns`, all columns found on both
     sides are compared except keys and the feed's partition column, and columns of one side only fail. Say
     `silver_unique` for a table that cannot hold a key twice; the checks then take a
-    single join.
+    single join. `rows_read` receives the feed's rows before they are reduced, as `rows`.
     """
-    bronze = latest_per_key(feed.read(spark), keys, order_col, tiebreak=tiebreak, strategy=strategy)
+    bronze = latest_per_key(counted(feed.read(spark), rows_read), keys, order_col, tiebreak=tiebreak, strategy=strategy)
     bronze = materialise(bronze, "bronze-latest")
     return report(
         bronze,

@@ -6,6 +6,10 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
+
+from silverline import plans
+from silverline.tables import SnapshotTable
 
 ROOT = Path(__file__).resolve().parents[1]
 
@@ -37,6 +41,7 @@ def test_feed_consolidate_reconcile_evolve_inspect(tmp_path):
 
     good = run(tmp_path, "reconcile", *table, *feed, "--partition-range", "2026-01-01,2026-01-03")
     assert good.returncode == 0, good.stderr
+    assert "rows read: 450" in good.stdout
     stale = run(tmp_path, "reconcile", *table, *feed, "--partition-values", "2026-01-04")
     assert stale.returncode != 0 and "column_values" in stale.stderr
 
@@ -54,3 +59,15 @@ def test_one_choice_of_partitions_is_required(extra):
 
     with pytest.raises(SystemExit):
         main(["--database", "d", "--table", "t", "--bronze-uri", "x", "--partition-col", "p", "--pk", "k", *extra])
+
+
+@pytest.mark.parametrize("day, expected", [("2026-01-01", 3), ("2026-01-09", 0)])
+def test_rows_read_are_counted_on_the_way(spark, tmp_path, day, expected):
+    data = [(1, 1, "2026-01-01"), (1, 2, "2026-01-01"), (2, 1, "2026-01-01"), (3, 1, "2026-01-02")]
+    rows = spark.createDataFrame(data, "k int, o int, dt string")
+    rows.write.partitionBy("dt").parquet(f"{tmp_path}/feed")
+    feed = plans.Feed(f"{tmp_path}/feed", "dt", [day])
+    silver, merged, checked = SnapshotTable(spark, f"{tmp_path}/silver"), Observation(), Observation()
+    plans.consolidate(spark, feed, silver, "k", "o", rows_read=merged)
+    plans.reconcile(spark, feed, silver.current(), "k", "o", rows_read=checked)
+    assert (plans.rows_of(merged), plans.rows_of(checked)) == (expected, expected)
