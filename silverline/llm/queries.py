@@ -41,11 +41,11 @@ def op1_secret_scan(spark, sf_dir):
     known = secrets.dictionary(docs)
     assigned = F.concat_ws(" ", "before2", "before").rlike("(?i)token =$")
     label = F.when(F.col("candidate").rlike("^[0-9a-f]{40}$") & assigned, 1).when(
-        F.col("candidate").rlike("^[A-Za-z]+$") | F.col("token").contains("@"), 0
+        F.col("candidate").rlike("^[A-Za-z]+$") | F.col("mail"), 0
     )
     model = secrets.fit(found.withColumn("label", label), known)
     scored = secrets.scan(found, known, model).where("secret")
-    return scored.select(F.col("id").alias("doc_id"), F.col("word").cast("long").alias("word"), "candidate", "score")
+    return scored.select(F.col("id").alias("doc_id"), F.col("word").cast("long").alias("word"), F.col("place").cast("long").alias("place"), "candidate", "score")
 
 
 def op2_sharding(spark, sf_dir):

@@ -15,6 +15,8 @@ from silverline.llm.common import materialise, words
 
 #: A candidate: a long run of characters that keys, tokens and hashes are made of.
 CANDIDATE, SHORTEST = r"[A-Za-z0-9_+/-]{16,}={0,2}", 16
+#: What may stand between an @ and another part of its mail address.
+IN_MAIL = r"[^\s@\"',;:=&?<>(){}\[\]]"
 #: Neighbours that speak for a secret, and neighbours or paths that speak against one.
 FOR = r"(?i)(key|token|secret|passw|pwd|auth|credential|private|bearer)"
 AGAINST = r"(?i)(sha\d*|md5|hash|digest|commit|checksum|uuid|revision|version|example|sample|test|mock|fixture)"
@@ -56,11 +58,14 @@ def dictionary(docs: DataFrame, *, text_col: str = "text", size: int = DICTIONAR
 def candidates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source"
 ) -> DataFrame:
-    """Every long token with its surroundings: `id`, `word` (its place among the words of the text, from 0), `candidate`, `token` (the
-    whole word), `before2`, `before`, `after` (neighbouring words), `path`.
-
-    A word with several candidates yields its first one. Null and empty texts have none; missing neighbours
-    and paths are empty strings; null ids stay null; repeated rows repeat their findings.
+    """Every long token with its surroundings: `id`, `word` (its place among the words of the text, from 0), `place` (its place among the
+    candidates of that word, from 0), `candidate`, `token` (the part of the word around it), `head` (the part of `token` before it), `mail`
+    (whether an @ joins it to the text beside it), `before2`, `before`, `after` (neighbouring words), `path`.
+
+    A word yields all its candidates. What is around one reaches from the start of the candidate before it to the end of the text before
+    the one after it; the first of a word has the words before as neighbours and the last the word after, the others
+    have empty ones. So rows grow with the text, also where one word holds very many candidates. Null and empty texts have none; missing
+    neighbours and paths are empty strings; null ids stay null; repeated rows repeat their findings.
     """
     w = F.col("w")
     near = lambda i: F.coalesce(F.get(w, i), F.lit(""))
@@ -77,8 +82,29 @@ def candidates(
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(path.cast("string"), F.lit("")).alias("path"), words(F.col(text_col)).alias("w")
     )
-    rows = rows.select("id", "path", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f"))
-    return rows.select("id", "f.*", "path", F.regexp_extract("f.token", CANDIDATE, 0).alias("candidate"))
+    rows = rows.select("id", "path", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f")).select("id", "path", "f.*")
+    # The text between candidates: one piece before each, and one after the last.
+    rows = rows.withColumns(
+        {"found": F.regexp_extract_all("token", F.lit(CANDIDATE), F.lit(0)), "gaps": F.split("token", CANDIDATE)}
+    )
+    first, last = lambda i: i == 0, lambda i: i == F.size("found") - 1
+    around = F.transform(
+        "found",
+        lambda c, i: F.struct(
+            c.alias("candidate"),
+            F.concat(F.when(first(i), "").otherwise(F.get("found", i - 1)), F.get("gaps", i)).alias("head"),
+            F.get("gaps", i + 1).alias("tail"),
+            (F.get("gaps", i).rlike(f"@{IN_MAIL}*$") | F.get("gaps", i + 1).rlike(f"^{IN_MAIL}*@")).alias("mail"),
+            F.when(first(i), F.col("before2")).otherwise("").alias("before2"),
+            F.when(first(i), F.col("before")).otherwise("").alias("before"),
+            F.when(last(i), F.col("after")).otherwise("").alias("after"),
+        ),
+    )
+    rows = rows.select("id", "word", F.posexplode(around).alias("place", "c"), "path").select("id", "word", "place", "c.*", "path")
+    return rows.select(
+        "id", "word", "place", F.concat("head", "candidate", "tail").alias("token"), "head", "mail",
+        "before2", "before", "after", "path", "candidate",
+    )
 
 
 def features(found: DataFrame, known: Dictionary) -> DataFrame:
@@ -104,7 +130,7 @@ def features(found: DataFrame, known: Dictionary) -> DataFrame:
         f"aggregate(filter(split(lower(candidate), '[^a-z]+'), x -> x in ({listed})), 0, (s, x) -> s + length(x))"
     )
     flag = lambda test: test.cast("double")
-    head = F.call_function("substring_index", F.col("token"), c, F.lit(1))
+    head = F.col("head")
     before = F.concat_ws(" ", F.col("before2"), F.col("before"), head)
     return found.withColumns(
         {
@@ -123,7 +149,7 @@ def features(found: DataFrame, known: Dictionary) -> DataFrame:
             "after_against": flag(F.col("after").rlike(AGAINST)),
             "assigned": flag(F.concat("before", head).rlike("[=:]")),
             "quoted": flag(head.rlike("[\"']$")),
-            "at_sign": flag(F.col("token").contains("@")),
+            "at_sign": flag(F.col("mail")),
         }
     )
 
@@ -142,13 +168,13 @@ def fit(
     model, and a scan keeps every candidate.
     """
     columns = ["token", "before2", "before", "after", "path", "candidate"]
-    rows = findings.where("label in (0, 1)").groupBy(*columns).agg(F.max(F.col("label").cast("double")).alias("label"))
+    rows = findings.where("label in (0, 1)").groupBy(*columns, "head", "mail").agg(F.max(F.col("label").cast("double")).alias("label"))
     rows = rows.withColumn("h", F.xxhash64(*columns))
-    some = [rows.where(F.col("label") == k).orderBy("h", "candidate").limit(labelled) for k in (0.0, 1.0)]
+    some = [rows.where(F.col("label") == k).orderBy("h", "candidate", "head").limit(labelled) for k in (0.0, 1.0)]
     bounded = materialise(some[0].union(some[1]), "findings")
     if bounded.select("label").distinct().count() < 2:
         return None
-    train = _assembled(features(bounded, known)).select("features", "label", "h").repartition(1).sortWithinPartitions("h", "label")
+    train = _assembled(features(bounded, known)).select("features", "label", "h", "head").repartition(1).sortWithinPartitions("h", "label", "head")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="onethird")
     return forest.fit(train)
 

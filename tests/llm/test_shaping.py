@@ -321,3 +321,29 @@ def test_secrets_on_held_out_findings(spark):
     assert secrets.scan(found, known, secrets.fit(labelled.where("label = 1"), known)).where("secret").count() == 600
     nothing = docs.where("false")
     assert secrets.scan(secrets.candidates(nothing), secrets.dictionary(nothing), model).count() == 0
+
+
+def test_all_secrets_of_a_word(spark):
+    """A word yields every candidate, and what is carried around them grows with the word, not with its square."""
+    a, b, c = "0f" * 20, "1e" * 20, "2d" * 20
+    url = f"https://cdn.example.com/assets/main-bundle-v2?api_key={a}"
+    json_text = f'{{"mail":"x@y.zz","token":"{a}","sha":"{b}","again":"{a}"}}'
+    mail = "first-and-second-name@subdomain-of-example.com"
+    many = ";".join(f"k{i}={i:040x}" for i in range(3000))
+    docs = [(0, f"see {url} here", "s"), (1, json_text, "s"), (2, f"token = {a};{b}=={c} commit", "s"), (3, mail, "s"), (4, many + " " + many, "s")]
+    found = secrets.candidates(spark.createDataFrame(docs, "doc_id int, text string, source string"))
+    rows = {(r.id, r.word, r.place): r for r in found.where("id < 4").collect()}
+    assert {k: r.candidate for k, r in rows.items()} == {
+        (0, 1, 0): "com/assets/main-bundle-v2", (0, 1, 1): a, (1, 0, 0): a, (1, 0, 1): b, (1, 0, 2): a,
+        (2, 2, 0): a, (2, 2, 1): b + "==", (2, 2, 2): c, (3, 0, 0): "first-and-second-name", (3, 0, 1): "subdomain-of-example",
+    }
+    assert rows[0, 1, 0].token == url.removesuffix(a) and rows[0, 1, 1].head == "com/assets/main-bundle-v2?api_key="
+    assert rows[1, 0, 1].head == a + '","sha":"' and [k for k, r in rows.items() if r.mail] == [(3, 0, 0), (3, 0, 1)]
+    assert [(rows[2, 2, i].before2, rows[2, 2, i].before, rows[2, 2, i].after) for i in range(3)] == [("token", "=", ""), ("", "", ""), ("", "", "commit")]
+    sized = found.where("id = 4").select("word", F.length(F.concat("token", "head", "before2", "before", "after")).alias("n"))
+    sized = sized.groupBy("word").agg(F.count("*"), F.sum("n")).collect()
+    assert sorted(r[:2] for r in sized) == [(0, 3000), (1, 3000)] and all(r[2] < 6 * len(many) for r in sized)
+    judged = secrets.features(found.where("id < 3"), secrets.Dictionary((), (0.0,) * secrets.SYMBOLS**2))
+    judged = {(r.id, r.place): r for r in judged.collect()}
+    assert judged[0, 1].before_for == judged[0, 1].assigned == judged[1, 0].quoted == judged[1, 1].before_against == 1
+    assert judged[0, 0].before_for == judged[1, 1].before_for == judged[1, 0].at_sign == 0
