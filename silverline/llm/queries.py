@@ -84,30 +84,54 @@ def op4_simhash(spark, sf_dir):
     )
 
 
-def op5_tool_calls(spark, sf_dir):
+def _tool_calls(spark, sf_dir):
     """Calls derived from conversations: a system turn configures, a user turn asks for a reply and needs the reply to the
-    user turn two turns before; the assistant turn that follows holds the result."""
+    user turn two turns before; the assistant turn that follows holds the result.
+
+    Turns whose conversation or number is missing have no id: each stays a row of its own, and nothing is linked to it.
+    """
     turns = table(spark, sf_dir, "conversations")
     number = lambda shift: F.concat(F.lit("call_"), F.col("turn") + shift)
+    known = lambda c: F.when(F.col("conv_id").isNotNull(), c)
     user = F.col("role") == "user"
     calls = turns.where(user | (F.col("role") == "system")).select(
         "conv_id",
         "turn",
-        number(0).alias("call_id"),
+        known(number(0)).alias("call_id"),
         F.when(user, "reply").otherwise("configure").alias("name"),
         F.to_json(F.struct("turn", "text")).alias("arguments"),
         F.when(user & (F.col("turn") >= 2), number(-2)).alias("after"),
     )
     results = turns.where(F.col("role") == "assistant").select(
-        "conv_id", "turn", number(-1).alias("call_id"), F.col("text").alias("content")
+        "conv_id", "turn", known(number(-1)).alias("call_id"), F.col("text").alias("content")
     )
-    linked, _ = toolcalls.link_tool_calls(calls, results, TOOLS)
-    return linked.select(
+    linked, unlinked = toolcalls.link_tool_calls(calls, results, TOOLS)
+    # The id that the turn gives, also where the conversation is missing; quotes within texts are escaped, so only the line's own id is met.
+    name = F.concat(F.lit('"id":"'), number(0), F.lit('","name":'))
+    line = F.when(number(0).isNull(), F.col("line")).otherwise(F.replace("line", F.lit('"id":null,"name":'), name))
+    return linked.withColumns({"line": line, "call_id": number(0)}), unlinked.withColumn("call_id", number(-1))
+
+
+def op5_tool_calls(spark, sf_dir):
+    """All calls in order, linked with their results."""
+    return _tool_calls(spark, sf_dir)[0].select(
         "conv_id", "call_id", "turn", "name", "after", "depth", "position", "n_results",
         F.array_join("errors", "; ").alias("errors"), "valid", "line",
     )
 
 
+def op5_tool_call_rows(spark, sf_dir):
+    """What becomes of the rows behind `op5_tool_calls`: each call with the rows it stands for, and each result without a call."""
+    linked, unlinked = _tool_calls(spark, sf_dir)
+    no_number, no_text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    calls = linked.select(F.lit("call").alias("kind"), "conv_id", "call_id", "turn", "n_calls", "n_results", no_text.alias("content"))
+    return calls.union(
+        unlinked.select(
+            F.lit("unlinked result"), "conv_id", "call_id", "turn", no_number.alias("n_calls"), no_number.alias("n_results"), "content"
+        )
+    )
+
+
 def op6_line_dedup(spark, sf_dir):
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     return kept.select("whole.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -146,6 +170,7 @@ QUERIES = {
         op3_decontamination,
         op4_simhash,
         op5_tool_calls,
+        op5_tool_call_rows,
         op6_line_dedup,
         op7_substring_dedup,
         op8_quality_rules,

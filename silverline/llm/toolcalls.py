@@ -92,8 +92,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Ma
     one), `position` (from 0 in its conversation: after what it needs, then by turn and id), `n_results`, `errors`, `valid`,
     `line` (canonical JSON with after, arguments, id, name, position, result). And the results without a call.
 
-    A null conversation is a conversation. A call without an id, and a row that repeats the id of a call, is not a call of its
-    own: of equal ids the earliest stands, by turn, name and arguments, and `n_calls` counts the rows; calls without an id are one per conversation.
+    A null conversation is a conversation. A row that repeats the id of a call is not a call of its own: of equal ids the
+    earliest stands, by turn, name and arguments, and `n_calls` counts the rows. Every row without an id is a call of its own: no call
+    can come after it and no result belongs to it; its `call_id` is empty and its line has a null id. A result without an id has no call.
     Of several results the earliest is taken. An `after` that names no call, or the call itself, is dropped and reported as an error; calls
     on a cycle or behind one have a null depth, come last and are reported. Arguments that are null or not a JSON object are
     reported and serialised as null. Empty tables give empty tables.
@@ -102,22 +103,30 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Ma
     range-partitioned sums.
     """
     call = F.struct("turn", "name", "arguments", "after")
-    first = calls.groupBy("conv_id", F.coalesce("call_id", F.lit("")).alias("call_id")).agg(
-        F.min(call).alias("c"), F.count("*").alias("n_calls")
-    )
-    first = materialise(first.select("conv_id", "call_id", "c.*", "n_calls"), "calls")
-    known = first.select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"))
-    needs = F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("after") == F.col("k_call")) & (F.col("after") != F.col("call_id"))
+    named = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(call).alias("c"), F.count("*").alias("n_calls"))
+    named = named.select("conv_id", "call_id", "c.*", "n_calls", F.lit(0).cast("long").alias("tie"), F.lit(0).cast("long").alias("row"))
+    # The row number only tells rows apart that are equal in everything else.
+    unnamed = calls.where("call_id is null").select(
+        "conv_id", "call_id", "turn", "name", "arguments", "after", F.lit(1).cast("long").alias("n_calls"),
+        F.xxhash64("name", "arguments", "after").alias("tie"), F.monotonically_increasing_id().alias("row"),
+    )
+    first = materialise(named.union(unnamed), "calls")
+    known = first.where("call_id is not null").select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"))
+    needs = F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("after") == F.col("k_call")) & ~F.col("after").eqNullSafe(F.col("call_id"))
     linked = first.join(known, needs, "left")
     linked = linked.withColumn("lost", F.col("after").isNotNull() & F.col("k_call").isNull())
     linked = materialise(linked.withColumn("after", F.col("k_call")).drop("k_conv", "k_call"), "linked")
-    depths = _depths(linked).select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"), "depth")
-    answer = results.groupBy("conv_id", F.coalesce("call_id", F.lit("")).alias("call_id")).agg(
+    depths = _depths(linked.where("call_id is not null"))
+    depths = depths.select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"), F.col("depth").alias("k_depth"))
+    # A call without an id is one further than the call that it needs.
+    deep = F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.coalesce("call_id", "after") == F.col("k_call"))
+    depth = F.when(F.col("call_id").isNotNull(), F.col("k_depth")).when(F.col("after").isNotNull(), F.col("k_depth") + 1).otherwise(F.lit(0))
+    answer = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results")
     )
     answer = answer.select(F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call"), F.col("r.content").alias("result"), "n_results")
     same = lambda c, k: F.col("conv_id").eqNullSafe(F.col(c)) & (F.col("call_id") == F.col(k))
-    linked = linked.join(depths, same("k_conv", "k_call")).join(answer, same("r_conv", "r_call"), "left")
+    linked = linked.join(depths, deep, "left").withColumn("depth", depth).join(answer, same("r_conv", "r_call"), "left")
     checks = F.array(F.lit("unknown tool"))
     for name, schema in tools.items():
         checks = F.when(F.col("name") == name, _errors(F.col("arguments"), schema)).otherwise(checks)
@@ -137,11 +146,13 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Ma
         ).alias("errors"),
         F.when(F.schema_of_variant(F.try_parse_json("arguments")).rlike(TYPES["object"]), canonical_json(F.col("arguments"))).alias("args"),
         "result",
+        "tie",
+        "row",
         F.lit(1).alias("one"),
         F.col("depth").isNull().alias("last"),
     )
     placed = running_total(
-        materialise(linked, "checked"), ["conv_id"], ["last", "depth", "turn", "call_id"], "one", "position"
+        materialise(linked, "checked"), ["conv_id"], ["last", "depth", "turn", "call_id", "tie", "row"], "one", "position"
     )
     quoted = lambda c: F.when(F.col(c).isNull(), "null").otherwise(_quoted(F.col(c)))
     line = F.concat(
@@ -154,12 +165,10 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Ma
         F.lit("}"),
     )
     placed = placed.select(
-        "conv_id", "call_id", "turn", "name", "after", "depth", "position", "n_calls", "n_results", "errors",
+        "conv_id", F.coalesce("call_id", F.lit("")).alias("call_id"), "turn", "name", "after", "depth", "position", "n_calls", "n_results", "errors",
         (F.size("errors") == 0).alias("valid"), line.alias("line"),
     )
-    calls_known = first.select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"))
-    orphans = results.withColumn("call_id", F.coalesce("call_id", F.lit(""))).join(calls_known, same("k_conv", "k_call"), "left_anti")
-    return placed, orphans
+    return placed, results.join(known, same("k_conv", "k_call"), "left_anti")
 
 
 def _quoted(text: Column) -> Column:

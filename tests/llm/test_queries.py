@@ -107,3 +107,21 @@ def test_pipeline(spark, docs, tmp_path):
             )
         kept = after
     assert driver.queries()["pipeline"](spark, SF_DIR).count() == kept.count()
+
+
+def test_turns_without_conversation_or_number(spark, tmp_path):
+    """A third of the turns lose their number or conversation: all calls stay, and no result goes to another chat's call."""
+    odd = read(spark, SF_DIR, "conversations").withColumn("h", F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)))
+    odd = odd.withColumns({"conv_id": F.expr("if(h = 0, null, conv_id)"), "turn": F.expr("if(h = 1, null, turn)")}).drop("h")
+    odd.write.parquet(f"{tmp_path}/conversations.parquet")
+    turns = read(spark, str(tmp_path), "conversations")
+    n = turns.where("role in ('user', 'system')").count()
+    out = queries.op5_tool_calls(spark, str(tmp_path)).collect()
+    assert len(out) == n and all((r.call_id is None) == (r.turn is None) for r in out)
+    assert not any(r.n_results or r.after for r in out if r.conv_id is None or r.turn is None)
+    assert all(f'"id":"{r.call_id}","name"' in r.line for r in out if r.turn is not None)
+    linked = [tuple(r) for r in queries.op5_tool_call_rows(spark, str(tmp_path)).collect()]
+    calls, results = ([r for r in linked if r[0] == kind] for kind in ("call", "unlinked result"))
+    assert sum(r[4] for r in calls) == n
+    assert sum(r[5] for r in calls) + len(results) == turns.where("role = 'assistant'").count()
+    assert [r for r in results if r[1] is None or r[3] is None]

@@ -277,6 +277,36 @@ def test_tool_calls(spark):
     assert nothing.count() == 0 and none_left.count() == 5
 
 
+def test_tool_calls_without_ids(spark):
+    """Every call without an id stays, and nothing is linked to it."""
+    calls = [
+        (1, 0, "a", "any", "{}", None),
+        (1, 1, None, "any", '{"x": 1}', "a"),
+        (1, 2, None, "any", '{"x": 2}', None),
+        (1, 2, None, "any", '{"x": 3}', "gone"),
+        (1, 2, None, "any", '{"x": 3}', "gone"),
+        (1, 3, "", "any", "{}", None),
+        (1, 4, "l", "any", "{}", "l2"),
+        (1, 5, "l2", "any", "{}", "l"),
+        (1, 6, None, "any", "{}", "l"),
+        (None, None, None, "any", "{}", "a"),
+        (None, None, None, "any", "{}", None),
+    ]
+    results = [(1, 3, None, "lost"), (1, 4, "a", "found"), (1, 5, "", "empty"), (None, None, None, "lost too")]
+    calls = spark.createDataFrame(calls, "conv_id int, turn int, call_id string, name string, arguments string, after string")
+    results = spark.createDataFrame(results, "conv_id int, turn int, call_id string, content string")
+    linked, orphans = toolcalls.link_tool_calls(calls, results, TOOLS)
+    rows = [{**json.loads(r.line), **r.asDict()} for r in linked.collect()]
+    assert len(rows) == 11 and all(r["n_calls"] == 1 for r in rows)
+    assert sorted(r["position"] for r in rows if r["conv_id"]) == list(range(9))
+    assert {(r["id"], r["turn"]): (r["result"], r["n_results"]) for r in rows if r["n_results"]} == {("a", 0): ("found", 1), ("", 3): ("empty", 1)}
+    found = sorted((r["turn"], r["arguments"].get("x"), r["depth"], r["after"], *r["errors"]) for r in rows if r["conv_id"] and r["id"] is None)
+    lost = (2, 3, 0, None, "unknown after")
+    assert found == [(1, 1, 1, "a"), (2, 2, 0, None), lost, lost, (6, None, None, "l", "cycle")]
+    assert sorted(r["errors"] for r in rows if r["conv_id"] is None) == [[], ["unknown after"]]
+    assert sorted(r.content for r in orphans.collect()) == ["lost", "lost too"]
+
+
 def test_tool_call_chains(spark):
     rows = [(0, i, f"c{i}", "any", "{}", f"c{i - 1}" if i else None) for i in range(150)]
     random.Random(1).shuffle(rows)
