@@ -36,12 +36,16 @@ def size_of(text) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
 
-def _coordinate(docs: DataFrame, name: str) -> Column:
-    """A metadata column as a number; of strings one that keeps the order of their first six bytes."""
-    if not isinstance(docs.schema[name].dataType, StringType):
-        return F.col(name).cast("double")
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _is_text(docs: DataFrame, name: str) -> bool:
+    return isinstance(docs.schema[name].dataType, StringType)
+
+
+def _ranked(groups: DataFrame, name: str) -> DataFrame:
+    """Turn a string column into the dense rank of its values from 0, however many there are; null stays null."""
+    values = materialise(groups.where(F.col(name).isNotNull()).select(F.col(name).alias("value")).distinct(), "values")
+    ranks = running_total(values.withColumn("one", F.lit(1)), [], ["value"], "one", "rank").select("value", "rank")
+    ranked = groups.join(ranks, F.col(name) == F.col("value"), "left")
+    return ranked.withColumn(name, F.col("rank").cast("double")).drop("value", "rank")
 
 
 def kd_tree_shards(
@@ -60,7 +64,7 @@ def kd_tree_shards(
 
     Documents with equal texts form a group and share a shard, null texts too. A group's coordinates are the
     logarithm of its text's size and the smallest value of each column of `dims` and of the id, scaled to 16
-    bits. Every node is cut along its widest coordinate where the bytes come nearest to the share of
+    bits; strings count as the dense rank of their values. Every node is cut along its widest coordinate where the bytes come nearest to the share of
     its left leaves; ties in a coordinate are cut by text hash, so no tie can unbalance a cut. The
     leaves are then shared by what each side really weighs. `leaves` gives their number,
     otherwise they follow from `target_bytes`. A group heavier than an even share gets a
@@ -80,7 +84,7 @@ def kd_tree_shards(
             F.crc32(F.encode(F.col(text_col), "utf-8")).alias("crc"),
             F.xxhash64(F.col(text_col), F.col(text_col).isNull()).alias("h"),
             F.xxhash64(F.lit(7), F.col(text_col)).alias("g"),
-            *(_coordinate(docs, d).alias(f"m{i}") for i, d in enumerate(dims)),
+            *((F.col(d) if _is_text(docs, d) else F.col(d).cast("double")).alias(f"m{i}") for i, d in enumerate(dims)),
         ),
         "sizes",
     )
@@ -92,6 +96,11 @@ def kd_tree_shards(
         *(F.min(m).alias(f"x{i + 2}") for i, m in enumerate(metas)),
     )
     xs = [f"x{i}" for i in range(len(dims) + 2)]
+    texts = [x for x, d in zip(xs[2:], dims) if _is_text(docs, d)]
+    if texts:
+        groups = materialise(groups, "grouped")
+    for x in texts:
+        groups = _ranked(groups, x)
     groups = materialise(groups.select("h", "g", "weight", *(F.coalesce(x, F.lit(-1.0)).alias(x) for x in xs)), "groups")
     total = groups.agg(
         F.count("*"), F.sum("weight"), *(F.min(x) for x in xs), *(F.max(x) for x in xs)

@@ -212,6 +212,15 @@ def test_shards_of_a_hot_group_and_of_ties(spark):
     assert len(rest) == 7 and max(rest) - min(rest) < 20 * 128
 
 
+def test_shards_are_compact_in_long_values(spark):
+    """Values that begin alike are told apart, as the tree cuts by id first and then by source."""
+    rows = [(i, f"{i:04}" * 30, f"commoncrawl-202{3 + i % 2}", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    placed = sharding.kd_tree_shards(docs, leaves=4).join(docs, "doc_id").groupBy("shard")
+    found = placed.agg(F.count("*"), F.count_distinct("source")).collect()
+    assert sorted(tuple(r) for r in found) == [(i, 100, 1) for i in range(4)]
+
+
 def test_shards_by_target_and_of_no_documents(spark, odd_docs, no_docs):
     total = odd_docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8)).first()[0]
     assert sharding.kd_tree_shards(odd_docs, target_bytes=total).select("shard").distinct().count() == 1
