@@ -24,14 +24,21 @@ def _days(path, first, last):
     return Feed(path, "dt_ref", resolve_partitions(between=(first, last)))
 
 
+def _reach(rows, column, first, last):
+    """From the least to the greatest value of a column, and at least from `first` to `last`."""
+    low, high = rows.agg(F.min(column).cast("string"), F.max(column).cast("string")).first()
+    return min(low or first, first), max(high or last, last)
+
+
 FIRST_HALF = events_latest_sql(last="2024-01-15")
 
 
 @query(f"select * from {merged_sql(FIRST_HALF, events_latest_sql(first='2024-01-10'))}")
 def consolidate_ranges(spark, sf_dir):
-    """Two overlapping ranges of days, one after the other."""
+    """Two overlapping ranges of days, one after the other, which reach from the first day to the last."""
     path, silver = _events_feed(spark, sf_dir), new_table(spark, "silver")
-    for first, last in (("2024-01-01", "2024-01-15"), ("2024-01-10", "2024-01-30")):
+    begin, end = _reach(events(spark, sf_dir), "dt_ref", "2024-01-10", "2024-01-15")
+    for first, last in ((begin, "2024-01-15"), ("2024-01-10", end)):
         plans.consolidate(spark, _days(path, first, last), silver, "user_id", "ts", tiebreak="event_id")
     return silver.current()
 
@@ -48,11 +55,12 @@ def consolidate_replay(spark, sf_dir):
 
 @query(LINES_LATEST.replace("select *", "select *, strftime(l_shipdate, '%Y-%m') as month"))
 def consolidate_composite_key(spark, sf_dir):
-    """Line items fed by month of shipping, in two runs, newest date guarded."""
+    """Line items fed by month of shipping, in two runs over all months, newest date guarded."""
     lines = table(spark, sf_dir, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
     path = write_partitioned(lines, scratch_path(spark, "feed"), ["month"])
     silver = new_table(spark, "silver")
-    for first, last in (("1998-07", "2001-12"), ("1995-01", "1998-06")):
+    begin, end = _reach(lines, "month", "1998-06", "1998-07")
+    for first, last in (("1998-07", end), (begin, "1998-06")):
         months = resolve_partitions(between=(first, last), fmt="%Y-%m")
         feed = Feed(path, "month", months, partition_format="%Y-%m", schema=lines.schema)
         plans.consolidate(

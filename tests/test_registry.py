@@ -2,7 +2,9 @@
 
 import os
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import registry
@@ -33,3 +35,20 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name, source, column, months", [("consolidate_ranges", "events", "ts", 2), ("consolidate_composite_key", "lineitem", "l_shipdate", 120)]
+)
+def test_ranges_follow_the_data(spark, tmp_path, name, source, column, months):
+    """Rows long before and after the usual days are consolidated as well."""
+    rows = spark.read.parquet(f"{SF_DIR}/{source}.parquet")
+    kind = rows.schema[column].dataType.simpleString()
+    shift = f"case pmod(xxhash64({column}), 3) when 0 then {months} when 1 then -{months} else 0 end"
+    moved = rows.withColumn(column, F.expr(f"cast({column} + make_interval(0, {shift}) as {kind})"))
+    moved.write.parquet(f"{tmp_path}/{source}.parquet")
+    duck = duckdb.connect()
+    duck.execute("set timezone='UTC'")
+    duck.execute(f"create view {source} as select * from '{tmp_path}/{source}.parquet/*.parquet'")
+    names, found = spark_rows(QUERIES[name](spark, str(tmp_path)))
+    assert (names, found) == sql_rows(duck, SQL[name])
