@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from silverline.llm import decontamination, lines, mixing, quality, secrets, sharding, simhash, substrings, toolcalls, urls
-from silverline.llm.common import LAST_ID, table
+from silverline.llm import alignment, decontamination, lines, mixing, quality, runs, secrets, sharding, simhash, substrings, toolcalls, toxicity, urls
+from silverline.llm.common import LAST_ID, table, words
 
 #: Rules of the URL query.
 URL_RULES = (
@@ -14,6 +14,10 @@ URL_RULES = (
     urls.Rule("example.com", "/de/", "block"),
     urls.Rule("org", "/fr/", "allow"),
 )
+#: Folder with the public vocabulary files.
+TOKENIZERS = "/opt/tokenizers"
+#: A text whose score reaches this is predicted to be toxic.
+TOXIC = 0.7
 #: Tools of the chat query: its calls are derived from the turns of conversations.
 TOOLS = {
     "reply": {
@@ -162,6 +166,64 @@ def op10_mixing(spark, sf_dir):
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_toxicity(spark, sf_dir):
+    """Labels are learned from ids whose checksum leaves 0 or 2 when divided by 3; a missing id is held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    known = labels.where(remainder != 1).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    scored = toxicity.score_toxicity(spark, docs, known).select("kept.doc_id", "score", "evidence")
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder == 1, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+def _with_planted_runs(docs):
+    """Every tenth id (by checksum) repeats its words from some place on."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(number / 10)
+
+    def planted(w):
+        n = F.size(w).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        again = F.transform(F.sequence(F.lit(0).cast("long"), n - a - 1), lambda i: F.get(w, (a + i % p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), again), " ")
+
+    repeated = F.transform(F.array(words(F.col("text"))), lambda w: F.when(F.size(w) > 0, planted(w)).otherwise(""))[0]
+    return docs.select("doc_id", F.when(number % 10 == 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs(spark, sf_dir):
+    found = runs.find_runs(_with_planted_runs(table(spark, sf_dir, "documents")), least=6, times=4)
+    nothing = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    longer = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate("runs", nothing, lambda best, r: F.when(longer(best, r), r).otherwise(best))
+    spelt = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    chosen = found.select("whole.doc_id", "runs", "kept", best.alias("best"))
+    return chosen.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(spelt, 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_alignment(spark, sf_dir, tokenizers=TOKENIZERS):
+    a = alignment.ByteLevel(f"{tokenizers}/byte_bpe_50k.json")
+    b = alignment.Pieces(f"{tokenizers}/piece_bpe_32k.model")
+    aligned = alignment.align_tokenizers(spark, table(spark, sf_dir, "documents"), a, b, groups="sha256")
+    counts = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return aligned.select(F.col("kept.doc_id").cast("long").alias("doc_id"), *counts, F.col("groups").alias("groups_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -176,6 +238,9 @@ QUERIES = {
         op8_quality_rules,
         op9_url_filter,
         op10_mixing,
+        op11_toxicity,
+        op12_runs,
+        op13_alignment,
     )
 }
 
