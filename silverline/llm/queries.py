@@ -217,8 +217,8 @@ def op12_runs(spark, sf_dir):
 
 
 def op13_alignment(spark, sf_dir, tokenizers=TOKENIZERS):
-    a = alignment.ByteLevel(f"{tokenizers}/byte_bpe_50k.json")
-    b = alignment.Pieces(f"{tokenizers}/piece_bpe_32k.model")
+    a = alignment.ByteLevel.read(f"{tokenizers}/byte_bpe_50k.json")
+    b = alignment.Pieces.read(f"{tokenizers}/piece_bpe_32k.model")
     aligned = alignment.align_tokenizers(spark, table(spark, sf_dir, "documents"), a, b, groups="sha256")
     counts = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
     return aligned.select(F.col("kept.doc_id").cast("long").alias("doc_id"), *counts, F.col("groups").alias("groups_sha256"))
