@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -22,8 +23,8 @@ EXAMPLES = 20_000
 TERMS, POSTINGS = 4096, 1_000_000
 #: A longer word is no term.
 TERM_CHARS = 64
-#: Words whose label differs from chance by less than this chi-square (continuity-corrected) are no terms.
-CHI_SQUARE = 12.0
+#: Terms are words whose label differs from chance by this chi-square (continuity-corrected), and whose odds of label 1 differ by this factor.
+CHI_SQUARE, ODDS = 24.0, 5.0
 #: Neighbours that vote, and the power of their similarity by which they do.
 NEIGHBOURS, POWER = 20, 4
 #: Examples of an index block.
@@ -69,7 +70,7 @@ class BlockMaxIndex:
         self.entry, self.weight = entry[by], weight[by]
         cell = term[by] * max(1, self.n_blocks) + self.entry // block
         self.start = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.stop = np.append(self.start[1:], len(cell))
+        self.sizes = np.diff(np.append(self.start, len(cell)))
         self.top = np.maximum.reduceat(self.weight, self.start) if len(cell) else none
         self.cell_block = cell[self.start] % max(1, self.n_blocks)
         self.first = np.searchsorted(cell[self.start] // max(1, self.n_blocks), np.arange(n_terms + 1))
@@ -81,23 +82,27 @@ class BlockMaxIndex:
         """
         length = self.first[terms + 1] - self.first[terms]
         cells = np.repeat(self.first[terms] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        blocks = self.cell_block[cells]
         factor = np.repeat(weights, length)
-        bound = np.bincount(self.cell_block[cells], self.top[cells] * factor, self.n_blocks)
+        bound = np.bincount(blocks, self.top[cells] * factor, self.n_blocks)
         queue = np.argsort(-bound, kind="stable")
-        best, score, at, step = np.zeros(0, np.int64), np.zeros(0), 0, max(1, k // self.block + 1)
+        place = np.empty(self.n_blocks, np.int64)
+        place[queue] = np.arange(self.n_blocks)
+        turn = place[blocks]  # when the block of a cell is opened
+        best, score, at, step = np.zeros(0, np.int64), np.zeros(0), 0, 2
         while at < len(queue) and (len(best) < k or bound[queue[at]] * (1 + 1e-9) >= score[-1]):
-            opened = np.zeros(self.n_blocks, bool)
-            opened[queue[at : at + step]] = True
-            at, step = at + step, 2 * step
-            chosen = opened[self.cell_block[cells]]
-            mine, times = cells[chosen], factor[chosen]
-            sizes = self.stop[mine] - self.start[mine]
-            places = np.repeat(self.start[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            entries, inverse = np.unique(self.entry[places], return_inverse=True)
-            products = np.bincount(inverse, self.weight[places] * np.repeat(times, sizes), len(entries))
-            best, score = np.concatenate((best, entries)), np.concatenate((score, products))
+            chosen = np.flatnonzero((turn >= at) & (turn < at + step))
+            mine, sizes = cells[chosen], self.sizes[cells[chosen]]
+            postings = np.repeat(self.start[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            # a small table of scores: the opened blocks side by side
+            slot = np.repeat((turn[chosen] - at) * self.block, sizes) + self.entry[postings] % self.block
+            products = np.bincount(slot, self.weight[postings] * np.repeat(factor[chosen], sizes))
+            found = np.flatnonzero(products)
+            entries = queue[at + found // self.block] * self.block + found % self.block
+            best, score = np.concatenate((best, entries)), np.concatenate((score, products[found]))
             kept = np.lexsort((best, -score))[:k]
             best, score = best[kept], score[kept]
+            at, step = at + step, 2 * step
         return self.order[best], score
 
 
@@ -117,6 +122,16 @@ class Model:
     scores: np.ndarray
     neighbours: int = NEIGHBOURS
 
+    def state(self) -> dict:
+        """Plain arrays, which executors can read without this package."""
+        return vars(self) | {"index": vars(self.index)}
+
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        index = object.__new__(BlockMaxIndex)
+        vars(index).update(state["index"])
+        return cls(**state | {"index": index})
+
     def vector(self, terms: Sequence[int], counts: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
         """Unit vector of logarithmic counts times inverse document frequency, the mark included."""
         terms = np.append(np.asarray(terms, np.int64), len(self.words))
@@ -165,7 +180,8 @@ def _vocabulary(examples: DataFrame) -> list[str]:
     apart = F.greatest(F.abs(F.col("n1") * (all0 - F.col("n0")) - F.col("n0") * (all1 - F.col("n1"))) - n / 2, F.lit(0.0))
     held = F.col("n0") + F.col("n1")
     chi = n * apart * apart / F.greatest(held * (n - held) * all0 * all1, F.lit(1.0))
-    telling = counted.select("word", chi.alias("chi")).where(F.col("chi") >= CHI_SQUARE)
+    odds = F.log((F.col("n1") + 0.5) * (all0 - F.col("n0") + 0.5) / ((F.col("n0") + 0.5) * (all1 - F.col("n1") + 0.5)))
+    telling = counted.where(F.abs(odds) >= math.log(ODDS)).select("word", chi.alias("chi")).where(F.col("chi") >= CHI_SQUARE)
     return [r.word for r in telling.orderBy(F.desc("chi"), "word").limit(TERMS).collect()]
 
 
@@ -228,10 +244,10 @@ def _fit(spark: SparkSession, vectors: DataFrame, words: list[str], sample: Data
         return model
 
     # every example is judged by the others
-    known = spark.sparkContext.broadcast(model)
+    known = spark.sparkContext.broadcast(model.state())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = known.value
+        model = Model.of(known.value)
         for batch in batches:
             out = []
             for r in batch.to_pylist():
@@ -243,7 +259,8 @@ def _fit(spark: SparkSession, vectors: DataFrame, words: list[str], sample: Data
             kind = pa.schema([("step", pa.int64()), ("n", pa.int64()), ("n_toxic", pa.int64())])
             yield pa.RecordBatch.from_pylist(out, kind)
 
-    judged = entries.select("terms", "counts", "n", "n_toxic", "entry").mapInArrow(judge, "step long, n long, n_toxic long")
+    dealt = entries.select("terms", "counts", "n", "n_toxic", "entry").repartition("entry")
+    judged = dealt.mapInArrow(judge, "step long, n long, n_toxic long")
     steps = judged.groupBy("step").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).orderBy("step").collect()
     columns = (np.array([r[c] for r in steps], float) for c in ("step", "n", "n_toxic"))
     step, held, toxic = columns
@@ -280,7 +297,7 @@ def score_toxicity(
     examples = materialise(given.join(F.broadcast(sample), "id").select("text", "label"), "examples")
     words = _vocabulary(examples)
     vectors = materialise(_vectors(given, words), "vectors")
-    model = spark.sparkContext.broadcast(_fit(spark, vectors, words, sample, neighbours))
+    model = spark.sparkContext.broadcast(_fit(spark, vectors, words, sample, neighbours).state())
     schema = T.StructType(
         [
             vectors.schema["kept"],
@@ -293,7 +310,7 @@ def score_toxicity(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, met = model.value, {}
+        known, met = Model.of(model.value), {}
 
         def judged(terms: list[int], counts: list[int]) -> tuple[float, list[dict]]:
             if not len(known.n):
