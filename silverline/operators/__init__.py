@@ -4,6 +4,7 @@ from silverline.operators.reconcile import (
     column_diffs,
     comparable_columns,
     counts,
+    digest_report,
     key_coverage,
     missing_keys,
     report,
@@ -18,6 +19,7 @@ __all__ = [
     "comparable_columns",
     "counts",
     "daily_versions",
+    "digest_report",
     "key_coverage",
     "latest_per_key",
     "missing_keys",

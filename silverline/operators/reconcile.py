@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from silverline.functions.cells import in_cells, key_cell
 from silverline.functions.columns import (
     all_of,
     col,
@@ -110,10 +111,42 @@ def column_diffs(
     chosen, _ = _chosen(bronze, silver, names, columns, exclude)
     if not chosen:
         raise ValueError("no columns to compare")
+    if null_safe:
+        return _diffs_by_window(bronze, silver, names, chosen)
     pairs = _paired(bronze, silver, names, chosen, "inner", null_safe)
     return pairs.agg(*[F.count_if(_differs(c, null_safe)).alias(c) for c in chosen])
 
 
+def _diffs_by_window(bronze: DataFrame, silver: DataFrame, keys: Sequence[str], chosen: Sequence[str]) -> DataFrame:
+    """Differences of matched rows, NULLs compared as values: the bronze row of a key is carried to each silver row of it.
+
+    Both sides meet in one relation dealt out by the plain keys, which a null-safe join would not do; a side that is dealt out
+    by key already keeps its exchange. Bronze holds a key once, silver any number of times.
+    """
+    left, right, ours, theirs = _side_by_side(bronze, silver, keys, chosen)
+    held = F.first(col(ours), ignorenulls=True).over(Window.partitionBy(*cols(keys)))
+    carried = unused_name("carried", [*keys, ours, theirs])
+    pairs = left.unionByName(right).withColumn(carried, held).where(col(theirs).isNotNull() & col(carried).isNotNull())
+    return pairs.agg(
+        *[F.count_if(~col(carried)[f"c{n}"].eqNullSafe(col(theirs)[f"c{n}"])).alias(c) for n, c in enumerate(chosen)]
+    )
+
+
+def _side_by_side(bronze, silver, keys, chosen) -> tuple[DataFrame, DataFrame, str, str]:
+    """Both sides with the same columns: keys, the packed bronze columns and the packed silver columns, of which one is NULL."""
+    ours, theirs = unused_name("ours", keys), unused_name("theirs", keys)
+    # each side keeps its own column types
+    packed = F.struct(F.lit(1).alias("there"), *[col(c).alias(f"c{n}") for n, c in enumerate(chosen)])
+    left = bronze.select(*cols(keys), packed.alias(ours))
+    right = silver.select(*cols(keys), packed.alias(theirs))
+    return (
+        left.withColumn(theirs, typed_null(right.schema[theirs].dataType)),
+        right.withColumn(ours, typed_null(left.schema[ours].dataType)),
+        ours,
+        theirs,
+    )
+
+
 def report(
     bronze: DataFrame,
     silver: DataFrame,
@@ -160,16 +193,72 @@ def report(
     return checks.unionByName(_as_rows(diffs, [_value_check(c, col(c)) for c in chosen]))
 
 
+def digest_report(
+    bronze: DataFrame,
+    silver: DataFrame,
+    keys: str | Sequence[str],
+    columns: str | Sequence[str] | None = None,
+    *,
+    exclude: Sequence[str] = (),
+    null_safe: bool = False,
+    silver_unique: bool = False,
+    cells: int = 4096,
+) -> DataFrame:
+    """The rows of `report`, with only those parts of the tables joined that differ.
+
+    Both sides are first reduced to `cells` rows, one per hash cell of the key: row count, and for the keys and every compared column a
+    sum of 64-bit hashes that does not depend on order. Cells whose digests agree hold the same rows and need no more than
+    their counts; all rows of the others go through `report` itself. So a table that agrees costs one scan of either side and no shuffle of
+    rows, and one changed row costs the shuffle of its cell.
+
+    Without `null_safe`, rows with a NULL in their key always go through `report`, as they never match. `bronze` must hold a key once. Digests are
+    evaluated when this is called; both sides are read again for the cells that differ, so they should be stored.
+    """
+    names = require_keys(bronze, keys)
+    chosen, skipped = _chosen(bronze, silver, names, columns, exclude)
+    digests = [_digest(df, names, chosen, cells) for df in (bronze, silver)]
+    both = digests[0].withColumn("side", F.lit(0)).unionByName(digests[1].withColumn("side", F.lit(1)))
+    parts = [c for c in digests[0].columns if c not in ("cell", "n")]
+    alike = F.count("*") == 2
+    for c in ("n", *parts):
+        alike = alike & F.min(c).eqNullSafe(F.max(c))
+    judged = both.groupBy("cell").agg(alike.alias("alike"), F.max("n").alias("n")).collect()  # at most `cells` rows
+    different = [r.cell for r in judged if not r.alike]
+    settled = sum(r.n for r in judged if r.alike)
+    unmatched = F.lit(False) if null_safe else has_null_key(names)
+    open_ = unmatched | in_cells(key_cell(names, cells), different, cells)
+    left, right = bronze.where(open_), silver.where(open_)
+    if not null_safe:
+        # settled rows without a key are among those that are reported
+        settled -= _null_keyed(bronze, names, different, cells)
+    checks = report(
+        left, right, names, chosen or None, exclude=[*exclude, *skipped], null_safe=null_safe, silver_unique=silver_unique
+    )
+    total = lambda c: F.when(col(c).isNotNull(), col(c) + F.lit(settled)).alias(c)
+    checks = checks.select("check", "item", total("bronze_rows"), total("silver_rows"), "violations", "passed")
+    if not skipped:
+        return checks
+    failed = bronze.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*_schema_checks(skipped))))
+    return failed.unionByName(checks)
+
+
+def _digest(df: DataFrame, keys: Sequence[str], chosen: Sequence[str], cells: int) -> DataFrame:
+    """Per cell its rows and, for the keys and every column, the sum of hashes of (key, value)."""
+    total = lambda *c: F.sum(F.xxhash64(*cols(keys), *c).cast("decimal(38,0)"))
+    sums = [total(col(c), col(c).isNull()).alias(f"d{n}") for n, c in enumerate(chosen)]
+    return df.groupBy(key_cell(keys, cells).alias("cell")).agg(F.count("*").alias("n"), total().alias("d"), *sums)
+
+
+def _null_keyed(bronze: DataFrame, keys: Sequence[str], different: Sequence[int], cells: int) -> int:
+    """Bronze rows with a NULL in their key whose cell agrees."""
+    rows = bronze.where(has_null_key(keys) & ~in_cells(key_cell(keys, cells), different, cells))
+    return rows.count()
+
+
 def _report_by_group(bronze, silver, keys, chosen, skipped) -> DataFrame:
     """All checks from at most one row per key and side, NULLs compared as values."""
-    ours, theirs = unused_name("ours", keys), unused_name("theirs", keys)
-    # each side keeps its own column types
-    packed = F.struct(F.lit(1).alias("there"), *[col(c).alias(f"c{n}") for n, c in enumerate(chosen)])
-    left = bronze.select(*cols(keys), packed.alias(ours))
-    right = silver.select(*cols(keys), packed.alias(theirs))
-    both = left.withColumn(theirs, typed_null(right.schema[theirs].dataType)).unionByName(
-        right.withColumn(ours, typed_null(left.schema[ours].dataType))
-    )
+    left, right, ours, theirs = _side_by_side(bronze, silver, keys, chosen)
+    both = left.unionByName(right)
     pairs = both.groupBy(*cols(keys)).agg(*[F.first(col(c), ignorenulls=True).alias(c) for c in (ours, theirs)])
     held, kept = col(ours), col(theirs)
     matched = held.isNotNull() & kept.isNotNull()

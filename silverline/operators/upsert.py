@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverline.functions.cells import in_cells, key_cell
 from silverline.functions.columns import (
     any_of,
     col,
@@ -21,7 +22,9 @@ from silverline.functions.columns import (
 )
 from silverline.session import materialise
 
-STRATEGIES = ("window", "full_outer", "anti_join")
+STRATEGIES = ("window", "full_outer", "anti_join", "split")
+#: Cells that the key space is split into, at most, and cells for each source key.
+MOST_CELLS, CELLS_PER_KEY = 1 << 20, 16
 
 
 def align(
@@ -90,15 +93,24 @@ def upsert(
     * `anti_join`: target rows without a match, followed by the source. Reads the
       source twice, so it must be stored or cheap and always give the same rows. If
       its keys are small enough to broadcast, the target is not shuffled at all.
+    * `split`: target rows that no source key can match, because they lie outside the source's range of the first key or in a hash cell
+      without a source key, are passed on where they are; only the others are merged by `window`. For a source of few keys against a
+      target of any size; the target is scanned twice, so it must be stored or cheap, and the source is evaluated when this is called.
     """
     names = require_keys(target, keys)
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose from {STRATEGIES}")
     ages = resolve(target.sparkSession, target.columns, split_names(guard), "guard columns")
     incoming = align(source, target.schema, fill_missing=fill_missing, required=[*names, *ages])
-    if not source_unique:
+    if not source_unique or strategy == "split":
         # stored first: the rows that are checked are the rows that are merged
-        incoming = require_unique_keys(materialise(incoming, "upsert-source"), names)
+        incoming = materialise(incoming, "upsert-source")
+    if strategy == "split":
+        reach = _reach(incoming, names)
+    if not source_unique:
+        incoming = require_unique_keys(incoming, names)
+    if strategy == "split":
+        return _by_split(target, incoming, names, ages, reach)
     merge = {"window": _by_window, "full_outer": _by_full_outer, "anti_join": _by_anti_join}[strategy]
     return merge(target, incoming, names, ages)
 
@@ -141,6 +153,35 @@ def _by_anti_join(target, incoming, keys, ages) -> DataFrame:
     return kept.unionByName(incoming)
 
 
+def _reach(incoming: DataFrame, keys: Sequence[str]) -> tuple | None:
+    """Number of cells, those that hold a source key, and least and greatest first key with the number of NULLs; None without rows."""
+    first = col(keys[0])
+    kind = incoming.schema[keys[0]].dataType
+    ordered = isinstance(kind, (T.NumericType, T.DateType, T.StringType))
+    low, high = (F.min(first), F.max(first)) if ordered else (F.lit(None), F.lit(None))
+    n, n_null, low, high = incoming.agg(F.count("*"), F.count_if(first.isNull()), low, high).first()
+    if not n:
+        return None
+    cells = min(MOST_CELLS, max(1024, 1 << (CELLS_PER_KEY * n - 1).bit_length()))
+    # one row per cell at most
+    chosen = [r[0] for r in incoming.select(key_cell(keys, cells)).distinct().collect()]
+    return cells, chosen, low, high, n_null
+
+
+def _by_split(target, incoming, keys, ages, reach) -> DataFrame:
+    if reach is None:
+        return target
+    cells, chosen, low, high, n_null = reach
+    first, kind = col(keys[0]), target.schema[keys[0]].dataType
+    met = in_cells(key_cell(keys, cells), chosen, cells)
+    if low is not None:
+        # reaches the scan; NULL keys are kept apart, as they are in no range
+        within = first.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        met = (within | first.isNull() if n_null else within) & met
+    merged = _by_window(target.where(met), incoming, keys, ages)
+    return target.where(~F.coalesce(met, F.lit(False))).unionByName(merged)
+
+
 def _older(ages: Sequence[str]) -> Column:
     """Source row `s` sorts before target row `t`; NULL sorts before everything."""
     return F.struct(*cols(ages, "s")) < F.struct(*cols(ages, "t"))

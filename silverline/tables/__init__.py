@@ -1,7 +1,9 @@
+from silverline.tables.bucketed_table import BucketedTable
 from silverline.tables.catalog_table import CatalogTable
+from silverline.tables.partitioned_files import merge_partitions
 from silverline.tables.snapshot_table import SnapshotTable
 
-__all__ = ["CatalogTable", "SnapshotTable", "open_table"]
+__all__ = ["BucketedTable", "CatalogTable", "SnapshotTable", "merge_partitions", "open_table"]
 
 
 def open_table(spark, catalog: str | None, database: str, table: str, warehouse: str | None = None):
