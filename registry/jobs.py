@@ -43,12 +43,13 @@ def consolidate_ranges(spark, sf_dir):
     return silver.current()
 
 
-@query(f"select * from {events_latest_sql(first='2024-01-01', last='2024-01-30')}")
+@query(f"select * from {events_latest_sql()}")
 def consolidate_replay(spark, sf_dir):
-    """Running a range twice changes nothing."""
+    """Running all days twice changes nothing."""
     path, silver = _events_feed(spark, sf_dir), new_table(spark, "silver")
+    begin, end = _reach(events(spark, sf_dir), "dt_ref", "2024-01-01", "2024-01-30")
     for _ in range(2):
-        feed = _days(path, "2024-01-01", "2024-01-30")
+        feed = _days(path, begin, end)
         plans.consolidate(spark, feed, silver, "user_id", "ts", tiebreak="event_id", strategy="max_by")
     return silver.current()
 
@@ -84,7 +85,7 @@ def consolidate_change_feed(spark, sf_dir):
     return silver.current()
 
 
-BRONZE = events_latest_sql(first="2024-01-01", last="2024-01-30")
+BRONZE = events_latest_sql()
 CHECKED = ["event_id", "ts", "event_type", "value", "props"]
 
 
@@ -101,10 +102,12 @@ def _job_report(silver):
     where not exists (select 1 from {silver} s where s.user_id = b.user_id)) union all {diffs})"""
 
 
-def _consolidated_then_checked(spark, sf_dir, last):
+def _consolidated_then_checked(spark, sf_dir, last=None):
+    """A table of the days up to `last` against all days of the feed."""
     path, silver = _events_feed(spark, sf_dir), new_table(spark, "silver")
-    plans.consolidate(spark, _days(path, "2024-01-01", last), silver, "user_id", "ts", tiebreak="event_id")
-    everything = _days(path, "2024-01-01", "2024-01-30")
+    begin, end = _reach(events(spark, sf_dir), "dt_ref", last or "2024-01-01", last or "2024-01-30")
+    plans.consolidate(spark, _days(path, begin, last or end), silver, "user_id", "ts", tiebreak="event_id")
+    everything = _days(path, begin, end)
     return plans.reconcile(
         spark, everything, silver.current(), "user_id", "ts", tiebreak="event_id",
         silver_unique=silver.holds_keys_once,
@@ -113,8 +116,8 @@ def _consolidated_then_checked(spark, sf_dir, last):
 
 @query(_job_report(BRONZE))
 def reconcile_fresh_table(spark, sf_dir):
-    """A table that has merged the whole range agrees with it."""
-    return _consolidated_then_checked(spark, sf_dir, "2024-01-30")
+    """A table that has merged all days agrees with them."""
+    return _consolidated_then_checked(spark, sf_dir)
 
 
 @query(_job_report(events_latest_sql(last="2024-01-02")))

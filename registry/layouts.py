@@ -22,7 +22,7 @@ from registry.reconciliation import (
     _silver,
     _stored,
 )
-from registry.upserts import FIRST_HALF, LATER, NULL_KEYED, _null_keyed_sql, null_keyed
+from registry.upserts import FIRST_HALF, LATER, _null_keyed_sql, null_keyed
 from silverline.operators import column_diffs, digest_report, latest_per_key, report, upsert
 from silverline.session import materialise, scratch_path
 from silverline.sinks import write_partitioned

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverline.functions.columns import cols
 
@@ -17,6 +18,18 @@ def key_cell(keys: Sequence[str], cells: int) -> Column:
     return F.pmod(F.xxhash64(*cols(keys)), F.lit(cells)).cast("int")
 
 
+def told_apart(value: Column, dtype: T.DataType) -> Column:
+    """`value` in a form whose hash tells NULLs and empty arrays apart at any depth, over which hashes pass otherwise."""
+    parts = [value.isNull()]
+    if isinstance(dtype, T.ArrayType):
+        parts += [F.size(value), F.transform(value, lambda x: told_apart(x, dtype.elementType))]
+    elif isinstance(dtype, T.StructType):
+        parts += [told_apart(value.getField(f.name), f.dataType) for f in dtype.fields]
+    else:
+        parts.append(value)
+    return F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
+
+
 def in_cells(cell: Column, chosen: Iterable[int], cells: int) -> Column:
     """Whether a cell is one of the chosen: a bit of a constant of `cells` bits, tested without a join."""
     words = [0] * -(-cells // WORD)

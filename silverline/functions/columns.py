@@ -69,6 +69,30 @@ def contains_map(dtype: T.DataType) -> bool:
     return False
 
 
+def comparable(value: Column, dtype: T.DataType) -> Column:
+    """`value` with every map in it, at any depth, as its entries sorted by key, so that it can be compared and hashed.
+
+    NULL stays NULL at every level, and an empty map differs from NULL.
+    """
+    if not contains_map(dtype):
+        return value
+    if isinstance(dtype, T.MapType):
+        entry = lambda e: F.struct(
+            comparable(e["key"], dtype.keyType).alias("key"), comparable(e["value"], dtype.valueType).alias("value")
+        )
+        return F.array_sort(F.transform(F.map_entries(value), entry))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: comparable(x, dtype.elementType))
+    fields = [comparable(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def comparable_maps(df: DataFrame) -> DataFrame:
+    """`df` with its maps in the form that `comparable` gives them."""
+    held = [f for f in df.schema.fields if contains_map(f.dataType)]
+    return df.withColumns({f.name: comparable(col(f.name), f.dataType) for f in held}) if held else df
+
+
 def all_of(conditions: Iterable[Column]) -> Column:
     return reduce(and_, conditions)
 

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverline.functions.cells import in_cells, key_cell
+from silverline.functions.cells import in_cells, key_cell, told_apart
 from silverline.functions.columns import (
     all_of,
     col,
     cols,
+    comparable_maps,
     contains_map,
     name_folder,
     require_keys,
@@ -105,8 +106,14 @@ def column_diffs(
     *,
     exclude: Sequence[str] = (),
     null_safe: bool = False,
+    maps: bool = False,
 ) -> DataFrame:
-    """One row with, per compared column, the number of matched rows that differ."""
+    """One row with, per compared column, the number of matched rows that differ.
+
+    With `maps`, columns holding maps are compared too: equal are maps of the same entries, in whatever order they are stored.
+    """
+    if maps:
+        bronze, silver = comparable_maps(bronze), comparable_maps(silver)
     names = require_keys(bronze, keys)
     chosen, _ = _chosen(bronze, silver, names, columns, exclude)
     if not chosen:
@@ -156,11 +163,13 @@ def report(
     exclude: Sequence[str] = (),
     null_safe: bool = False,
     silver_unique: bool = False,
+    maps: bool = False,
 ) -> DataFrame:
     """All checks, one row each: `check, item, bronze_rows, silver_rows, violations, passed`.
 
     Without `columns`, every column that cannot be compared, because one side lacks it or because it
-    holds a map, is a failed check of its own. A feed of keys alone gets counts and coverage.
+    holds a map, is a failed check of its own. With `maps`, maps are compared by their entries. A feed of keys alone gets
+    counts and coverage.
 
     With `silver_unique` (a table that holds every key once by construction) all
     checks come out of one full outer join, or with `null_safe` out of one grouping by key, which uses the exchange
@@ -169,6 +178,8 @@ def report(
     table with repeated keys, because the grouping aggregates before its shuffle and
     adaptive execution may split the join. Pass a materialised `bronze`.
     """
+    if maps:
+        bronze, silver = comparable_maps(bronze), comparable_maps(silver)
     names = require_keys(bronze, keys)
     chosen, skipped = _chosen(bronze, silver, names, columns, exclude)
     if silver_unique and null_safe:
@@ -202,6 +213,7 @@ def digest_report(
     exclude: Sequence[str] = (),
     null_safe: bool = False,
     silver_unique: bool = False,
+    maps: bool = False,
     cells: int = 4096,
 ) -> DataFrame:
     """The rows of `report`, with only those parts of the tables joined that differ.
@@ -214,6 +226,8 @@ def digest_report(
     Without `null_safe`, rows with a NULL in their key always go through `report`, as they never match. `bronze` must hold a key once. Digests are
     evaluated when this is called; both sides are read again for the cells that differ, so they should be stored.
     """
+    if maps:
+        bronze, silver = comparable_maps(bronze), comparable_maps(silver)
     names = require_keys(bronze, keys)
     chosen, skipped = _chosen(bronze, silver, names, columns, exclude)
     digests = [_digest(df, names, chosen, cells) for df in (bronze, silver)]
@@ -244,8 +258,10 @@ def digest_report(
 
 def _digest(df: DataFrame, keys: Sequence[str], chosen: Sequence[str], cells: int) -> DataFrame:
     """Per cell its rows and, for the keys and every column, the sum of hashes of (key, value)."""
-    total = lambda *c: F.sum(F.xxhash64(*cols(keys), *c).cast("decimal(38,0)"))
-    sums = [total(col(c), col(c).isNull()).alias(f"d{n}") for n, c in enumerate(chosen)]
+    kinds = {c: df.schema[resolve(df.sparkSession, df.columns, [c], "columns")[0]].dataType for c in (*keys, *chosen)}
+    seen = lambda c: told_apart(col(c), kinds[c])
+    total = lambda *c: F.sum(F.xxhash64(*map(seen, (*keys, *c))).cast("decimal(38,0)"))
+    sums = [total(c).alias(f"d{n}") for n, c in enumerate(chosen)]
     return df.groupBy(key_cell(keys, cells).alias("cell")).agg(F.count("*").alias("n"), total().alias("d"), *sums)
 
 

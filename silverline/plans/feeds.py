@@ -22,7 +22,7 @@ class Feed:
 
     uri: str
     partition_col: str
-    partitions: Sequence[str] | None = None
+    partitions: Sequence[str] | DataFrame | None = None
     fmt: str = "parquet"
     partition_format: str = ISO_DAY
     infer_schema: bool = False
@@ -30,6 +30,7 @@ class Feed:
     schema: T.StructType | str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     list_selected_only: bool = False
+    evolving: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_partitioned(
@@ -44,6 +45,7 @@ class Feed:
             schema=self.schema,
             options=self.options,
             list_selected_only=self.list_selected_only,
+            evolving=self.evolving,
         )
 
 

@@ -31,6 +31,7 @@ def reconcile(
     columns: str | Sequence[str] | None = None,
     null_safe: bool = False,
     silver_unique: bool = False,
+    maps: bool = False,
     rows_read: Observation | None = None,
 ) -> DataFrame:
     """The report of all checks, one row per check.
@@ -39,7 +40,7 @@ def reconcile(
     when the range covers every key. Without `columns`, all columns found on both
     sides are compared except keys and the feed's partition column, and columns of one side only fail. Say
     `silver_unique` for a table that cannot hold a key twice; the checks then take a
-    single join. `rows_read` receives the feed's rows before they are reduced, as `rows`.
+    single join. `maps` compares columns holding maps. `rows_read` receives the feed's rows before they are reduced, as `rows`.
     """
     bronze = latest_per_key(counted(feed.read(spark), rows_read), keys, order_col, tiebreak=tiebreak, strategy=strategy)
     bronze = materialise(bronze, "bronze-latest")
@@ -51,6 +52,7 @@ def reconcile(
         exclude=[feed.partition_col],
         null_safe=null_safe,
         silver_unique=silver_unique,
+        maps=maps,
     )
 
 

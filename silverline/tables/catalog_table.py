@@ -120,6 +120,13 @@ class CatalogTable:
         writer = incoming.mergeInto(self.name, match).whenMatched(newer).updateAll()
         writer.whenNotMatched().insertAll().merge()
 
+    def append(self, rows: DataFrame, *, fill_missing: bool = False) -> None:
+        """Add rows, matched to the table's columns by name. Every provider can; keys are not looked at."""
+        align(rows, self.current().schema, fill_missing=fill_missing).write.insertInto(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def add_column(self, name: str, column_type: str, comment: str | None = None) -> None:
         # parsed first, so only a type can reach the statement
         dtype = self.spark.range(0).select(typed_null(column_type).alias("c")).schema["c"].dataType

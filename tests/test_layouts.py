@@ -235,6 +235,17 @@ def test_digest_report_equals_report(spark, seed, null_safe):
         assert rows(digest_report(bronze, silver, "k,j", columns, null_safe=null_safe, cells=cells)) == expected
 
 
+def test_digests_see_nulls_and_empty_arrays(spark):
+    """Values that Spark's hashes pass over alike."""
+    shape = "k int, j int, a array<array<int>>, s struct<x:int,y:int>"
+    left = [(1, None, [[1], None], (1, None)), (2, 2, [[], [1]], None), (3, 3, None, (None, 4)), (4, 4, [[1, None]], (None, None))]
+    right = [(None, 1, [[1], None], (1, None)), (2, 2, [[1], []], (None, None)), (3, 3, [], (4, None)), (4, 4, [[None, 1]], (None, None))]
+    left, right = (spark.createDataFrame(x, shape) for x in (left, right))
+    expected = rows(report(left, right, "k,j", null_safe=True))
+    assert rows(digest_report(left, right, "k,j", null_safe=True, cells=1)) == expected
+    assert {r[1]: r[4] for r in expected} == {"rows": 0, "missing": 1, "a": 3, "s": 2}
+
+
 def test_digest_report_of_unlike_tables(spark):
     bronze = some_rows(spark, 50, 1)
     silver = bronze.drop("g").withColumn("extra", F.lit(1)).withColumn("k", F.col("k").cast("long"))
