@@ -22,8 +22,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +48,8 @@ HOLDING, INCOMING = 0, 1
 DEFAULT_BUCKETS, MOST_BUCKETS = 16, 1 << 14
 # stored bytes of the first load that make a bucket, and those that one task of a merge holds
 BUCKET_BYTES, TASK_BYTES = 128 << 20, 256 << 20
+# buckets and folders that are counted without a job of their own
+COUNTED_BUCKETS = 64
 # most rows that one task of a merge holds, however narrow
 ROWS_PER_TASK = 4_000_000
 
@@ -209,52 +210,74 @@ class SnapshotTable:
         before = sum(p.row_count for p in live)
         folder = f"{self._path('data')}/{SNAPSHOT}={last + 1}"
         stored = scratch_path(self.spark, "merge-source")
-        incoming.write.parquet(stored)
+        # the run that stores the source tells its rows and, where their number is settled, the buckets they touch
+        seen = Observation()
+        met = [F.collect_set(self._bucket(spec)).alias("buckets")] if spec.buckets else []
+        incoming.observe(seen, F.count(F.lit(1)).alias("rows"), *met).write.parquet(stored)
         incoming = self.spark.read.schema(incoming.schema).parquet(stored)
-        if not spec.buckets:
-            spec = self._choose_buckets(stored, incoming)
-        bucket = F.pmod(F.xxhash64(*cols(spec.keys)), F.lit(spec.buckets or 1)).cast("int")
-        incoming = incoming.withColumn(BUCKET, bucket)
-        # one row per touched bucket: bounded by the bucket count
-        arriving = {r[0]: r[1] for r in incoming.groupBy(BUCKET).count().collect()}
-        if not arriving:
+        arrived = seen.get["rows"]
+        if not arrived:
             self._commit_unchanged(last + 1, "merge", schema_id=history.latest_id, total=before)
             return last + 1
+        arriving = set(seen.get["buckets"]) if spec.buckets else None
+        if arriving is None:
+            spec = self._choose_buckets(stored)
+            arriving = set(range(spec.buckets))
+        incoming = incoming.withColumn(BUCKET, self._bucket(spec))
         touched = [p for p in live if p[BUCKET] in arriving]
         held = self._read(touched, history, history.latest_id)
-        arrived, replaced = sum(arriving.values()), sum(p.row_count for p in touched)
+        replaced = sum(p.row_count for p in touched)
         folders = [f for of in self._folders(touched).values() for f in of]
         tasks = max((arrived + replaced) / self.rows_per_task, self._bytes(stored, *folders) / self.task_bytes)
         splits = max(1, math.ceil(tasks / len(arriving)))
         merged, side = self._merged(held, incoming, sorted(arriving), splits, ages)
-        if ages:
-            taken = Observation()
-            merged = merged.observe(taken, F.count_if(col(side) == INCOMING).alias("rows"))
+        # few buckets are counted as they are written; the tasks that write them are the last ones
+        few = sorted(arriving) if not spec.partitions and len(arriving) <= COUNTED_BUCKETS else []
+        written = Observation()
+        counts = [F.count_if(col(BUCKET) == b).alias(f"b{b}") for b in few]
+        if ages or few:
+            merged = merged.observe(written, F.count_if(col(side) == INCOMING).alias("taken"), *counts)
         merged = merged.drop(side)
         if spec.partitions:
             # else every task would write a file into each of its partitions
             merged = merged.hint("rebalance", BUCKET, *spec.partitions)
         self._save(merged, folder)
-        accepted = taken.get["rows"] if ages else arrived
-        self._commit_folder(folder, last + 1, history, before=before, replaced=replaced, accepted=accepted)
+        accepted = written.get["taken"] if ages else arrived
+        if few:
+            parts = {b: n for b in few if (n := written.get[f"b{b}"])}
+            inserted = sum(parts.values()) - replaced
+            row = (last + 1, None, "merge", history.latest_id, inserted, accepted - inserted, before + inserted, None)
+            sizes = (F.array(*map(F.lit, x)) for x in (parts, parts.values()))
+            commit = one_row(self.spark, T.StructType.fromDDL(COMMITS), row)
+            self._commit(commit.withColumn("parts", F.map_from_arrays(*sizes).cast("map<int,bigint>")))
+        else:
+            self._commit_folder(folder, last + 1, history, before=before, replaced=replaced, accepted=accepted)
         return last + 1
 
+    def _bucket(self, spec: Row) -> Column:
+        return F.pmod(F.xxhash64(*cols(spec.keys)), F.lit(spec.buckets)).cast("int")
+
     def _bytes(self, *folders: str) -> int:
-        """Stored bytes below some folders; only the listing is read."""
+        """Stored bytes below some folders; only listings are read, by a job where there are many."""
+        if len(folders) <= COUNTED_BUCKETS:
+            return sum(store.getContentSummary(path).getLength() for store, path in map(self._file, folders))
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(folders))
         return files.agg(F.sum("length")).first()[0] or 0
 
-    def _choose_buckets(self, stored: str, rows: DataFrame) -> Row:
-        """Decide the number of buckets from the first rows that arrive; no rows decide nothing."""
-        self._spec = None
+    def _file(self, path: str):
+        """The file system of a path, and the path as it knows it."""
+        context = self.spark.sparkContext
+        known = context._jvm.org.apache.hadoop.fs.Path(path)
+        return known.getFileSystem(context._jsc.hadoopConfiguration()), known
+
+    def _choose_buckets(self, stored: str) -> Row:
+        """Decide the number of buckets from the first rows that arrive."""
         spec = self._definition()
-        if not spec.buckets and not rows.isEmpty():
-            chosen = min(MOST_BUCKETS, max(DEFAULT_BUCKETS, -(-self._bytes(stored) // self.bucket_bytes)))
-            decided = (spec.lineage, list(spec.keys), list(spec.partitions), chosen, spec.schema_json)
-            self._append(f"{self.base}/definition", DEFINITION, decided)
-            self._spec = None
-            spec = self._definition()
-        return spec
+        chosen = min(MOST_BUCKETS, max(DEFAULT_BUCKETS, -(-self._bytes(stored) // self.bucket_bytes)))
+        decided = (spec.lineage, list(spec.keys), list(spec.partitions), chosen, spec.schema_json)
+        self._append(f"{self.base}/definition", DEFINITION, decided)
+        self._spec = None
+        return self._definition()
 
     def add_column(self, name: str, column_type: str, comment: str | None = None) -> None:
         """Add a column at the end; existing rows read NULL. Makes no snapshot."""
@@ -358,12 +381,8 @@ class SnapshotTable:
         return f"{self.base}/lineage={self._definition().lineage}/{part}"
 
     def _find_log(self, path: str, schema: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        store, known = self._file(path)
+        return self.spark.read.schema(schema).parquet(path) if store.exists(known) else None
 
     def _append(self, path: str, schema: str, row: tuple) -> None:
         one_row(self.spark, T.StructType.fromDDL(schema), row).write.mode("append").parquet(path)

@@ -322,3 +322,21 @@ def test_wide_rows_are_merged_by_more_tasks(spark, base):
     table.merge(many)
     assert len(list(Path(table._path("data")).glob("**/*.parquet"))) > 8
     assert rows(table.current()) == rows(many)
+
+
+def test_a_small_merge_is_few_jobs(spark, base):
+    """Rows and buckets are counted by the runs that write them, sizes come from listings."""
+    table = SnapshotTable(spark, base)
+    rows_ = spark.range(5000).selectExpr("id as k", "id % 7 as v")
+    table.ensure(rows_, "k")
+    table.merge(rows_)
+    one = spark.createDataFrame([(17, -1)], "k long, v long")
+    spark.sparkContext.setJobGroup("one-row merge", "one-row merge")
+    try:
+        table.merge(one)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-row merge")) <= 6
+    assert table.current().where("v = -1").count() == 1 and table.current().count() == 5000
+    commit = table.snapshots().orderBy("snapshot_id").collect()[-1]
+    assert (commit.inserted, commit.updated, commit.total) == (0, 1, 5000)
