@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.llm.common import LAST_ID, materialise
 from silverline.llm.tokens import small
 from silverline.session import scratch_path
 
+#: Hashes of a batch, and the slots that batches are made of.
+BATCH_ROWS, SLOTS = 1 << 18, 64
 #: Hashes that a task returns at once.
 ROWS_OUT = 1 << 16
 
@@ -52,51 +56,96 @@ def _hash_lines(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[p
 
 
 class LineRuns:
-    """Sorted runs of line hashes in levels, below one folder that all executors share.
+    """Levelled sorted runs of the line hashes seen so far, below one folder that all executors share.
 
-    A run holds `h`, `docs` (documents with the line) and `last` (the largest id among them), dealt out and sorted by `h`.
-    Every batch adds a run to level 0; as soon as a level has `fanout` runs they are merged into one run
-    of the next level, so n batches leave about fanout * log(n) runs and each hash is rewritten log(n) times.
+    A run holds `h`, `docs` (documents with the line) and `last` (the largest id among them) of the hashes that one batch was the first
+    to bring, so a hash is in one run only. Every new batch is merge-anti-joined with the runs: what none of them holds becomes a run
+    of level 0, what one of them holds is a repeat and is noted beside them. As soon as a level has `fanout` runs they are
+    merged into one run of the next level: n batches leave about fanout * log(n) runs, and each hash is rewritten log(n) times.
+
+    Runs are tables bucketed and sorted by hash, one sorted file a bucket, so the joins merge them without moving or sorting them.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, *, fanout: int = 4):
         self.spark, self.fanout = spark, fanout
         self.path = path or scratch_path(spark, "line-runs")
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"line_runs_{uuid.uuid4().hex}"
         self.levels: list[list[str]] = []
+        self.repeats: list[str] = []
         self.written = 0
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        path = f"{self.path}/level-{level}/run-{self.written}"
+    def _save(self, rows: DataFrame, folder: str) -> str:
+        table = f"{self.name}_{self.written}"
         self.written += 1
-        rows.sortWithinPartitions("h").write.parquet(path)
+        writer = rows.select("h", "docs", "last").write.format("parquet").option("path", f"{self.path}/{folder}/{table}")
+        writer.bucketBy(self.buckets, "h").sortBy("h").saveAsTable(table)
+        return table
+
+    def _write(self, rows: DataFrame, level: int) -> None:
+        table = self._save(rows, f"level-{level}")
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(table)
         if len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = self._read(self.levels[level]), []
-            self._write(self._merge(merged), level + 1)
+            full, self.levels[level] = self.levels[level], []
+            # no hash is in two runs, so this only merges them, bucket by bucket
+            self._write(self._sums(self._all(full)), level + 1)
+            self._drop(full)
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("h binary, docs long, last long").parquet(*paths)
+    def _all(self, tables: list[str]) -> DataFrame:
+        return reduce(DataFrame.union, [self.spark.table(t) for t in tables])
 
-    @staticmethod
-    def _merge(runs: DataFrame) -> DataFrame:
-        return runs.groupBy("h").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    def _drop(self, tables: list[str]) -> None:
+        for table in tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    @property
+    def tables(self) -> list[str]:
+        """The runs, oldest level first."""
+        return [t for level in reversed(self.levels) for t in level]
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch of (id, h) rows, one per document and line."""
-        self._write(lines.groupBy("h").agg(F.count("*").alias("docs"), F.max("id").alias("last")), 0)
+        stored = self._save(lines.groupBy("h").agg(F.count("*").alias("docs"), F.max("id").alias("last")), "batches")
+        batch = self.spark.table(stored)
+        if self.tables:
+            path = f"{self.path}/repeats/{self.written}"
+            self._with(batch, self._all(self.tables), "left_semi").write.parquet(path)
+            self.repeats.append(path)
+        self._write(self.unseen(batch), 0)
+        self._drop([stored])
 
-    def totals(self) -> DataFrame:
-        """One row per hash over all runs."""
-        paths = [p for level in self.levels for p in level]
-        if not paths:
-            return self.spark.createDataFrame([], "h binary, docs long, last long")
-        return self._merge(self._read(paths)) if len(paths) > 1 else self._read(paths)
+    @staticmethod
+    def _sums(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("h").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
     def unseen(self, lines: DataFrame) -> DataFrame:
-        """Rows of a batch whose line is in no run yet: one anti-join with the runs."""
-        return lines.join(self.totals(), "h", "left_anti")
+        """Rows whose hash is in no run yet: one merge-anti-join with each run."""
+        for table in self.tables:
+            lines = self._with(lines, self.spark.table(table), "left_anti")
+        return lines
+
+    @staticmethod
+    def _with(lines: DataFrame, run: DataFrame, how: str) -> DataFrame:
+        return lines.join(run.select("h").hint("merge"), "h", how)
+
+    def totals(self, least: int = 1) -> DataFrame:
+        """(h, docs, last) of every hash that at least `least` documents hold: its run's row and its repeats."""
+        if not self.tables:
+            return self.spark.createDataFrame([], "h binary, docs long, last long")
+        seen = self._all(self.tables)
+        if self.repeats:
+            again = self.spark.read.schema("h binary, docs long, last long").parquet(*self.repeats)
+            again = self._sums(again).select("h", F.col("docs").alias("more"), F.col("last").alias("later"))
+            docs = F.col("docs") + F.coalesce("more", F.lit(0))
+            seen = seen.join(again, "h", "left").select("h", docs.alias("docs"), F.greatest("last", "later").alias("last"))
+        return seen.where(F.col("docs") >= least)
+
+    def close(self) -> None:
+        """Forget the tables; their files stay in the scratch folder."""
+        self._drop(self.tables)
+        self.levels = []
 
 
 def line_hashes(docs: DataFrame, *, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,7 +188,7 @@ def dedup_lines(
     *,
     min_chars: int = 40,
     min_docs: int = 5,
-    batches: int = 4,
+    batch_rows: int = BATCH_ROWS,
     fanout: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -154,20 +203,26 @@ def dedup_lines(
     text that is left). Each row counts as a document of its own: rows that repeat an id are several documents,
     and all that have the largest id keep the line. A missing id is the smallest of all.
 
-    Line hashes (128 bits) are made once and go into `LineRuns` in `batches` batches, dealt by id. A line's row count is
-    summed before every shuffle, so a line that is everywhere costs one row per task. What is to be dropped is the
-    join of all hashes with the runs' frequent ones, which Spark splits where a line is hot; it comes back to
+    Line hashes (128 bits) are made once and go into `LineRuns` batch by batch, in the order in which they are stored: about `batch_rows`
+    hashes at a time, at most SLOTS batches. A line's row count is summed before every shuffle, so a line that is everywhere costs one row per
+    task. What is to be dropped is the join of all hashes with the runs' frequent ones, which Spark splits where a line is hot; it comes back to
     its document by id and text hash, a set no larger than the document's lines. Texts are shuffled once.
     """
     spark = docs.sparkSession
     hashed = line_hashes(docs, min_chars=min_chars, id_col=id_col, text_col=text_col)
-    path = scratch_path(spark, "lines")
-    hashed.withColumn("batch", F.expr(f"pmod(xxhash64(id), {batches})")).write.partitionBy("batch").parquet(path)
-    stored = spark.read.schema("id long, row long, h binary, batch long").parquet(path)
+    path, seen = scratch_path(spark, "lines"), Observation()
+    # a task writes one slot, so there are no more files than tasks
+    slotted = hashed.withColumn("slot", F.spark_partition_id() % SLOTS).observe(seen, F.count(F.lit(1)).alias("rows"))
+    slotted.write.partitionBy("slot").parquet(path)
+    stored = spark.read.schema("id long, row long, h binary, slot int").parquet(path)
+    batches = min(SLOTS, max(1, -(-seen.get["rows"] // batch_rows)))
+    slots = sorted(r[0] for r in stored.select("slot").distinct().collect())  # SLOTS at most
     runs = LineRuns(spark, fanout=fanout)
     for i in range(batches):
-        runs.add(stored.where(F.col("batch") == i).select("id", "h"))
-    frequent = materialise(runs.totals().where(F.col("docs") >= min_docs), "frequent")
+        if mine := slots[i * len(slots) // batches : (i + 1) * len(slots) // batches]:
+            runs.add(stored.where(F.col("slot").isin(mine)).select("id", "h"))
+    frequent = materialise(runs.totals(min_docs), "frequent")
+    runs.close()
     drops = (
         stored.join(frequent, "h")
         .where(F.col("id") < F.col("last"))

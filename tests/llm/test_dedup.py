@@ -16,9 +16,14 @@ def by_repr(rows):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("batches, fanout", [(1, 4), (7, 2)])
-def test_lines(odd_docs, pairs, batches, fanout):
-    kept = lines.dedup_lines(odd_docs, min_chars=40, min_docs=5, batches=batches, fanout=fanout)
+@pytest.mark.parametrize("batch_rows, fanout, levels", [(10**6, 4, 1), (1, 2, 3)])
+def test_lines(spark, odd_docs, pairs, batch_rows, fanout, levels, monkeypatch):
+    """One batch, and as many as there are slots, which fill three levels."""
+    reached, write = [], lines.LineRuns._write
+    monkeypatch.setattr(lines.LineRuns, "_write", lambda runs, rows, level: (reached.append(level), write(runs, rows, level))[1])
+    kept = lines.dedup_lines(odd_docs.repartition(8), min_chars=40, min_docs=5, batch_rows=batch_rows, fanout=fanout)
+    assert max(reached) >= levels - 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_runs_")]
     found = table(kept.select("whole.doc_id", "n_lines", "n_dropped", "kept"))
     assert found == by_repr(brute.line_dedup(pairs, 40, 5))
     assert sum(r[2] for r in found) > 10
@@ -37,6 +42,12 @@ def test_runs_are_compacted_and_tell_what_is_new(spark, odd_docs):
         runs.add(part)
     assert [len(x) for x in runs.levels] == [1, 0, 1]  # five runs in base two
     assert runs.unseen(hashed).count() == 0
+    # a hash is in one run only, and runs are merged where they lie
+    held = runs._all(runs.tables)
+    assert held.count() == held.select("h").distinct().count()
+    batch = spark.table(runs._save(runs.totals(), "batches"))
+    plan = runs.unseen(batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
     whole = hashed.groupBy("h").agg(F.count("*"), F.max("id"))
     assert table(runs.totals()) == table(whole)
 
