@@ -16,7 +16,7 @@ from silverline.llm.tokens import small
 from silverline.session import scratch_path
 
 #: Hashes of a batch, and the slots that batches are made of.
-BATCH_ROWS, SLOTS = 1 << 18, 64
+BATCH_ROWS, SLOTS = 1 << 19, 64
 #: Hashes that a task returns at once.
 ROWS_OUT = 1 << 16
 
@@ -63,7 +63,8 @@ class LineRuns:
     of level 0, what one of them holds is a repeat and is noted beside them. As soon as a level has `fanout` runs they are
     merged into one run of the next level: n batches leave about fanout * log(n) runs, and each hash is rewritten log(n) times.
 
-    Runs are tables bucketed and sorted by hash, one sorted file a bucket, so the joins merge them without moving or sorting them.
+    Runs are tables bucketed and sorted by hash: a batch comes dealt out to the merge join, and a level is merged bucket by bucket, without
+    an exchange. The hashes of the runs, and nothing else of them, are dealt out to the join of each batch.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, *, fanout: int = 4):
@@ -110,9 +111,7 @@ class LineRuns:
         stored = self._save(lines.groupBy("h").agg(F.count("*").alias("docs"), F.max("id").alias("last")), "batches")
         batch = self.spark.table(stored)
         if self.tables:
-            path = f"{self.path}/repeats/{self.written}"
-            self._with(batch, self._all(self.tables), "left_semi").write.parquet(path)
-            self.repeats.append(path)
+            self.repeats.append(self._save(self._known(batch, "left_semi"), "repeats"))
         self._write(self.unseen(batch), 0)
         self._drop([stored])
 
@@ -121,14 +120,11 @@ class LineRuns:
         return rows.groupBy("h").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
     def unseen(self, lines: DataFrame) -> DataFrame:
-        """Rows whose hash is in no run yet: one merge-anti-join with each run."""
-        for table in self.tables:
-            lines = self._with(lines, self.spark.table(table), "left_anti")
-        return lines
+        """Rows whose hash is in no run yet: one merge-anti-join with the runs."""
+        return self._known(lines, "left_anti") if self.tables else lines
 
-    @staticmethod
-    def _with(lines: DataFrame, run: DataFrame, how: str) -> DataFrame:
-        return lines.join(run.select("h").hint("merge"), "h", how)
+    def _known(self, lines: DataFrame, how: str) -> DataFrame:
+        return lines.join(self._all(self.tables).select("h").hint("merge"), "h", how)
 
     def totals(self, least: int = 1) -> DataFrame:
         """(h, docs, last) of every hash that at least `least` documents hold: its run's row and its repeats."""
@@ -136,16 +132,15 @@ class LineRuns:
             return self.spark.createDataFrame([], "h binary, docs long, last long")
         seen = self._all(self.tables)
         if self.repeats:
-            again = self.spark.read.schema("h binary, docs long, last long").parquet(*self.repeats)
-            again = self._sums(again).select("h", F.col("docs").alias("more"), F.col("last").alias("later"))
+            again = self._sums(self._all(self.repeats)).select("h", F.col("docs").alias("more"), F.col("last").alias("later"))
             docs = F.col("docs") + F.coalesce("more", F.lit(0))
             seen = seen.join(again, "h", "left").select("h", docs.alias("docs"), F.greatest("last", "later").alias("last"))
         return seen.where(F.col("docs") >= least)
 
     def close(self) -> None:
         """Forget the tables; their files stay in the scratch folder."""
-        self._drop(self.tables)
-        self.levels = []
+        self._drop(self.tables + self.repeats)
+        self.levels, self.repeats = [], []
 
 
 def line_hashes(docs: DataFrame, *, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
