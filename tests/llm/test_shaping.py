@@ -1,8 +1,9 @@
 """Quality rules, URL filter, mixing, sharding, tool calls and secrets."""
 
 import json
+import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -89,6 +90,10 @@ def test_url_parts_and_rules(spark):
     assert verdicts == {r.name: r.verdict for r in RULES}
 
 
+def local_counts(model):
+    return urls.UrlCounts(*urls._arrays(model.table.toArrow()))
+
+
 def test_url_model(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("aeiou") + rng.choice("bdmnr") for _ in range(3))
@@ -96,9 +101,8 @@ def test_url_model(spark):
     bad = lambda n: [f"https://{word()}.net/{rng.randrange(10**9)}/win-cash" for _ in range(n)]
     pages = spark.createDataFrame([(u,) for u in good(300) + bad(300) + [None]], "url string")
     model = urls.fit(pages, RULES)
-    assert (model.counts.reshape(2, -1)[:, 256 * 0 : 256].sum(axis=1) > 0).all()
     fresh = [u.replace(".org/fr/", ".io/") for u in good(100)] + [u.replace(".net/", ".io/") for u in bad(100)]
-    scores = model.score(fresh)
+    scores = local_counts(model).score(fresh)
     assert np.mean((scores >= model.threshold) == ([True] * 100 + [False] * 100)) > 0.95
     judged = urls.judge_urls(spark.createDataFrame([(u,) for u in fresh], "url string"), RULES, model)
     found = {r[0]: r[1] for r in judged.select("whole.url", "verdict").collect()}
@@ -108,32 +112,66 @@ def test_url_model(spark):
     assert one_kind.threshold == -np.inf
 
 
-def test_url_smoothing_is_a_distribution():
-    counts = np.zeros((2, urls.CELLS), np.int64)
-    [(buf, at, _)] = urls._bytes(["http://a.org/x", "http://b.org/yy"])
-    for cell in urls._cells(buf, at):
-        np.add.at(counts[1], cell, 1)
-    model = urls.UrlModel(counts)
-    buf = np.tile(np.frombuffer(b"org/", np.uint8).astype(np.int64), 256)
-    full = np.concatenate([np.append(buf[:4], c) for c in range(256)])
-    place = np.arange(256) * 5 + 4
-    p = np.full((2, 256), 1 / 256)
-    for cell in urls._cells(full, place):
-        row = cell // 256
-        total, kinds = model.totals[:, row], model.kinds[:, row]
-        p = np.where(total > 0, (counts[:, cell] + kinds * p) / np.maximum(total + kinds, 1), p)
-    assert p.sum(axis=1) == pytest.approx([1, 1])
-
-
-def test_urls_are_scored_alike_in_pieces(monkeypatch):
+def test_url_smoothing_is_a_distribution(spark):
+    pages = spark.createDataFrame([(u,) for u in ("http://a.org/fr/x", "http://b.org/fr/yy", "http://c.net/")], "url string")
+    counts = local_counts(urls.fit(pages.union(pages.selectExpr("url || 'z'")), RULES))
+    buf = np.concatenate([np.append(np.frombuffer(b"org/", np.uint8), np.uint8(c)) for c in range(256)])
+    assert counts.probabilities(buf, np.arange(256) * 5 + 4).sum(axis=1) == pytest.approx([1, 1])
+
+
+def test_urls_are_scored_alike_in_pieces(spark, monkeypatch):
     """Memory does not follow the length of URLs: pieces end anywhere, within a URL too."""
-    rng = np.random.default_rng(8)
-    model = urls.UrlModel(rng.integers(0, 3, (2, urls.CELLS)))
-    some = ["http://a.org/x", None, "", "é", "http://B.net/" + "long/" * 300, "x"]
-    whole = model.score(some)
+    some = ["http://a.org/fr/x", None, "", "é", "http://B.net/" + "long/" * 300, "x", "http://c.net/"]
+    counts = local_counts(urls.fit(spark.createDataFrame([(u,) for u in some * 3], "url string"), RULES))
+    whole = counts.score(some)
     monkeypatch.setattr(urls, "PLACES", 7)
-    assert model.score(some) == pytest.approx(whole, abs=1e-8)
-    assert model.score([]).tolist() == []
+    assert counts.score(some) == pytest.approx(whole, abs=1e-8)
+    assert counts.score([]).tolist() == []
+
+
+def brute_url_scores(good, bad, fresh):
+    """Witten and Bell's smoothing over dictionaries of whole contexts."""
+    models = []
+    for side in (bad, good):
+        follow = defaultdict(Counter)
+        for u in side:
+            data = b"\2" * 4 + (u or "").encode().lower() + b"\3"
+            for at in range(4, len(data)):
+                for k in range(5):
+                    follow[data[at - k : at]][data[at]] += 1
+        models.append(follow)
+    out = []
+    for u in fresh:
+        data, total = b"\2" * 4 + (u or "").encode().lower() + b"\3", 0.0
+        for at in range(4, len(data)):
+            p = [1 / 256, 1 / 256]
+            for k in range(5):
+                for side, follow in enumerate(models):
+                    seen = follow.get(data[at - k : at])
+                    if seen:
+                        p[side] = (seen[data[at]] + len(seen) * p[side]) / (sum(seen.values()) + len(seen))
+            total += math.log(p[1]) - math.log(p[0])
+        out.append(round(total / (len(data) - 4), 9))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_url_verdicts_equal_brute_force(spark, broadcast, monkeypatch):
+    """All pages, with nulls and repeats, by a model that is sent to the tasks and by one that is joined."""
+    if not broadcast:
+        monkeypatch.setattr(urls, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(urls, "BLOCK", 500)
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
+    odd = spark.createDataFrame([(900, None), (901, ""), (902, "http://x.org/fr/1"), (902, "http://x.org/fr/1")], "page_id long, url string")
+    pages = pages.union(odd).withColumn("score", F.lit("theirs"))
+    model = urls.fit(pages, RULES)
+    judged = urls.judge_urls(pages, RULES, model).select("whole.url", "whole.score", "rule", F.col("score").alias("found"), "verdict")
+    rows = judged.withColumn("held", F.pmod(F.xxhash64("url"), F.lit(urls.HELD)) == 0).collect()
+    assert len(rows) == pages.count()
+    sides = [[r.url for r in rows if r.rule and r.verdict == v and not r.held] for v in ("allow", "block")]
+    expected = brute_url_scores(*sides, [r.url for r in rows])
+    assert [r.found for r in rows] == pytest.approx(expected, abs=1e-8)
+    assert all(r.verdict == ("allow" if x >= model.threshold else "block") for r, x in zip(rows, expected) if not r.rule)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
