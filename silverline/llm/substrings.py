@@ -178,7 +178,7 @@ def dedup_substrings(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Remove passages of at least `window` words that also stand in a document with a smaller id.
+    """Remove passages of at least `window` words (2 to 63; others are a ValueError) that also stand in a document with a smaller id.
 
     Words are runs without ASCII white space, compared unchanged. A word goes if it lies in a window of `window` words
     whose words also stand, in this order, in a document with a smaller id, judged on the input.

@@ -109,6 +109,34 @@ def test_pipeline(spark, docs, tmp_path):
     assert driver.queries()["pipeline"](spark, SF_DIR).count() == kept.count()
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_odd_documents(spark, odd_docs, empty, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows and clashing names, one stage after the other; and no rows at all."""
+    docs = odd_docs.where("false") if empty else odd_docs.unionByName(odd_docs.limit(40))
+    columns = docs.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs.write.parquet(path := str(tmp_path / f"in{i}"))
+        docs = spark.read.schema(docs.schema).parquet(path)
+        before = [tuple(r) for r in docs.collect()]
+        after = stage(spark, docs, SF_DIR)
+        if i < 4:
+            assert after.columns == columns
+        rows = [tuple(r) for r in after.collect()]
+        if i < 3:
+            assert set(rows) <= set(before)  # nothing is changed or made up
+        if i == 0:
+            assert not any(brute.quality_counts(r[1])[-1] for r in rows)
+        elif i == 1 and rows:
+            prints = [brute.fingerprint(r[1]) for r in rows]
+            assert len(set(brute.components([(k, f) for k, f in enumerate(prints)]).values())) == len(rows)
+        elif i == 3:
+            assert {r[0] for r in rows} <= {r[0] for r in before}
+        elif i == 4:
+            assert len(rows) == len(before)
+        assert bool(rows) != empty
+        docs = after
+
+
 def test_turns_without_conversation_or_number(spark, tmp_path):
     """A third of the turns lose their number or conversation: all calls stay, and no result goes to another chat's call."""
     odd = read(spark, SF_DIR, "conversations").withColumn("h", F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)))
