@@ -12,29 +12,46 @@ SHARD_BYTES = 64 << 20
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules; the model is fitted on the labels."""
+    """Documents that pass the quality rules; the model is fitted on the labels.
+
+    Null and empty texts have no words and go. Rows that repeat an id or a text are judged alike, each by itself. Columns of any name are kept as
+    they are; no documents give none.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, model).where("kept").select("whole.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id."""
+    """Of each group of near duplicates, the document with the smallest id.
+
+    Texts without words are near duplicates of each other. A missing id ranks last; of rows that repeat the smallest id one stays.
+    """
     return simhash.drop_near_duplicates(docs, shingle=3, distance=3)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark does not contaminate."""
+    """Documents that the benchmark does not contaminate.
+
+    Null and empty texts have no words and stay; items without words match nothing, and an empty benchmark contaminates nothing. Rows that repeat an id
+    are judged each by its text.
+    """
     found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where("not contaminated").select("whole.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes: a document once for each pass over its source that takes some of it."""
+    """The words that the mix takes: a document once for each pass over its source that takes some of it.
+
+    A missing source is a source of its own. Texts without words are never taken. Rows that repeat an id are documents of their own.
+    """
     return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document of the mix goes."""
+    """Where each document of the mix goes.
+
+    Every row gets a place, copies and missing ids too; equal texts share a shard. No documents need no shard.
+    """
     return sharding.kd_tree_shards(docs, target_bytes=SHARD_BYTES)
 
 
