@@ -176,7 +176,8 @@ def fit(
         return None
     train = _assembled(features(bounded, known)).select("features", "label", "h", "head").repartition(1).sortWithinPartitions("h", "label", "head")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="onethird")
-    return forest.fit(train)
+    # a copy has no training summary, whose session cannot travel to tasks once an observation was made in it
+    return forest.fit(train).copy()
 
 
 def scan(found: DataFrame, known: Dictionary, model: RandomForestClassificationModel | None) -> DataFrame:

@@ -3,6 +3,7 @@
 import zlib
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -66,6 +67,10 @@ def test_mix(spark, docs):
 
 
 def test_secrets_are_tokens(spark):
+    """Also in a session in which rows have been observed."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get == {"n": 5}
     out = queries.op1_secret_scan(spark, "/root/testdata/sf0.01")
     assert out.where(F.col("candidate").rlike("^[0-9A-Fa-f]{40}$")).count() == out.count() > 0
 
