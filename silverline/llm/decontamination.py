@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import pickle
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline.llm.common import materialise
 from silverline.llm.tokens import ALNUM, LOWER, Grams, hash_words, small, text_chunks
 
-#: Words of a window, words of a shingle, and the windows that tasks hold at once.
-WINDOW, SHINGLE, BLOCK = 13, 5, 200_000
+#: Words of a window, and words of a shingle.
+WINDOW, SHINGLE = 13, 5
+#: A word, as a regular expression for texts in any case.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bits of the marks for each shingle, and of the marks in all, as a power of two (32 MB).
+SPARSE, MARK_BITS = 64, 28
+#: Stands in for words that are longer than any word of the benchmark; no word is like it.
+TOO_LONG = b"-"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -50,132 +55,117 @@ def benchmark_windows(
     return found.groupBy("w").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-class Shingles:
-    """The shingles of some windows, looked up by hash.
+def _window_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each window: of min(n, SHINGLE) words in a window of n, with their hashes and places."""
+    for batch in small(batches):
+        rows = []
+        for i, w in enumerate(batch.column("w").to_pylist()):
+            hashes = hash_words(w.encode(), ALNUM, LOWER)[2]
+            size = min(len(hashes), SHINGLE)
+            rows += [(i, len(hashes), size, h, at) for at, h in enumerate(Grams(hashes).all(size).view(np.int64).tolist())]
+        which, n, size, h, place = zip(*rows) if rows else ((),) * 5
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("w").take(pa.array(which, pa.int64())),
+                batch.column("set").take(pa.array(which, pa.int64())),
+                *(pa.array(x, pa.int32()) for x in (n, size, place)),
+                pa.array(h, pa.int64()),
+            ],
+            ["w", "set", "n", "size", "place", "h"],
+        )
+
 
-    A window of n words has shingles of min(n, SHINGLE) words. `keys` holds, by shingle length, the sorted hashes;
-    `owners` the windows and the places of the shingle in them.
+class Marks:
+    """Two bits for each of some hashes: rules out most others by two looks, and none of these.
+
+    Holds SPARSE bits for each hash up to 2**`most` bits, so its size is bounded whatever the number of hashes; with fewer bits
+    more strangers pass, which the join after it drops.
     """
 
-    def __init__(self, windows: list[tuple[str, list[str]]]):
-        self.windows = [(w.encode(), w.count(" ") + 1, items) for w, items in windows]
-        places = defaultdict(lambda: defaultdict(list))
-        for k, (data, n, _) in enumerate(self.windows):
-            size = min(n, SHINGLE)
-            hashes = Grams(hash_words(data, ALNUM, LOWER)[2]).all(size)
-            for at, h in enumerate(hashes.tolist()):
-                places[size][h].append((k, at))
-        self.keys = {size: np.array(sorted(of), np.uint64) for size, of in places.items()}
-        self.owners = {size: [of[h] for h in self.keys[size].tolist()] for size, of in places.items()}
-        self.seen = {size: self._marks(keys) for size, keys in self.keys.items()}
-
-    @staticmethod
-    def _marks(keys: np.ndarray) -> np.ndarray:
-        """Which values the top bits of the hashes take: most shingles of a text are ruled out by one look."""
-        marks = np.zeros(1 << 20, bool)
-        marks[keys >> np.uint64(44)] = True
-        return marks
-
-    def find(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in `hashes` that are shingles here, and which."""
-        at = np.flatnonzero(self.seen[size][hashes >> np.uint64(44)])
-        which = np.searchsorted(self.keys[size], hashes[at])
-        which[which == len(self.keys[size])] = 0
-        real = self.keys[size][which] == hashes[at]
-        return at[real], which[real]
-
-    def only_rarest(self, counts: dict[tuple[int, int], int]) -> None:
-        """Keep, of each window, its rarest shingle; on a tie the first.
-
-        A document must have all shingles of a window, so the prefix that it must share with the window's
-        shingles ordered by rarity is a single one.
-        """
-        best: dict[int, tuple] = {}
-        for size, owners in self.owners.items():
-            for i, places in enumerate(owners):
-                for k, at in places:
-                    rank = (counts.get((size, i), 0), at)
-                    if k not in best or rank < best[k][0]:
-                        best[k] = (rank, size, i, at)
-        kept: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-        for k, (_, size, i, at) in best.items():
-            kept[size][i].append((k, at))
-        for size in list(self.keys):
-            order = sorted(kept[size])
-            self.owners[size] = [kept[size][i] for i in order]
-            self.keys[size] = self.keys[size][order]
-            self.seen[size] = self._marks(self.keys[size])
-
-
-def _shingle_hashes(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles that lie within one text, and the words they start at."""
-    hashes = Grams(texts.hashes).all(size)
-    inside = np.flatnonzero(texts.row_of[: len(hashes)] == texts.row_of[size - 1 :])
-    return hashes[inside], inside
-
-
-def _count(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """How often the benchmark's shingles occur in some documents."""
-    index: Shingles = pickle.loads(shared.value)
-    counts = {size: np.zeros(len(keys), np.int64) for size, keys in index.keys.items()}
+    def __init__(self, hashes: DataFrame, most: int):
+        count = hashes.count()
+        self.bits = min(max(6, (SPARSE * count).bit_length()), most)
+        places = F.array(F.shiftrightunsigned("h", 64 - self.bits), F.col("h").bitwiseAND((1 << self.bits) - 1))
+        words = hashes.select(F.explode(places).alias("p")).groupBy(F.expr("p div 64").alias("at"))
+        words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("mask")).toArrow()
+        self.words = np.zeros(1 << (self.bits - 6), np.uint64)
+        self.words[words.column("at").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
+
+    def _marked(self, places: np.ndarray) -> np.ndarray:
+        return (self.words[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1) == 1
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions of the hashes that are marked."""
+        at = np.flatnonzero(self._marked(hashes >> np.uint64(64 - self.bits)))
+        return at[self._marked(hashes[at] & np.uint64((1 << self.bits) - 1))]
+
+
+def _marked_shingles(texts, marks: Marks, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By shingle length, the hashes of the marked shingles that lie within one text, and the words they start at."""
+    grams = Grams(texts.hashes)
+    for size in sizes:
+        hashes = grams.all(size)
+        at = marks.find(hashes)
+        at = at[texts.row_of[at] == texts.row_of[at + size - 1]]
+        yield size, hashes[at], at
+
+
+def _count(batches: Iterator[pa.RecordBatch], sizes: list[int], shared) -> Iterator[pa.RecordBatch]:
+    """How often marked shingles occur in some documents."""
+    marks: Marks = pickle.loads(shared.value)
     for batch in batches:
         for texts in text_chunks(batch.column("text"), ALNUM, LOWER):
-            for size, total in counts.items():
-                hashes, _ = _shingle_hashes(texts, size)
-                total += np.bincount(index.find(hashes, size)[1], minlength=len(total))
-    for size, total in counts.items():
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict(
-            {"size": np.full(len(at), size, np.int32), "i": at.astype(np.int32), "n": total[at]}
-        )
+            for size, hashes, _ in _marked_shingles(texts, marks, sizes):
+                found, times = np.unique(hashes, return_counts=True)
+                yield pa.RecordBatch.from_pydict(
+                    {"size": np.full(len(found), size, np.int32), "h": found.view(np.int64), "times": times.astype(np.int64)}
+                )
 
 
-def _find_windows(batches: Iterator[pa.RecordBatch], text_col: str, shared) -> Iterator[pa.RecordBatch]:
-    """Per document its number of words, and the spans and items of the windows that occur in it, added to those
-    that it has already."""
-    index: Shingles = pickle.loads(shared.value)
-    span = pa.struct([("word", pa.int64()), ("end", pa.int64())])
+def _candidates(
+    batches: Iterator[pa.RecordBatch], sizes: list[int], window: int, longest: int, shared
+) -> Iterator[pa.RecordBatch]:
+    """Marked shingles of documents with the words around them, as far as a window could reach."""
+    marks: Marks = pickle.loads(shared.value)
     for batch in small(batches):
-        n_words, spans, items = [], batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-        for texts in text_chunks(batch.column("whole").field(text_col), ALNUM, LOWER):
+        for texts in text_chunks(batch.column("text"), ALNUM, LOWER):
             first = texts.first.tolist()
-            found: dict[int, list] = defaultdict(list)
-            for size in index.keys:
-                hashes, word = _shingle_hashes(texts, size)
-                at, which = index.find(hashes, size)
-                for start, i in zip(word[at].tolist(), which.tolist()):
-                    row = int(texts.row_of[start])
-                    for k, place in index.owners[size][i]:
-                        data, n, _ = index.windows[k]
-                        begin, end = start - place, start - place + n
-                        # Length and positional bounds: the whole window must fit into the text around its shingle.
-                        if begin < first[row] or end > first[row + 1]:
-                            continue
-                        there = b" ".join(
-                            texts.data[a:b].lower()
-                            for a, b in zip(texts.starts[begin:end].tolist(), texts.ends[begin:end].tolist())
-                        )
-                        if there == data:
-                            found[row].append((begin - first[row], end - first[row], k))
-            for row, at in enumerate(texts.rows):
-                n_words.append(first[row + 1] - first[row])
-                merged: list[list[int]] = []
-                for a, b, _ in sorted(found[row]):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                spans[at] += [{"word": a, "end": b} for a, b in merged]
-                items[at] = sorted({x for _, _, k in found[row] for x in index.windows[k][2]}.union(items[at]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("whole"),
-                pa.array(n_words, pa.int64()),
-                pa.array(spans, pa.list_(span)),
-                pa.array(items, pa.list_(pa.string())),
-            ],
-            ["whole", "n_words", "spans", "items"],
-        )
+            rows, at_word, before, around, kinds, prints = [], [], [], [], [], []
+            for size, hashes, words in _marked_shingles(texts, marks, sizes):
+                kinds += [size] * len(words)
+                prints.append(hashes.view(np.int64))
+                for at in words.tolist():
+                    row = int(texts.row_of[at])
+                    begin, end = max(first[row], at - window + size), min(first[row + 1], at + window)
+                    spans = zip(texts.starts[begin:end].tolist(), texts.ends[begin:end].tolist())
+                    around.append(b" ".join(texts.data[a:b].lower() if b - a <= longest else TOO_LONG for a, b in spans))
+                    rows.append(texts.rows[row])
+                    at_word.append(at - first[row])
+                    before.append(at - begin)
+            rows = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("t0").take(rows),
+                    batch.column("t1").take(rows),
+                    pa.array(kinds, pa.int32()),
+                    pa.array(np.concatenate(prints) if prints else [], pa.int64()),
+                    pa.array(at_word, pa.int64()),
+                    pa.array(before, pa.int32()),
+                    pa.array(around, pa.binary()).cast(pa.string()),
+                ],
+                ["t0", "t1", "size", "h", "word", "before", "around"],
+            )
+
+
+def _merged(found: DataFrame, key: list[str]) -> DataFrame:
+    """Spans (word, end) that overlap or touch as one, as a sorted array `spans` for each key."""
+    ahead = Window.partitionBy(*key).orderBy("word", "end")
+    reach = F.max("end").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("word") > reach, F.lit(True)).cast("int")
+    runs = found.select(*key, "word", "end").distinct().withColumn("opens", opens)
+    runs = runs.withColumn("run", F.sum("opens").over(ahead.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy(*key, "run").agg(F.min("word").alias("word"), F.max("end").alias("end"))
+    return runs.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("word", "end"))).alias("spans"))
 
 
 SPANS = "array<struct<word: bigint, end: bigint>>"
@@ -187,7 +177,7 @@ def find_contamination(
     *,
     window: int = WINDOW,
     one_in: int = 20,
-    block: int = BLOCK,
+    mark_bits: int = MARK_BITS,
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
@@ -203,49 +193,65 @@ def find_contamination(
 
     A window is the set of its shingles of SHINGLE words (fewer in shorter windows). All occurrences of these shingles in the
     corpus are counted, a window's shingles ordered by rarity, and, because all of them must be there, the rarest alone is the
-    prefix that is looked up. Candidates must leave room for the window, and are compared word by word.
+    prefix that is joined. Candidates must leave room for the window, and are compared word by word.
 
-    Tasks hold at most about `block` windows; a larger benchmark is cut into blocks by window hash, each matched against
-    all documents, and the documents' findings are written between blocks.
+    The benchmark stays a table: documents are read once to count and once to find, whatever its size, and tasks hold only
+    marks of its shingles, of at most 2**`mark_bits` bits. Shingles that pass them are joined with the windows by hash, with
+    the words around them; Spark splits a hot shingle. Findings belong to a text (its two hashes), so copies share them. A
+    window's item ids are kept once for all windows with the same ids.
     """
     spark = docs.sparkSession
-    windows = materialise(
-        benchmark_windows(benchmark, window=window, item_col=item_col, text_col=item_text_col), "windows"
+    windows = benchmark_windows(benchmark, window=window, item_col=item_col, text_col=item_text_col)
+    windows = materialise(windows.withColumn("set", F.sha2(F.to_json("items"), 256)), "windows")
+    shingles = windows.select("w", "set").mapInArrow(
+        _window_shingles, "w string, set string, n int, size int, place int, h long"
     )
-    blocks = max(1, -(-windows.count() // block))
+    shingles = materialise(shingles, "shingles")
+    sizes = sorted(r.size for r in shingles.select(F.col("size").alias("size")).distinct().collect())
+    longest = windows.agg(F.max(F.octet_length("w"))).first()[0] or 0
+
     text = F.col(text_col)
-    found = docs.select(
-        F.struct(*docs.columns).alias("whole"),
-        F.expr(f"cast(array() as {SPANS})").alias("spans"),
-        F.expr("cast(array() as array<string>)").alias("items"),
+    keys = F.xxhash64(F.coalesce(text, F.lit(""))), F.xxhash64(F.lit(7), F.coalesce(text, F.lit("")))
+    texts = docs.select(keys[0].alias("t0"), keys[1].alias("t1"), text.alias("text")).where("text <> ''")
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(Marks(shingles.select("h").distinct(), mark_bits)))
+    counts = texts.select("text").mapInArrow(
+        lambda batches: _count(batches, sizes, shared), "size int, h long, times long"
     )
-    whole = found.schema["whole"].dataType.simpleString()
-    for i in range(blocks):
-        part = windows.where(F.expr(f"pmod(xxhash64(w), {blocks})") == i).orderBy("w")
-        index = Shingles([tuple(r) for r in part.collect()])
-        if index.windows:
-            shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))
-            counts = docs.select(text.alias("text")).mapInArrow(
-                lambda batches, shared=shared: _count(batches, shared), "size int, i int, n long"
-            )
-            counts = counts.groupBy("size", "i").agg(F.sum("n")).collect()
-            index.only_rarest({(size, i): n for size, i, n in counts})
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))
-        found = found.mapInArrow(
-            lambda batches, shared=shared: _find_windows(batches, text_col, shared),
-            f"whole {whole}, n_words long, spans {SPANS}, items array<string>",
-        )
-        if i + 1 < blocks:
-            found = materialise(found, "block")
-    hit = F.aggregate(
-        F.array_sort("spans"),
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
-        lambda s, x: F.struct(
-            (s["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(s["end"], x["word"]))).alias("n"),
-            F.greatest(s["end"], x["end"]).alias("end"),
-        ),
-        lambda s: s["n"],
+    counts = materialise(counts.groupBy("size", "h").agg(F.sum("times").alias("times")), "counts")
+    # A window with a shingle that occurs nowhere occurs nowhere.
+    counted = shingles.join(counts, ["size", "h"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    rarest = counted.groupBy("w", "set", "n", "size").agg(F.min(F.struct("times", "place", "h")).alias("r")).where("r.times > 0")
+    rarest = materialise(rarest.select("w", "set", "n", "size", "r.place", "r.h"), "rarest")
+
+    fewer = spark.sparkContext.broadcast(cloudpickle.dumps(Marks(rarest.select("h").distinct(), mark_bits)))
+    near = texts.mapInArrow(
+        lambda batches: _candidates(batches, sizes, window, longest, fewer),
+        "t0 long, t1 long, size int, h long, word long, before int, around string",
+    )
+    # Length and positional bounds before the words themselves.
+    words = F.split("around", " ")
+    room = (F.col("before") >= F.col("place")) & (F.size(words) - F.col("before") >= F.col("n") - F.col("place"))
+    there = F.array_join(F.slice(words, F.greatest(F.col("before") - F.col("place") + 1, F.lit(1)), F.col("n")), " ") == F.col("w")
+    begin = F.col("word") - F.col("place")
+    found = near.join(rarest, ["size", "h"]).where(room).where(there)
+    found = found.select("t0", "t1", begin.alias("word"), (begin + F.col("n")).alias("end"), "set").distinct()
+    found = materialise(found, "found")
+
+    key = ["t0", "t1"]
+    sets = windows.select("set", "items").dropDuplicates(["set"])
+    listed = found.select(*key, "set").distinct().join(sets, "set").select(*key, F.explode("items").alias("item"))
+    listed = listed.groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
+    findings = materialise(_merged(found, key).join(listed, key), "findings")
+
+    n_words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), n_words.alias("n_words"), keys[0].alias("t0"), keys[1].alias("t1"))
+    out = rows.join(findings, key, "left").select(
+        "whole",
+        "n_words",
+        F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")).alias("spans"),
+        F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
     )
-    return found.select("whole", "n_words", F.array_sort("spans").alias("spans"), hit.alias("n_hit"), "items").withColumn(
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["word"])
+    return out.select("whole", "n_words", "spans", hit.alias("n_hit"), "items").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))
     )

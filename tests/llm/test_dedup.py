@@ -152,17 +152,30 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert table(found) == by_repr([(i, 0) for i in range(101)] + [(i, 1000) for i in range(1000, 1100)])
 
 
-@pytest.mark.parametrize("block", [100_000, 40])
-def test_contamination(spark, odd_docs, pairs, block):
+@pytest.mark.parametrize("mark_bits", [28, 6])
+def test_contamination(spark, odd_docs, pairs, mark_bits):
     texts = [t for _, t in pairs if t and len(t) > 400]
     items = [(1, " ".join(texts[0].split()[3:40])), (2, texts[1].upper()), (2, "one"), (None, texts[2][:200]), (3, None)]
     items += [(4, "?!"), (5, "café été"), (1, " ".join(texts[0].split()[3:40]))]
     benchmark = spark.createDataFrame(items, "item_id int, text string")
-    found = decontamination.find_contamination(odd_docs, benchmark, block=block)
+    found = decontamination.find_contamination(odd_docs, benchmark, mark_bits=mark_bits)
     found = found.select("whole.doc_id", "n_words", "n_hit", F.array_join("items", ","), "contaminated")
     assert table(found) == by_repr(brute.contamination(pairs, items))
 
 
+def test_contamination_by_a_benchmark_of_shared_and_very_long_words(spark):
+    long, passage = "\u6f22" * 40_000, " ".join(f"p{i}" for i in range(30))
+    docs = [(1, f"{passage} {long} end"), (2, f"x {long} {passage}"), (3, f"{long}x {passage[:40]}"), (4, long), (5, "- - -")]
+    docs += [(6, " ".join([passage] * 400)), (7, " ".join(f"n{i}" for i in range(5000)) + " " + passage)]
+    items = [(i, passage) for i in range(300)] + [(900, long), (901, "-"), (902, f"{passage[-20:]} {long}"), (903, "absent words of an item")]
+    found = decontamination.find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")
+    )
+    assert all(a["end"] < b["word"] for r in found.select("spans").collect() for a, b in zip(r.spans, r.spans[1:]))
+    found = found.select("whole.doc_id", "n_words", "n_hit", F.array_join("items", ","), "contaminated")
+    assert table(found) == by_repr(brute.contamination(docs, items))
+
+
 def test_contamination_with_empty_tables(spark, odd_docs, no_docs):
     nothing = spark.createDataFrame([], "item_id int, text string")
     assert not any(r[0] for r in decontamination.find_contamination(odd_docs, nothing).select("contaminated").collect())
