@@ -20,6 +20,8 @@ ROUNDS, MIX = 6, (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 SLOTS_PER_ROW = 1 << 13
 #: Slots that a task draws.
 SLOTS_PER_TASK = 1 << 20
+#: Copies of one row that are made at once.
+COPIES = 10_000
 
 
 def _round(half: np.ndarray, seed: np.ndarray, i: int) -> np.ndarray:
@@ -202,7 +204,9 @@ def mix_sources(
         F.xxhash64(F.lit(seed), "id").alias("mixed"),
     )
     units = running_total(materialise(units, "units"), ["source_id"], ["mixed", "id", "row"], "packed", "first")
-    units = units.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
+    # In two steps, so that no array grows with the copies of one row.
+    units = units.withColumn("_c", F.explode(F.expr(f"sequence(0L, copies - 1, {COPIES}L)")))
+    units = units.withColumn("copy", F.explode(F.expr(f"sequence(_c, least(_c + {COPIES - 1}, copies - 1))")))
     units = materialise(
         units.select("id", "row", "source_id", "copy", "size", (F.col("first") + F.col("copy") * F.col("size")).alias("first")),
         "packed",
@@ -301,6 +305,28 @@ def _cut_texts(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([batch.column("whole"), pa.array(out, pa.string())], ["whole", "cut"])
 
 
+def _numbered(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Add `_copy`: numbers the rows that agree in `key` from 0.
+
+    Rows whose key is found once are 0 without a window. The others are stored with the task that read them and numbered within it, from where the
+    tasks before it end; so equal rows, however many, never meet in one task.
+    """
+    same = lambda k: reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in k))
+    names = [F.col(c).alias(f"_k{c}") for c in key]
+    counts = rows.groupBy(*names).agg(F.count("*").alias("_n")).where("_n > 1")
+    marked = rows.withColumn("_part", F.spark_partition_id()).join(materialise(counts, "repeated"), same(key), "left")
+    marked = marked.select(*rows.columns, F.col("_n").isNotNull().alias("_many"), "_part")
+    marked = materialise(marked, "marked")
+    many, part = marked.where("_many"), [*key, "_part"]
+    ahead = Window.partitionBy(*(f"_k{c}" for c in key)).orderBy("_k_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = many.groupBy(*names, F.col("_part").alias("_k_part")).agg(F.count("*").alias("_n"))
+    sums = sums.withColumn("_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+    number = F.row_number().over(Window.partitionBy(*part).orderBy("_part")) - 1
+    numbered = many.withColumn("_number", number).join(sums, same(part))
+    numbered = numbered.select(*rows.columns, (F.col("_first") + F.col("_number")).alias("_copy"))
+    return marked.where("not _many").select(*rows.columns, F.lit(0).cast("long").alias("_copy")).union(numbered)
+
+
 def mixed_documents(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
@@ -322,9 +348,7 @@ def mixed_documents(
         F.xxhash64(text).alias("_row"),
         F.col(source_col).alias("_source"),
     )
-    rows = rows.withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("_id", "_row", "_source").orderBy("_id")) - 1
-    )
+    rows = _numbered(rows, ["_id", "_row", "_source"])
     same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key))
     taken = rows.join(spans, same).select("whole", "spans")
     whole = taken.schema["whole"].dataType.simpleString()

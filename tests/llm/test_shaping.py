@@ -219,6 +219,24 @@ def test_mixed_documents(odd_docs):
     assert out.where("text is null or trim(text) = ''").count() == 0
 
 
+def test_numbers_of_equal_rows(spark):
+    rows = spark.range(0, 30_000, 1, 8).selectExpr("if(id % 3 > 0, null, id) as _id", "7L as _row", "if(id % 3 = 1, 's', null) as _source")
+    numbered = mixing._numbered(rows, ["_id", "_row", "_source"])
+    found = numbered.groupBy("_id", "_source").agg(F.count("*").alias("n"), F.countDistinct("_copy").alias("d"), F.max("_copy").alias("m"))
+    counts = sorted((r.n, r.d, r.m) for r in found.collect())
+    assert counts == [(1, 1, 0)] * 10_000 + [(10_000, 10_000, 9_999)] * 2
+    # equal rows are numbered within the task that read them
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_part#" in line for line in plan.splitlines() if "row_number()" in line)
+
+
+def test_mixing_of_equal_rows_without_ids(spark):
+    docs = spark.range(0, 25_000, 1, 4).selectExpr("cast(null as long) as doc_id", "'a b c' as text", "'s' as source")
+    mixed = mixing.mix_sources(docs)[0].agg(F.count("*"), F.countDistinct("copy"), F.sum("taken"), F.max("taken")).first()
+    assert tuple(mixed) == (25_000, 25_000, 112_500, 6)
+    assert mixing.mixed_documents(docs).agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] == 112_500
+
+
 def test_mixing_of_no_documents(no_docs):
     assert mixing.mix_sources(no_docs)[0].count() == 0
     assert mixing.mixed_documents(no_docs).count() == 0
