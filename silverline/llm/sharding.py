@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -13,24 +12,10 @@ from silverline.llm.common import materialise, running_total
 
 #: Bits of a coordinate, and of the text hash that breaks its ties, in one sorting key.
 COORD_BITS, TIE_BITS = 16, 46
-#: Cells that a node's range is divided into in each round of the search for its median.
+#: Cells that a node's range is divided into to find the one that holds its median.
 CELLS = 1024
 
 
-@dataclass
-class Node:
-    """A box of the tree: how many leaves it becomes, and what it weighs."""
-
-    leaves: int
-    weight: int
-    count: int
-    low: list[int]
-    high: list[int]
-    dim: int = -1
-    cut: int = -1
-    children: tuple[int, int] = ()
-
-
 def size_of(text) -> Column:
     """UTF-8 bytes plus eight for the row itself; a null text has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
@@ -71,9 +56,9 @@ def kd_tree_shards(
     shard of its own. Null ids and metadata sort first; a table without rows gives none; equal rows stay
     separate rows; other columns are ignored.
 
-    Medians are found from sums over cells that shrink from round to round, all nodes of a level at a time,
-    so the driver sees at most CELLS numbers a node and round, however many documents there are. At each
-    level the rows' nodes are recomputed from the tree, which is a lookup in two short arrays.
+    The tree is a table of open nodes and stays in Spark, so the driver sees one row a level, however many shards there are. A
+    level finds all its medians at once: sums over CELLS cells of each node's range tell the cell that holds the median, and a
+    running sum over the keys in that cell, spread over tasks, tells the cut. The points are stored with their node once a level.
     """
     if (leaves is None) == (target_bytes is None):
         raise ValueError("give either leaves or target_bytes")
@@ -120,20 +105,16 @@ def kd_tree_shards(
         ),
         "points",
     )
-    alone = _heavy(points, leaves, weight)
-    if alone:
-        lone = docs.sparkSession.createDataFrame([(*k, i) for i, (k, _) in enumerate(alone)], "h long, g long, shard int")
-        apart = lone.select("h", "g", (F.col("shard") + (leaves - len(alone))).alias("shard"))
-        points = materialise(points.join(lone, ["h", "g"], "left_anti"), "points")
-        weight, count, leaves = weight - sum(w for _, w in alone), count - len(alone), leaves - len(alone)
-    nodes = [Node(leaves, weight, count, [0] * len(xs), [top] * len(xs))]
-    frontier = [0] if leaves > 1 and count > 1 else []
-    while frontier:
-        frontier = _split(points, nodes, frontier)
-    shard_of = {i: k for k, i in enumerate(_leaves(nodes))}
-    placed = points.select("h", "g", _node(nodes, shard_of).alias("shard"))
-    if alone:
-        placed = placed.union(apart)
+    bound, heavy = _bound(points, leaves, weight)
+    light = points
+    if heavy:
+        alone = materialise(points.where(F.col("weight") > bound).select("h", "g", (-F.col("weight")).alias("order"), F.lit(1).alias("one")), "alone")
+        alone = running_total(alone, [], ["order", "h", "g"], "one", "rank")
+        alone = alone.select("h", "g", (F.col("rank") + (leaves - heavy)).cast("int").alias("shard"))
+        light = points.where(F.col("weight") <= bound)
+    placed = _grow(light, leaves - heavy, len(xs))
+    if heavy:
+        placed = placed.union(alone)
     out = rows.select("id", "size", "crc", "h", "g").join(placed, ["h", "g"]).select("id", "size", "crc", "shard")
     out = materialise(out.select("*", F.xxhash64("id").alias("mixed"), F.lit(1).alias("one")), "placed")
     out = running_total(out, ["shard"], ["mixed", "id", "crc", "size"], "one", "slot")
@@ -142,36 +123,16 @@ def kd_tree_shards(
     )
 
 
-def _heavy(points: DataFrame, leaves: int, weight: int) -> list[tuple[tuple[int, int], int]]:
-    """Groups that weigh more than an even share of what lighter ones leave: fewer than there are leaves."""
-    found: dict[tuple[int, int], int] = {}
-    while leaves > 1:
-        more = points.where(F.col("weight") > weight / leaves).orderBy(F.desc("weight"), "h", "g").limit(leaves + len(found))
-        before = len(found)
-        for r in more.select("h", "g", "weight").collect():
-            if (r.h, r.g) not in found and leaves > 1 and r.weight > weight / leaves:
-                found[r.h, r.g] = r.weight
-                weight, leaves = weight - r.weight, leaves - 1
-        if len(found) == before:
-            break
-    return list(found.items())
-
-
-def _leaves(nodes: list[Node]) -> list[int]:
-    """Indexes of the leaves from left to right."""
-    out, stack = [], [0]
-    while stack:
-        i = stack.pop()
-        if nodes[i].children:
-            stack.extend(reversed(nodes[i].children))
-        else:
-            out.append(i)
-    return out
-
-
-def _table(values, kind: str) -> Column:
-    """A short list of numbers as one constant."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+def _bound(points: DataFrame, leaves: int, weight: int) -> tuple[float, int]:
+    """The weight beyond which a group gets a shard of its own, and how many do: those that weigh more than an even
+    share of what lighter ones leave, always fewer than there are leaves."""
+    heavy, taken = 0, 0
+    while True:
+        bound = (weight - taken) / (leaves - heavy)
+        n, w = points.where(F.col("weight") > bound).agg(F.count("*"), F.sum("weight")).first()
+        if n == heavy:
+            return bound, heavy
+        heavy, taken = n, w
 
 
 def _key(dim) -> Column:
@@ -180,99 +141,92 @@ def _key(dim) -> Column:
     return F.shiftleft(coord, TIE_BITS) + F.col("tie")
 
 
-def _node(nodes: list[Node], number: dict[int, int]) -> Column:
-    """The number of a point's node, which is found by walking down from the root; else -1."""
-    depth, level = 0, [0]
-    while level := [c for i in level for c in nodes[i].children]:
-        depth += 1
-    at = F.lit(0)
-    if depth:
-        dims = _table([n.dim for n in nodes], "int")
-        cuts = _table([n.cut for n in nodes], "bigint")
-        left = _table([n.children[0] if n.children else -1 for n in nodes], "int")
-        at = F.aggregate(
-            F.array_repeat(F.lit(0), depth),
-            F.lit(0),
-            lambda i, _: F.when(F.get(left, i) < 0, i).otherwise(
-                F.get(left, i) + (_key(F.get(dims, i)) >= F.get(cuts, i)).cast("int")
-            ),
+def _grow(points: DataFrame, leaves: int, dims: int) -> DataFrame:
+    """Cut the points (h, g, weight, c, tie) into `leaves` shards: (h, g, shard), numbered from left to right.
+
+    A node is named by the first of its leaves. It becomes a leaf if one leaf or one point is left, or no cut leaves both sides a point.
+    """
+    spark, done = points.sparkSession, []
+    points = points.withColumn("node", F.lit(0).cast("long"))
+    nodes = spark.range(1).select(F.col("id").alias("node"), F.lit(leaves).cast("long").alias("leaves"))
+    while leaves > 1:
+        cuts = _cuts(points, nodes, dims)
+        right = F.coalesce(_key(F.col("dim")) >= F.col("cut"), F.lit(False))
+        split = points.join(cuts.select("node", "dim", "cut"), "node", "left").select(
+            "h", "g", "weight", "c", "tie", "node", right.alias("right"), F.col("cut").isNull().alias("whole")
         )
-    return F.get(_table([number.get(i, -1) for i in range(len(nodes))], "int"), at)
+        split = materialise(split, "split")
+        shares = materialise(_shares(split, cuts), "shares")
+        done.append(split.where("whole").select("h", "g", "node"))
+        moved = split.where("not whole").join(shares, ["node", "right"]).drop("node", "right", "whole")
+        moved = moved.withColumnRenamed("child", "node")
+        done.append(moved.where("not open").select("h", "g", "node"))
+        points = moved.where("open").drop("open", "leaves")
+        nodes = shares.where("open").select(F.col("child").alias("node"), "leaves")
+        if nodes.isEmpty():
+            break
+    placed = reduce(DataFrame.union, done) if done else points.select("h", "g", "node")
+    placed = materialise(placed, "leaves")
+    numbers = materialise(placed.select("node").distinct().withColumn("one", F.lit(1)), "numbers")
+    numbers = running_total(numbers, [], ["node"], "one", "shard").select("node", F.col("shard").cast("int").alias("shard"))
+    return placed.join(numbers, "node").select("h", "g", "shard")
+
 
+def _cuts(points: DataFrame, nodes: DataFrame, dims: int) -> DataFrame:
+    """Where to cut each node: (node, leaves, weight, dim, cut, left), `left` being the weight below the cut.
 
-def _split(points: DataFrame, nodes: list[Node], frontier: list[int]) -> list[int]:
-    """Cut every node of the frontier in two; returns the children to cut next."""
-    index = {i: k for k, i in enumerate(frontier)}
-    inside = points.select("weight", "c", "tie", _node(nodes, index).alias("k")).where("k >= 0")
-    size = len(nodes[0].low)
-    boxes = inside.groupBy("k").agg(
-        *(F.min(F.get("c", F.lit(d))) for d in range(size)), *(F.max(F.get("c", F.lit(d))) for d in range(size))
+    The cut is the key, along the widest coordinate, below which the weight comes nearest to the share of half of the
+    leaves; of two as near, the lower. Nodes whose points agree in the key have none.
+    """
+    boxes = points.groupBy("node").agg(
+        F.sum("weight").alias("weight"),
+        F.array(*(F.min(F.get("c", F.lit(d))) for d in range(dims))).alias("low"),
+        F.array(*(F.max(F.get("c", F.lit(d))) for d in range(dims))).alias("high"),
     )
-    for row in boxes.collect():
-        node = nodes[frontier[row[0]]]
-        node.low, node.high = list(row[1 : 1 + size]), list(row[1 + size :])
-    low, high, below, rows_below = [], [], [], []
-    for i in frontier:
-        n = nodes[i]
-        n.dim = int(np.argmax(np.subtract(n.high, n.low)))
-        low.append(n.low[n.dim] << TIE_BITS)
-        high.append((n.high[n.dim] + 1) << TIE_BITS)
-        below.append(0)
-        rows_below.append(0)
-    dims = _table([nodes[i].dim for i in frontier], "int")
-    best: list[tuple | None] = [None] * len(frontier)
-    open_ = set(range(len(frontier)))
-    while open_:
-        # Cells of the ranges that are still searched; a range ends once a cell holds a single key value.
-        step = [max(1, -(-(h - l) // CELLS)) for l, h in zip(low, high)]
-        active = _table([int(j in open_) for j in range(len(frontier))], "int")
-        k = F.col("k")
-        cells = (
-            inside.where(F.get(active, k) == 1)
-            .select(
-                "k",
-                "weight",
-                _key(F.get(dims, k)).alias("key"),
-                F.get(_table(low, "bigint"), k).alias("low"),
-                F.get(_table(high, "bigint"), k).alias("high"),
-                F.get(_table(step, "bigint"), k).alias("step"),
-            )
-            .where("key >= low and key < high")
-            .groupBy("k", F.expr("(key - low) div step").alias("cell"))
-        )
-        sums: dict[int, list] = {j: [] for j in open_}
-        for j, *cell in cells.agg(F.sum("weight"), F.count("*")).collect():
-            sums[j].append(cell)
-        for j in list(open_):
-            node = nodes[frontier[j]]
-            want = node.weight * (node.leaves // 2) / node.leaves
-            at, seen = below[j], rows_below[j]
-            for cell, w, n in sorted(sums[j]):
-                if at + w >= want:
-                    break
-                at, seen = at + w, seen + n
-            start = low[j] + cell * step[j]
-            if n == 1 or step[j] == 1:
-                # Cut before or after this cell, whichever comes nearer, but leave no side empty.
-                after = seen + n < node.count and (at + w - want < want - at or seen == 0)
-                cut, weight, count = (start + step[j], at + w, seen + n) if after else (start, at, seen)
-                best[j] = (cut, weight, count) if 0 < count < node.count else None
-                open_.discard(j)
-            else:
-                low[j], high[j], below[j], rows_below[j] = start, min(high[j], start + step[j]), at, seen
-    ahead = []
-    for j, i in enumerate(frontier):
-        node = nodes[i]
-        if best[j] is None:
-            node.dim = -1
-            continue
-        node.cut, weight, count = best[j]
-        left = min(max(1, round(node.leaves * weight / max(1, node.weight))), node.leaves - 1)
-        left = max(min(left, count), node.leaves - (node.count - count))
-        left = min(max(1, left), node.leaves - 1)
-        node.children = (len(nodes), len(nodes) + 1)
-        for part, w, n in ((left, weight, count), (node.leaves - left, node.weight - weight, node.count - count)):
-            nodes.append(Node(part, w, n, node.low, node.high))
-            if part > 1 and n > 1:
-                ahead.append(len(nodes) - 1)
-    return ahead
+    widths = F.zip_with("low", "high", lambda a, b: b - a)
+    boxes = boxes.join(nodes, "node").withColumn("dim", (F.array_position(widths, F.array_max(widths)) - 1).cast("int"))
+    low = F.shiftleft(F.get("low", F.col("dim")).cast("long"), TIE_BITS)
+    high = F.shiftleft(F.get("high", F.col("dim")).cast("long") + 1, TIE_BITS)
+    boxes = boxes.withColumns({"low": low, "high": high, "want": F.col("weight").cast("double") * F.expr("leaves div 2") / F.col("leaves")})
+    boxes = boxes.withColumn("step", F.expr(f"(high - low + {CELLS - 1}) div {CELLS}")).drop("high")
+    boxes = materialise(boxes, "boxes")
+
+    keyed = points.select("node", F.col("weight").alias("w"), "c", "tie")
+    cells = keyed.join(boxes, "node").select("node", "w", _key(F.col("dim")).alias("key"), "low", "step")
+    cells = cells.groupBy("node", F.expr("(key - low) div step").alias("cell")).agg(F.sum("w").alias("w"))
+    # At most CELLS rows a node.
+    ahead = Window.partitionBy("node").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("w").over(ahead), F.lit(0)))
+    held = cells.join(boxes, "node").where("before < want and before + w >= want")
+    held = held.withColumn("low", F.expr("low + cell * step")).withColumn("high", F.expr("low + step"))
+    held = materialise(held.select("node", "leaves", "weight", "dim", "want", "low", "high", "before", "w"), "held")
+
+    keys = keyed.join(held.select("node", "dim", "low", "high"), "node").withColumn("key", _key(F.col("dim")))
+    keys = keys.where("key >= low and key < high").groupBy("node", "key").agg(F.sum("w").alias("w"))
+    keys = running_total(materialise(keys, "keys"), ["node"], ["key"], "w", "inside").select("node", F.col("key").alias("cut"), "inside")
+    tried = keys.join(held, "node").withColumn("left", F.col("before") + F.col("inside"))
+    names = ["node", "leaves", "weight", "dim", "want", "cut", "left"]
+    ends = held.withColumn("cut", F.col("high")).withColumn("left", F.col("before") + F.col("w"))
+    tried = tried.select(*names).union(ends.select(*names)).where("left > 0 and left < weight")
+    best = F.min(F.struct(F.abs(F.col("left") - F.col("want")).alias("off"), "cut", "left")).alias("best")
+    found = tried.groupBy("node", "leaves", "weight", "dim").agg(best)
+    return materialise(found.select("node", "leaves", "weight", "dim", "best.cut", "best.left"), "cuts")
+
+
+def _shares(split: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The children of the nodes that were cut: (node, right, child, leaves, open). The leaves are shared by what each side weighs,
+    but no side gets more than it has points."""
+    n = split.where("not whole").groupBy("node").agg(F.count("*").alias("n"), F.count_if(~F.col("right")).alias("m"))
+    even = F.bround(F.col("leaves") * F.col("left").cast("double") / F.col("weight"), 0).cast("long")
+    within = lambda x: F.least(F.greatest(F.lit(1), x), F.col("leaves") - 1)
+    lower = F.greatest(F.least(within(even), F.col("m")), F.col("leaves") - (F.col("n") - F.col("m")))
+    both = cuts.join(n, "node").withColumn("lower", within(lower))
+    side = lambda right, child, leaves, n: F.struct(
+        F.lit(right).alias("right"), child.alias("child"), leaves.alias("leaves"), n.alias("n")
+    )
+    leaves, lower = F.col("leaves"), F.col("lower")
+    sides = F.array(
+        side(False, F.col("node"), lower, F.col("m")), side(True, F.col("node") + lower, leaves - lower, F.col("n") - F.col("m"))
+    )
+    both = both.select("node", F.explode(sides).alias("s")).select("node", "s.*")
+    return both.select("node", "right", "child", "leaves", ((F.col("leaves") > 1) & (F.col("n") > 1)).alias("open"))

@@ -259,6 +259,17 @@ def test_shards(odd_docs, pairs):
     assert max(bytes_.values()) - min(bytes_.values()) <= 2 * largest
 
 
+def test_shards_do_not_pass_through_the_driver(spark, monkeypatch):
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat(cast(id as string), 20) as text", "'s' as source", "'en' as lang")
+    rows, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: rows.append(len(found := collect(df))) or found)
+    placed = sharding.kd_tree_shards(docs, leaves=100)
+    assert max(rows) == 1 and len(rows) < 60
+    monkeypatch.undo()
+    sums = [r[1] for r in placed.groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sums) == 100 and max(sums) <= 2 * min(sums)
+
+
 def test_shards_of_a_hot_group_and_of_ties(spark):
     hot = [(i, "the same text " * 9, "s", "en") for i in range(300)] + [(i, f"{i:04}" * 30, "s", "en") for i in range(300, 900)]
     docs = spark.createDataFrame(hot, "doc_id long, text string, source string, lang string")
