@@ -51,7 +51,7 @@ BUCKET_BYTES, TASK_BYTES = 128 << 20, 256 << 20
 # buckets and folders that are counted without a job of their own
 COUNTED_BUCKETS = 64
 # most rows that one task of a merge holds, however narrow
-ROWS_PER_TASK = 4_000_000
+ROWS_PER_TASK = 1_000_000
 
 DEFINITION = "lineage int, keys array<string>, partitions array<string>, buckets int, schema_json string"
 COMMITS = (

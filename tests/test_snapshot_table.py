@@ -81,6 +81,14 @@ def test_large_buckets_are_split_over_tasks(spark, base, monkeypatch):
     assert len(table.current().inputFiles()) > 3
 
 
+def test_default_tasks_of_a_merge_hold_a_million_rows(spark, base):
+    """Rows that compress to next to nothing are spread by their number."""
+    table = SnapshotTable(spark, base).ensure(spark.range(0), "id", buckets=1)
+    table.merge(spark.range(2_500_000))
+    assert len(table.current().inputFiles()) == 3
+    assert table.current().agg(F.count("*"), F.count_distinct("id")).first() == (2_500_000, 2_500_000)
+
+
 def test_unfinished_commit_is_ignored_and_overwritten(spark, table, base, monkeypatch):
     table.merge(frame(spark, [(1, 1, "a")]))
 

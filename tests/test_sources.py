@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverline.sinks import write_partitioned
+from silverline.sinks import partitioned, write_partitioned
 from silverline.sources import day_range, partition_filter, read_partitioned, resolve_partitions
 from tests.conftest import rows
 
@@ -116,6 +116,27 @@ def test_overwrite_replaces_all_or_only_touched_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(5, "c")]
 
 
+def test_tasks_of_a_rebalanced_write_hold_little(spark, tmp_path, monkeypatch):
+    """A value is split where several tasks have read it, and the session's own size is back afterwards."""
+    monkeypatch.setattr(partitioned, "TASK_BYTES", 20_000)
+    before, advised = spark.conf.get(partitioned.ADVISED), []
+    assert partitioned._as_bytes(before) == 64 << 20 and partitioned._as_bytes("8m") == 8 << 20 and partitioned._as_bytes("2KB") == 2048
+    rows_ = spark.range(40_000).selectExpr("id", "sha(string(id)) as v", "int(id % 7) as p", "raise_error('lost') as e")
+    many = rows_.drop("e")
+    write_partitioned(many.withColumn("p", F.lit(1)), str(tmp_path / "one"), ["p"])
+    found = read_partitioned(spark, str(tmp_path / "one"), "p", None)
+    assert found.count() == 40_000 and len(found.inputFiles()) >= 4
+    with partitioned._small_tasks(spark):
+        advised.append(spark.conf.get(partitioned.ADVISED))
+        write_partitioned(many, str(tmp_path / "many"), ["p"])
+        advised.append(spark.conf.get(partitioned.ADVISED))
+        monkeypatch.setattr(partitioned, "TASK_BYTES", 1 << 40)
+    assert advised == ["20000", "20000"] and spark.conf.get(partitioned.ADVISED) == before
+    with pytest.raises(Exception, match="lost"):
+        write_partitioned(rows_.withColumn("e", F.expr("string(e)")), str(tmp_path / "lost"), ["p"])
+    assert spark.conf.get(partitioned.ADVISED) == before and not partitioned._open
+
+
 def test_csv_without_inference_is_text(spark, tmp_path):
     path = str(tmp_path / "c")
     write_partitioned(spark.createDataFrame([(1, 2.5, "x")], "a int, b double, p string"), path, ["p"], fmt="csv")
