@@ -150,19 +150,16 @@ def _grow(points: DataFrame, leaves: int, dims: int) -> DataFrame:
     points = points.withColumn("node", F.lit(0).cast("long"))
     nodes = spark.range(1).select(F.col("id").alias("node"), F.lit(leaves).cast("long").alias("leaves"))
     while leaves > 1:
-        cuts = _cuts(points, nodes, dims)
-        right = F.coalesce(_key(F.col("dim")) >= F.col("cut"), F.lit(False))
-        split = points.join(cuts.select("node", "dim", "cut"), "node", "left").select(
-            "h", "g", "weight", "c", "tie", "node", right.alias("right"), F.col("cut").isNull().alias("whole")
-        )
-        split = materialise(split, "split")
-        shares = materialise(_shares(split, cuts), "shares")
-        done.append(split.where("whole").select("h", "g", "node"))
-        moved = split.where("not whole").join(shares, ["node", "right"]).drop("node", "right", "whole")
-        moved = moved.withColumnRenamed("child", "node")
+        cuts = materialise(_shared(_cuts(points, nodes, dims)), "shares")
+        moves = cuts.select("node", "dim", "cut", F.struct("low.child", "low.open").alias("low"), F.struct("high.child", "high.open").alias("high"))
+        side = F.when(F.col("cut").isNotNull(), F.when(_key(F.col("dim")) >= F.col("cut"), F.col("high")).otherwise(F.col("low")))
+        moved = points.join(moves, "node", "left").select("h", "g", "weight", "c", "tie", "node", side.alias("side"))
+        moved = moved.withColumn("node", F.coalesce("side.child", "node")).withColumn("open", F.coalesce("side.open", F.lit(False)))
+        # stored, as the next level reads its points four times
+        moved = materialise(moved.drop("side"), "moved")
         done.append(moved.where("not open").select("h", "g", "node"))
-        points = moved.where("open").drop("open", "leaves")
-        nodes = shares.where("open").select(F.col("child").alias("node"), "leaves")
+        points = moved.where("open").drop("open")
+        nodes = cuts.select(F.explode(F.array("low", "high")).alias("s")).where("s.open").select(F.col("s.child").alias("node"), "s.leaves")
         if nodes.isEmpty():
             break
     placed = reduce(DataFrame.union, done) if done else points.select("h", "g", "node")
@@ -173,13 +170,14 @@ def _grow(points: DataFrame, leaves: int, dims: int) -> DataFrame:
 
 
 def _cuts(points: DataFrame, nodes: DataFrame, dims: int) -> DataFrame:
-    """Where to cut each node: (node, leaves, weight, dim, cut, left), `left` being the weight below the cut.
+    """Where to cut each node: (node, leaves, weight, n, dim, cut, left, m), `left` and `m` being the weight and the points below the cut.
 
     The cut is the key, along the widest coordinate, below which the weight comes nearest to the share of half of the
     leaves; of two as near, the lower. Nodes whose points agree in the key have none.
     """
     boxes = points.groupBy("node").agg(
         F.sum("weight").alias("weight"),
+        F.count("*").alias("n"),
         F.array(*(F.min(F.get("c", F.lit(d))) for d in range(dims))).alias("low"),
         F.array(*(F.max(F.get("c", F.lit(d))) for d in range(dims))).alias("high"),
     )
@@ -193,40 +191,39 @@ def _cuts(points: DataFrame, nodes: DataFrame, dims: int) -> DataFrame:
 
     keyed = points.select("node", F.col("weight").alias("w"), "c", "tie")
     cells = keyed.join(boxes, "node").select("node", "w", _key(F.col("dim")).alias("key"), "low", "step")
-    cells = cells.groupBy("node", F.expr("(key - low) div step").alias("cell")).agg(F.sum("w").alias("w"))
+    cells = cells.groupBy("node", F.expr("(key - low) div step").alias("cell")).agg(F.sum("w").alias("w"), F.count("*").alias("rows"))
     # At most CELLS rows a node.
     ahead = Window.partitionBy("node").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("before", F.coalesce(F.sum("w").over(ahead), F.lit(0)))
+    cells = cells.withColumns({"before": F.coalesce(F.sum("w").over(ahead), F.lit(0)), "rows": F.coalesce(F.sum("rows").over(ahead), F.lit(0))})
     held = cells.join(boxes, "node").where("before < want and before + w >= want")
     held = held.withColumn("low", F.expr("low + cell * step")).withColumn("high", F.expr("low + step"))
-    held = materialise(held.select("node", "leaves", "weight", "dim", "want", "low", "high", "before", "w"), "held")
+    held = materialise(held.select("node", "leaves", "weight", "n", "dim", "want", "low", "high", "before", "w", "rows"), "held")
 
     keys = keyed.join(held.select("node", "dim", "low", "high"), "node").withColumn("key", _key(F.col("dim")))
-    keys = keys.where("key >= low and key < high").groupBy("node", "key").agg(F.sum("w").alias("w"))
-    keys = running_total(materialise(keys, "keys"), ["node"], ["key"], "w", "inside").select("node", F.col("key").alias("cut"), "inside")
-    tried = keys.join(held, "node").withColumn("left", F.col("before") + F.col("inside"))
-    names = ["node", "leaves", "weight", "dim", "want", "cut", "left"]
+    keys = keys.where("key >= low and key < high").groupBy("node", "key").agg(F.sum("w").alias("w"), F.count("*").alias("points"))
+    keys = materialise(keys, "keys")
+    sums = running_total(keys, ["node"], ["key"], "w", "inside").select("node", F.col("key").alias("cut"), "inside")
+    tried = sums.join(held, "node").withColumn("left", F.col("before") + F.col("inside"))
+    names = ["node", "leaves", "weight", "n", "rows", "dim", "want", "cut", "left"]
     ends = held.withColumn("cut", F.col("high")).withColumn("left", F.col("before") + F.col("w"))
     tried = tried.select(*names).union(ends.select(*names)).where("left > 0 and left < weight")
     best = F.min(F.struct(F.abs(F.col("left") - F.col("want")).alias("off"), "cut", "left")).alias("best")
-    found = tried.groupBy("node", "leaves", "weight", "dim").agg(best)
-    return materialise(found.select("node", "leaves", "weight", "dim", "best.cut", "best.left"), "cuts")
+    found = tried.groupBy("node", "leaves", "weight", "n", "rows", "dim").agg(best).select("*", "best.cut", "best.left").drop("best")
+    below = F.sum(F.when(F.col("key") < F.col("cut"), F.col("points")).otherwise(0))
+    counted = keys.select("node", "key", "points").join(found, "node").groupBy(*found.columns).agg(below.alias("below"))
+    return counted.select("node", "leaves", "weight", "n", "dim", "cut", "left", (F.col("rows") + F.col("below")).alias("m"))
 
 
-def _shares(split: DataFrame, cuts: DataFrame) -> DataFrame:
-    """The children of the nodes that were cut: (node, right, child, leaves, open). The leaves are shared by what each side weighs,
+def _shared(cuts: DataFrame) -> DataFrame:
+    """The cuts (node, dim, cut) with both children, `low` and `high`: (child, leaves, open). The leaves are shared by what each side weighs,
     but no side gets more than it has points."""
-    n = split.where("not whole").groupBy("node").agg(F.count("*").alias("n"), F.count_if(~F.col("right")).alias("m"))
     even = F.bround(F.col("leaves") * F.col("left").cast("double") / F.col("weight"), 0).cast("long")
     within = lambda x: F.least(F.greatest(F.lit(1), x), F.col("leaves") - 1)
     lower = F.greatest(F.least(within(even), F.col("m")), F.col("leaves") - (F.col("n") - F.col("m")))
-    both = cuts.join(n, "node").withColumn("lower", within(lower))
-    side = lambda right, child, leaves, n: F.struct(
-        F.lit(right).alias("right"), child.alias("child"), leaves.alias("leaves"), n.alias("n")
+    side = lambda child, leaves, n: F.struct(
+        child.alias("child"), leaves.alias("leaves"), ((leaves > 1) & (n > 1)).alias("open")
     )
-    leaves, lower = F.col("leaves"), F.col("lower")
-    sides = F.array(
-        side(False, F.col("node"), lower, F.col("m")), side(True, F.col("node") + lower, leaves - lower, F.col("n") - F.col("m"))
-    )
-    both = both.select("node", F.explode(sides).alias("s")).select("node", "s.*")
-    return both.select("node", "right", "child", "leaves", ((F.col("leaves") > 1) & (F.col("n") > 1)).alias("open"))
+    both, lower = cuts.withColumn("lower", within(lower)), F.col("lower")
+    low = side(F.col("node"), lower, F.col("m"))
+    high = side(F.col("node") + lower, F.col("leaves") - lower, F.col("n") - F.col("m"))
+    return both.select("node", "dim", "cut", low.alias("low"), high.alias("high"))

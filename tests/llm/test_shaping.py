@@ -270,6 +270,30 @@ def test_shards_do_not_pass_through_the_driver(spark, monkeypatch):
     assert len(sums) == 100 and max(sums) <= 2 * min(sums)
 
 
+def test_points_of_a_level_are_joined_with_their_cuts_once(spark, monkeypatch):
+    """What a level reads four times is stored, and so is what its leaves are taken from in the end."""
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat(cast(id as string), 20) as text", "'s' as source", "'en' as lang")
+    plans, stored, cuts, materialise = [], [], sharding._cuts, sharding.materialise
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(sharding, "_cuts", lambda points, *rest: plans.append(plan(points)) or cuts(points, *rest))
+    monkeypatch.setattr(sharding, "materialise", lambda df, label: stored.append((label, plan(df))) or materialise(df, label))
+    sharding.kd_tree_shards(docs, leaves=5)
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
+    assert not any("Join" in p for label, p in stored if label == "leaves")
+
+
+@pytest.mark.parametrize("leaves", [2, 7, 40])
+def test_no_shard_gets_more_leaves_than_groups(spark, leaves):
+    """Leaves follow the weight but for sides of few groups; with as many leaves as groups each has its own."""
+    rows = [(i, "x" * (3000 if i % 10 == 0 else 1 + i), "s", "en") for i in range(40)]
+    rows += [(100 + i, "x" * (1 + i), "s", "en") for i in range(5, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    groups = len({t for _, t, *_ in rows})
+    placed = sharding.kd_tree_shards(docs, leaves=min(leaves, groups)).collect()
+    assert len(placed) == len(rows)
+    assert {r.shard for r in placed} == set(range(min(leaves, groups)))
+
+
 def test_shards_of_a_hot_group_and_of_ties(spark):
     hot = [(i, "the same text " * 9, "s", "en") for i in range(300)] + [(i, f"{i:04}" * 30, "s", "en") for i in range(300, 900)]
     docs = spark.createDataFrame(hot, "doc_id long, text string, source string, lang string")
