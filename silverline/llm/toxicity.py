@@ -205,6 +205,17 @@ def _vectors(docs: DataFrame, words: list[str]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of texts that hold a term, summed by task: at most TERMS rows from each."""
+    held = np.zeros(0, np.int64)
+    for batch in batches:
+        found = np.bincount(batch.column("terms").flatten().to_numpy(zero_copy_only=False).astype(np.int64), minlength=len(held))
+        found[: len(held)] += held
+        held = found
+    term = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(held[term], pa.int64())], ["term", "n"])
+
+
 def _rising(votes: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool neighbouring votes until the share of toxic rows rises with the vote: (mean vote, share), shares kept off 0 and 1."""
     pools: list[list[float]] = []
@@ -219,10 +230,10 @@ def _rising(votes: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> tuple[np.nda
 
 
 def _fit(spark: SparkSession, vectors: DataFrame, words: list[str], sample: DataFrame, neighbours: int) -> Model:
-    counted = vectors.select(F.explode("terms").alias("t")).groupBy("t").count()
+    counted = vectors.select("terms").mapInArrow(_holding, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     df = np.zeros(len(words) + 1)
     for r in counted.collect():  # a row for each term at most
-        df[r["t"]] = r["count"]
+        df[r["term"]] = r["n"]
     total = df[-1] = vectors.count()
     idf = np.log((1 + total) / (1 + df)) + 1
 

@@ -236,6 +236,26 @@ def test_index_is_exact():
         assert np.allclose(score, everything[:12]) and np.allclose(dense[near] @ row, score)
 
 
+def test_documents_of_a_term_are_counted_by_task(spark):
+    """Copies with many terms leave their task as one row a term."""
+    rows = [(i, list(range(50)) if i % 2 else [] if i % 3 else [i % 5, 60]) for i in range(1000)]
+    vectors = spark.createDataFrame(rows, "id long, terms array<int>").repartition(4)
+    counted = vectors.select("terms").mapInArrow(toxicity._holding, "term long, n long").collect()
+    assert len(counted) <= 4 * 51
+    found = Counter()
+    for r in counted:
+        found[r.term] += r.n
+    assert found == Counter(t for _, terms in rows for t in terms)
+
+
+def test_fitting_makes_no_row_for_each_term_of_a_document(spark, monkeypatch):
+    plans, collect = [], type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or collect(df))
+    texts = spark.range(200).selectExpr("id as doc_id", "if(id % 2 = 0, 'you fool again', 'a fine day') as text")
+    toxicity.score_toxicity(spark, texts, texts.selectExpr("doc_id as id", "int(doc_id % 2 = 0) as label"))
+    assert plans and not any("Generate" in p for p in plans)
+
+
 def test_rising():
     at, share = toxicity._rising(np.array([0.0, 0.1, 0.5, 0.9]), np.array([90.0, 10, 10, 10]), np.array([0.0, 5, 3, 10]))
     assert (np.diff(at) > 0).all() and (np.diff(share) >= 0).all() and 0 < share[0] and share[-1] < 1
